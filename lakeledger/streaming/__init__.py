@@ -1,0 +1,5 @@
+"""Empty on purpose: every job of this package is a batch job.
+
+Late data is handled relationally: re-delivered records are anchored to their
+own date and de-duplicated (``operators.raw_counts``).
+"""
