@@ -40,7 +40,7 @@ def parse_timestamp_ntz(c: Column, pattern: str, on_error: str = "raise") -> Col
     if on_error != "raise":
         raise ValueError("on_error is 'raise' or 'null'")
     message = F.concat(F.lit(f"cannot read as {pattern}: "), c)
-    return F.when(c.isNotNull() & instant.isNull(), F.raise_error(message)).otherwise(parsed)
+    return F.coalesce(parsed, F.when(c.isNotNull(), F.raise_error(message)).cast("timestamp_ntz"))
 
 
 def flag_to_text(c: Column) -> Column:

@@ -133,6 +133,52 @@ def order_leaves(reps: DataFrame, leaves: list[Leaf], order: str = "first_seen")
     return [leaf for _, leaf in sorted(seen, key=lambda s: (tuple(s[0]), s[1].path))]
 
 
+def _schema(paths: list[Path], depth: int = 0) -> T.StructType:
+    """Nested type with a text field per path; a path that is also a parent stays text."""
+    groups: dict[str, list[Path]] = {}
+    for path in paths:
+        groups.setdefault(path[depth], []).append(path)
+    return T.StructType(
+        [
+            T.StructField(
+                key,
+                T.StringType()
+                if any(len(path) == depth + 1 for path in below)
+                else _schema(below, depth + 1),
+            )
+            for key, below in groups.items()
+        ]
+    )
+
+
+def _leaf_values(text: Column, leaves: list[Leaf], depth: int = 0) -> dict[Path, Column]:
+    """Values of the leaves from one parse of ``text``, which lies ``depth`` keys deep.
+
+    The parse takes every leaf as text, which keeps numbers and the key order
+    of objects in lists as they were written. A path that is an object in some
+    records and something else in others has its text parsed on.
+    """
+    own = {leaf.path: leaf for leaf in leaves}
+    parsed = F.from_json(text, _schema(list(own), depth))
+    values: dict[Path, Column] = {}
+    deeper: dict[Path, list[Leaf]] = {}
+    nodes: dict[Path, Column] = {}
+    for path, leaf in own.items():
+        node = parsed
+        for length in range(depth + 1, len(path) + 1):
+            node = node.getField(path[length - 1])
+            if length < len(path) and path[:length] in own:
+                deeper.setdefault(path[:length], []).append(leaf)
+                nodes[path[:length]] = node
+                break
+        else:
+            values[path] = F.when(~is_object(_at("record", path)), node) if leaf.mixed else node
+    for path, below in deeper.items():
+        inner = F.when(is_object(_at("record", path)), nodes[path])
+        values |= _leaf_values(inner, below, len(path))
+    return values
+
+
 def flatten_records(
     records: DataFrame, leaves: list[Leaf], sep: str = "_", on_collision: str = "raise"
 ) -> DataFrame:
@@ -141,15 +187,13 @@ def flatten_records(
     When two paths give the same name, ``raise`` stops and ``last`` keeps the
     later one where a record has both.
     """
+    values = _leaf_values(F.col("text"), leaves)
     columns: dict[str, list[Column]] = {}
     for leaf in leaves:
-        value = F.variant_get("record", _json_path(leaf.path), "string")
-        if leaf.mixed:
-            value = F.when(~is_object(_at("record", leaf.path)), value)
-        columns.setdefault(leaf.name(sep), []).append(value)
-    twice = sorted(name for name, values in columns.items() if len(values) > 1)
+        columns.setdefault(leaf.name(sep), []).append(values[leaf.path])
+    twice = sorted(name for name, found in columns.items() if len(found) > 1)
     if twice and on_collision == "raise":
         raise ValueError(f"flattened names collide: {twice}")
     return records.select(
-        *[F.coalesce(*reversed(values)).alias(name) for name, values in columns.items()]
+        *[F.coalesce(*reversed(found)).alias(name) for name, found in columns.items()]
     )

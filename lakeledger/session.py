@@ -19,6 +19,8 @@ SESSION_CONF = {
     "spark.sql.variant.writeShredding.enabled": "true",
     "spark.sql.variant.inferShreddingSchema": "true",
     "spark.sql.variant.pushVariantIntoScan": "true",
+    # A repeated key in a JSON object: the last one counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 

@@ -77,8 +77,10 @@ def read_json_records(spark: SparkSession, path, lines: bool = False) -> DataFra
             )
         ),
     ).otherwise(F.arrays_zip(F.col("texts").alias("text"), F.col("records").alias("record")))
-    return parsed.select(
-        "file", "block", bad.alias("is_broken"), F.posexplode(entry).alias("position", "e")
+    # Everything per file is computed below the explode, not once per record.
+    whole = parsed.select("file", "block", bad.alias("is_broken"), entry.alias("entries"))
+    return whole.select(
+        "file", "block", "is_broken", F.posexplode("entries").alias("position", "e")
     ).select(
         "file",
         "block",
