@@ -1,10 +1,4 @@
-"""Comparison of record ids across layers: what is missing, and why.
-
-The set operations are one tagged union and one aggregate on the id. Compared
-with an anti join plus a lookup join this reads each layer once, shuffles each
-distinct id once, treats null ids as equal, and reduces repeated ids before the
-shuffle, so that a hot id is no hot partition.
-"""
+"""Comparison of record ids across layers: what is missing, and why."""
 
 from __future__ import annotations
 
@@ -24,40 +18,50 @@ def layer_counts(layer: DataFrame, name: str) -> DataFrame:
     return layer.groupBy(*GROUP).agg(F.count(F.lit(1)).alias(name))
 
 
-def _tagged(layer: DataFrame, tag: int, reason: Column | None = None) -> DataFrame:
-    reason = F.lit(None).cast("string") if reason is None else reason
-    return layer.select(
-        *GROUP, ID, F.lit(tag).cast("tinyint").alias("_layer"), reason.alias("removal_reason")
+def missing_ids(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct key rows of ``left`` that ``right`` lacks; nulls are equal.
+
+    One tagged union and one aggregate with fixed-width state: each side is
+    read once, repeated keys are reduced in memory before the shuffle, and a
+    hot key is no hot partition.
+    """
+    tagged = left.select(*keys, F.lit(False).alias("_right")).unionByName(
+        right.select(*keys, F.lit(True).alias("_right"))
+    )
+    return (
+        tagged.groupBy(*keys)
+        .agg(F.bool_or("_right").alias("_right"))
+        .filter(~F.col("_right"))
+        .select(*keys)
     )
 
 
 def missing_records(
-    curated: DataFrame, sentiment: DataFrame, quarantine: DataFrame | None = None
+    curated: DataFrame, sentiment: DataFrame, quarantine: DataFrame
 ) -> DataFrame:
     """(survey_name, event_date, contact_record_id, accounted, removal_reason).
 
     One row per distinct curated id that the sentiment layer lacks. An id with
     any quarantine row is accounted for, also when its reason is null; of
     several reasons the lowest is taken; an id without one is UNACCOUNTED.
+    The reasons meet the missing ids only, not the whole layers.
     """
-    rows = _tagged(curated, 0).unionByName(_tagged(sentiment, 1))
-    if quarantine is not None:
-        rows = rows.unionByName(_tagged(quarantine, 2, F.col("removal_reason")))
-    layer = F.col("_layer")
-    per_id = rows.groupBy(*GROUP, ID).agg(
-        F.bool_or(layer == 0).alias("in_curated"),
-        F.bool_or(layer == 1).alias("in_sentiment"),
-        F.bool_or(layer == 2).alias("accounted"),
-        F.min("removal_reason").alias("reason"),
+    keys = (*GROUP, ID)
+    missing = missing_ids(curated, sentiment, keys).withColumns(
+        {"_missing": F.lit(True), "removal_reason": F.lit(None).cast("string")}
     )
-    return per_id.filter(F.col("in_curated") & ~F.col("in_sentiment")).select(
-        *GROUP,
-        ID,
-        "accounted",
-        F.when(F.col("accounted"), F.col("reason"))
-        .otherwise(F.lit(UNACCOUNTED))
-        .alias("removal_reason"),
+    known = quarantine.select(*keys, F.lit(False).alias("_missing"), "removal_reason")
+    per_id = (
+        missing.unionByName(known)
+        .groupBy(*keys)
+        .agg(
+            F.bool_or("_missing").alias("_missing"),
+            F.bool_or(~F.col("_missing")).alias("accounted"),
+            F.min("removal_reason").alias("_reason"),
+        )
     )
+    reason = F.when(F.col("accounted"), F.col("_reason")).otherwise(F.lit(UNACCOUNTED))
+    return per_id.filter("_missing").select(*keys, "accounted", reason.alias("removal_reason"))
 
 
 def unexplained_records(missing: DataFrame) -> DataFrame:
@@ -100,16 +104,3 @@ def reason_text(reasons: Column) -> Column:
         ", ",
     )
     return F.coalesce(F.nullif(shown, F.lit("")), F.lit(NO_REASON))
-
-
-def missing_ids(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Distinct key rows of ``left`` that ``right`` lacks; nulls are equal."""
-    tagged = left.select(*keys, F.lit(False).alias("_right")).unionByName(
-        right.select(*keys, F.lit(True).alias("_right"))
-    )
-    return (
-        tagged.groupBy(*keys)
-        .agg(F.bool_or("_right").alias("_right"))
-        .filter(~F.col("_right"))
-        .select(*keys)
-    )

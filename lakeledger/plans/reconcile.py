@@ -325,7 +325,9 @@ def _reconcile_and_write(
         )
     else:
         empty = wanted(curated).limit(0)
-        missing = missing_records(empty, empty)
+        missing = missing_records(
+            empty, empty, empty.withColumn("removal_reason", F.lit(None).cast("string"))
+        )
     # Summary, anomalies and ledger all need it: written once, read three times.
     staged = scratch_path(spark, "missing")
     overwrite_table(missing, staged)

@@ -28,18 +28,27 @@ def survey_config(spark: SparkSession, configs: list[dict]) -> DataFrame:
     return spark.createDataFrame(rows, SURVEY_CONFIG.schema)
 
 
+# There is no folder, or nothing in it that the reader takes.
+_NOTHING_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def _load_or_empty(spark: SparkSession, load, schema) -> DataFrame:
     try:
         return load()
     except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
+        if error.getCondition() in _NOTHING_THERE:
             return spark.createDataFrame([], schema)
         raise
 
 
-def _only_dates(df: DataFrame, dates: Iterable[str] | None) -> DataFrame:
-    """Partition filter: only the folders of these dates are listed and read."""
-    return df if dates is None else df.filter(F.col(PARTITION).isin(list(dates)))
+def _as_text(df: DataFrame, contract: Contract, dates: Iterable[str] | None) -> DataFrame:
+    """Contract columns as text, of the folders of these dates only.
+
+    A missing column is an error here, before any job runs.
+    """
+    if dates is not None:
+        df = df.filter(F.col(PARTITION).cast("string").isin(list(dates)))
+    return df.select(*[F.col(name).cast("string").alias(name) for name in contract.names])
 
 
 def read_layer(
@@ -47,13 +56,12 @@ def read_layer(
     contract: Contract = LAYER,
 ) -> DataFrame:
     """Contract columns of a Parquet layer; other files in the folder are ignored."""
-    schema = contract.schema
     df = _load_or_empty(
         spark,
-        lambda: spark.read.schema(schema).option("pathGlobFilter", "*.parquet").parquet(folder),
-        schema,
+        lambda: spark.read.option("pathGlobFilter", "*.parquet").parquet(folder),
+        contract.schema,
     )
-    return _only_dates(df, dates)
+    return _as_text(df, contract, dates)
 
 
 def read_quarantine(
@@ -64,16 +72,10 @@ def read_quarantine(
         return read_layer(spark, folder, dates, QUARANTINE)
     if fmt != "csv":
         raise ValueError("fmt is 'csv' or 'parquet'")
-    names = QUARANTINE.names
-    # The header names the columns: they are taken by name, all as text.
     df = _load_or_empty(
-        spark,
-        lambda: spark.read.option("header", "true").csv(folder),
-        QUARANTINE.schema,
+        spark, lambda: spark.read.option("header", "true").csv(folder), QUARANTINE.schema
     )
-    if PARTITION not in df.columns:
-        df = spark.createDataFrame([], QUARANTINE.schema)
-    return _only_dates(df.select(*[F.col(n).cast("string") for n in names]), dates)
+    return _as_text(df, QUARANTINE, dates)
 
 
 def read_raw_surveys(
@@ -96,7 +98,9 @@ def read_raw_surveys(
         .json(folder),
         schema,
     )
-    return _only_dates(df, dates).select(
+    if dates is not None:
+        df = df.filter(F.col(PARTITION).isin(list(dates)))
+    return df.select(
         *[F.col(f"`{name}`").alias(short) for name, short in RAW_FIELDS.items()],
         PARTITION,
         F.col("_broken").isNotNull().alias("is_broken"),

@@ -15,7 +15,14 @@ from lakeledger.operators.layers import missing_ids, missing_records, reason_cou
 from lakeledger.operators.raw_counts import raw_counts
 from lakeledger.sinks.reports import anomaly_lines
 from lakeledger.sources.json import read_control_dates
-from lakeledger.sources.layers import list_event_dates, read_quarantine, read_raw_surveys
+from lakeledger.sources.layers import (
+    list_event_dates,
+    partition_has_data,
+    read_layer,
+    read_quarantine,
+    read_raw_surveys,
+    survey_config,
+)
 
 DAY = "2026-05-11"
 NOW = datetime(2026, 5, 12, 8, 0, 0)
@@ -284,8 +291,39 @@ def test_listing_and_readers(spark, paths, folder):
     assert dates == [DAY]
     assert list_event_dates(spark, f"{folder}/nowhere").count() == 0
     raw = read_raw_surveys(spark, paths.raw, [DAY])
-    assert raw.count() == 8 and raw.filter("is_broken").count() == 0
+    rows = raw.collect()
+    assert len(rows) == 8 and not any(r["is_broken"] for r in rows)
     assert read_raw_surveys(spark, f"{folder}/nowhere", [DAY]).count() == 0
-    ids(spark, f"{folder}/pq/event_date={DAY}", ["q1"])
+    spark.createDataFrame([(1, "why")], "contact_record_id int, removal_reason string").write.parquet(
+        f"{folder}/pq/event_date={DAY}"
+    )
     older = read_quarantine(spark, f"{folder}/pq", [DAY], fmt="parquet").collect()
-    assert [(r["contact_record_id"], r["removal_reason"]) for r in older] == [("q1", None)]
+    assert [tuple(r) for r in older] == [("1", "why", DAY)]
+    assert read_quarantine(spark, f"{folder}/pq", ["2026-01-01"], fmt="parquet").count() == 0
+
+
+def test_layer_reads_one_column_of_the_wanted_folders(spark, paths):
+    layer_df = read_layer(spark, f"{paths.curated}/survey_phone", [DAY])
+    plan = layer_df._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<contact_record_id:string>" in plan
+    assert "PartitionFilters: []" not in plan and "event_date" in plan
+    assert partition_has_data(layer_df)
+    assert not partition_has_data(read_layer(spark, f"{paths.curated}/survey_phone", ["2020-01-01"]))
+    (Path(paths.curated) / "empty" / "event_date=2026-01-01").mkdir(parents=True)
+    assert not partition_has_data(read_layer(spark, f"{paths.curated}/empty"))
+
+
+def test_survey_without_the_id_column_fails_alone(spark, paths):
+    spark.range(3).write.parquet(f"{paths.curated}/survey_web/event_date={DAY}")
+    with pytest.raises(ReconciliationError) as caught:
+        run_reconciliation(spark, paths, CONFIGS, NOW, dates=[DAY])
+    statuses = {(r["survey_name"], r["status"]) for r in caught.value.run_log}
+    assert statuses == {("PHONE", "reconciled"), ("MAIL", "reconciled"), ("WEB", "failed")}
+
+
+def test_config_relation(spark):
+    rows = survey_config(spark, CONFIGS).collect()
+    assert [(r["survey_name"], r["sentiment_pipeline_active"]) for r in rows] == [
+        ("PHONE", True), ("WEB", True), ("MAIL", False),
+    ]
+    assert rows[2]["sentiment_folder"] is None

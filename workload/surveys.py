@@ -72,6 +72,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "value",
         F.get_json_object("props", "$.k").cast("int").alias("k"),
         "ts",
+        "event_id",
     )
 
 
@@ -97,6 +98,7 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         "event_date",
         "value",
+        "event_id",
     )
     window = F.array(
         F.struct(F.col("event_date").alias("event_date")),
@@ -105,7 +107,7 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     again = F.array(F.struct(F.col("event_date").alias("event_date")))
     folders = F.when(F.col("value") >= 10, F.concat(window, again)).otherwise(window)
     return base.select(
-        "raw_survey_name", "contact_record_id", "invitation_date", F.inline(folders)
+        "raw_survey_name", "contact_record_id", "invitation_date", "event_id", F.inline(folders)
     )
 
 
@@ -332,8 +334,8 @@ def _write_layers(spark, sf_dir, paths: Paths) -> None:
         "csv",
         header="true",
     )
-    # Raw deliveries are JSON arrays: a file per date and hash group of about
-    # a thousand records.
+    # Raw deliveries are JSON arrays: a file per date and hash group. Even a date
+    # with all records has at most about 30,000 records per group.
     raw = deliveries(spark, sf_dir)
     groups = int(raw.count() / 30_000) + 1
     record = F.struct(
@@ -342,7 +344,7 @@ def _write_layers(spark, sf_dir, paths: Paths) -> None:
         F.col("invitation_date").alias("Invitation Date"),
     )
     files = (
-        raw.withColumn("part", F.pmod(F.xxhash64("contact_record_id", "invitation_date"), groups))
+        raw.withColumn("part", F.pmod(F.xxhash64("event_id"), F.lit(groups)))
         .groupBy("event_date", "part")
         .agg(F.to_json(F.collect_list(record)).alias("value"))
     )
