@@ -14,4 +14,5 @@ from lakeledger.functions.frames import (  # noqa: F401
     flatten_columns,
     rename_columns,
     trim_text_columns,
+    unnest,
 )

@@ -28,19 +28,21 @@ def try_timestamp_ntz(c: Column) -> Column:
 def parse_timestamp_ntz(c: Column, pattern: str, on_error: str = "raise") -> Column:
     """Text in ``pattern`` to wall-clock time, in any session zone.
 
-    The text is read as UTC and the instant counted up from the epoch, so the
-    session zone (and its daylight-saving gaps) never touches the value.
+    Text that does not fit fails the query, whether ANSI mode is on or not, or
+    becomes null with ``on_error='null'``.
     """
-    instant = F.try_to_timestamp(F.concat(c, F.lit(" +0000")), F.lit(f"{pattern} Z"))
-    parsed = F.timestamp_add(
-        "SECOND", F.unix_seconds(instant), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    )
-    if on_error == "null":
-        return parsed
-    if on_error != "raise":
+    if on_error == "raise":
+        message = F.concat(F.lit(f"cannot read as {pattern}: "), c)
+        unreadable = F.when(c.isNotNull(), F.raise_error(message)).cast("timestamp_ntz")
+        return F.coalesce(F.to_timestamp_ntz(c, F.lit(pattern)), unreadable)
+    if on_error != "null":
         raise ValueError("on_error is 'raise' or 'null'")
-    message = F.concat(F.lit(f"cannot read as {pattern}: "), c)
-    return F.coalesce(parsed, F.when(c.isNotNull(), F.raise_error(message)).cast("timestamp_ntz"))
+    # The only lenient parser gives instants: the text is read as UTC and the
+    # instant counted up from the epoch, so that the session zone (and its
+    # daylight-saving gaps) never touches the value.
+    instant = F.try_to_timestamp(F.concat(c, F.lit(" +0000")), F.lit(f"{pattern} Z"))
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("SECOND", F.unix_seconds(instant), epoch)
 
 
 def flag_to_text(c: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,3 +58,15 @@ def flatten_columns(df: DataFrame, sep: str = "_", on_collision: str = "raise")
     if twice and on_collision == "raise":
         raise ValueError(f"flattened names collide: {twice}")
     return df.select(*[value.alias(name) for name, value in dict(found).items()])
+
+
+def unnest(df: DataFrame, column: str, keep: Sequence[str], value: str) -> DataFrame:
+    """(*keep, pos, value): one row per array element; null and empty arrays give none.
+
+    Written as an outer explode whose blank rows are dropped. For an inner
+    explode the optimizer adds a filter on the array's size below the explode,
+    and the expression that makes the array would be computed twice per row.
+    """
+    return df.select(*keep, F.posexplode_outer(column).alias("pos", value)).filter(
+        F.col("pos").isNotNull()
+    )

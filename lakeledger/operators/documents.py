@@ -1,8 +1,10 @@
 """Shredding of nested documents into five related row sets.
 
-Every output is a narrow projection of the landing table: no shuffle, and with
-VARIANT push-down each one reads only the fields it names. The member fields of
-an inquiry are never named here, so they cannot reach a table.
+Everything is a projection: no shuffle. The header reads its own fields of the
+documents. The four other relations come from one typed frame of inquiries,
+which a job can store once, so that each relation then reads its own columns
+and the documents are parsed a single time. The member fields of an inquiry
+are never named here, so they cannot reach a table.
 """
 
 from __future__ import annotations
@@ -10,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeledger.functions import record_key, try_number, try_timestamp_ntz
+from lakeledger.functions import record_key, try_number, try_timestamp_ntz, unnest
 
 CONVERSATION_ID = "$.json_body.conversation_id"
 INQUIRIES = "$.json_body.summary.inquiries"
@@ -47,82 +49,88 @@ def shred_conversation(raw: DataFrame, load_ts: Column) -> DataFrame:
     return _stamp(header, load_ts)
 
 
-def _inquiries(raw: DataFrame) -> DataFrame:
-    """(conversation_id, inquiry_id, item): one row per array element, key on its index."""
-    return (
-        raw.select(
-            text_at("record_content", CONVERSATION_ID).alias("conversation_id"),
-            elements_at("record_content", INQUIRIES).alias("items"),
-        )
-        .filter(F.col("conversation_id").isNotNull())
-        .select("conversation_id", F.posexplode("items").alias("pos", "item"))
-        .select(
-            "conversation_id",
-            record_key(F.col("conversation_id"), F.col("pos")).alias("inquiry_id"),
-            "item",
-        )
+INQUIRY_FIELDS = (
+    "inquiry_number",
+    "inquiry_role",
+    "inquiry_parent_number",
+    "classification",
+    "description",
+    "resolution",
+    "status",
+    "inquiry_summary",
+    "meme_ck",
+)
+
+
+def inquiries(raw: DataFrame) -> DataFrame:
+    """One typed row per inquiry: keys, text fields, and its three inner lists.
+
+    The key is on the position of the inquiry in its document. Elements are
+    taken one by one, so that an odd one does not cost the whole list.
+    """
+    record = text_at("record_content", CONVERSATION_ID)
+    documents = raw.select(
+        record.alias("conversation_id"),
+        # A document without an id has no inquiries.
+        F.when(record.isNotNull(), elements_at("record_content", INQUIRIES)).alias("items"),
     )
+    items = unnest(documents, "items", ["conversation_id"], "item")
 
+    def texts(path: str) -> Column:
+        return F.transform(elements_at("item", path), lambda e: text_at(e, "$"))
 
-def shred_inquiry(raw: DataFrame, load_ts: Column) -> DataFrame:
-    fields = (
-        "inquiry_number",
-        "inquiry_role",
-        "inquiry_parent_number",
-        "classification",
-        "description",
-        "resolution",
-        "status",
-        "inquiry_summary",
-        "meme_ck",
-    )
-    rows = _inquiries(raw).select(
-        "inquiry_id",
+    return items.select(
+        record_key(F.col("conversation_id"), F.col("pos")).alias("inquiry_id"),
         "conversation_id",
-        *[text_at("item", f"$.{name}").alias(name) for name in fields],
+        *[text_at("item", f"$.{name}").alias(name) for name in INQUIRY_FIELDS],
+        F.transform(
+            elements_at("item", "$.intents"),
+            lambda e: F.struct(text_at(e, "$.id").alias("id"), text_at(e, "$.label").alias("label")),
+        ).alias("intents"),
+        texts("$.key_points").alias("key_points"),
+        texts("$.topics_covered").alias("topics"),
     )
-    return _stamp(rows, load_ts)
 
 
-def _inner_elements(raw: DataFrame, path: str) -> DataFrame:
-    """(inquiry_id, pos, value): elements of an array inside each inquiry."""
-    return _inquiries(raw).select(
-        "inquiry_id", F.posexplode(elements_at("item", path)).alias("pos", "value")
-    )
+def shred_inquiry(rows: DataFrame, load_ts: Column) -> DataFrame:
+    return _stamp(rows.select("inquiry_id", "conversation_id", *INQUIRY_FIELDS), load_ts)
 
 
-def shred_intent(raw: DataFrame, load_ts: Column) -> DataFrame:
-    rows = _inner_elements(raw, "$.intents").select(
+def shred_intent(rows: DataFrame, load_ts: Column) -> DataFrame:
+    intents = unnest(rows, "intents", ["inquiry_id"], "intent").select(
         "inquiry_id",
-        try_number(text_at("value", "$.id")).alias("intent_id"),
-        text_at("value", "$.label").alias("intent_label"),
+        try_number(F.col("intent.id")).alias("intent_id"),
+        F.col("intent.label").alias("intent_label"),
     )
-    return _stamp(rows, load_ts)
+    return _stamp(intents, load_ts)
 
 
-def _shred_texts(raw: DataFrame, load_ts: Column, path: str, name: str) -> DataFrame:
-    rows = _inner_elements(raw, path).select(
+def _shred_texts(rows: DataFrame, load_ts: Column, column: str, name: str) -> DataFrame:
+    texts = unnest(rows, column, ["inquiry_id"], f"{name}_text").select(
         "inquiry_id",
         (F.col("pos") + 1).cast("decimal(38,0)").alias(f"{name}_seq"),
-        text_at("value", "$").alias(f"{name}_text"),
+        f"{name}_text",
     )
-    return _stamp(rows, load_ts)
+    return _stamp(texts, load_ts)
 
 
-def shred_key_point(raw: DataFrame, load_ts: Column) -> DataFrame:
-    return _shred_texts(raw, load_ts, "$.key_points", "key_point")
+def shred_key_point(rows: DataFrame, load_ts: Column) -> DataFrame:
+    return _shred_texts(rows, load_ts, "key_points", "key_point")
 
 
-def shred_topic(raw: DataFrame, load_ts: Column) -> DataFrame:
-    return _shred_texts(raw, load_ts, "$.topics_covered", "topic")
+def shred_topic(rows: DataFrame, load_ts: Column) -> DataFrame:
+    return _shred_texts(rows, load_ts, "topics", "topic")
 
 
-def shred_documents(raw: DataFrame, load_ts: Column) -> dict[str, DataFrame]:
-    """The five relations, parents first."""
+def shred_documents(
+    raw: DataFrame, load_ts: Column, rows: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """The five relations, parents first. ``rows`` are stored ``inquiries``, if there are any."""
+    rows = inquiries(raw) if rows is None else rows
     return {
         "conversation": shred_conversation(raw, load_ts),
-        "inquiry": shred_inquiry(raw, load_ts),
-        "inquiry_intent": shred_intent(raw, load_ts),
-        "inquiry_key_point": shred_key_point(raw, load_ts),
-        "inquiry_topic": shred_topic(raw, load_ts),
+        "inquiry": shred_inquiry(rows, load_ts),
+        "inquiry_intent": shred_intent(rows, load_ts),
+        "inquiry_key_point": shred_key_point(rows, load_ts),
+        "inquiry_topic": shred_topic(rows, load_ts),
     }

@@ -151,32 +151,40 @@ def _schema(paths: list[Path], depth: int = 0) -> T.StructType:
     )
 
 
-def _leaf_values(text: Column, leaves: list[Leaf], depth: int = 0) -> dict[Path, Column]:
-    """Values of the leaves from one parse of ``text``, which lies ``depth`` keys deep.
+def _with_leaf_values(
+    records: DataFrame, leaves: list[Leaf]
+) -> tuple[DataFrame, dict[Path, Column]]:
+    """(records with their parsed text, value of each leaf in it).
 
     The parse takes every leaf as text, which keeps numbers and the key order
     of objects in lists as they were written. A path that is an object in some
-    records and something else in others has its text parsed on.
+    records and something else in others has its text parsed on. Each parse is
+    a column of its own: fields taken directly from a parse expression would
+    make the optimizer repeat it for each of them.
     """
-    own = {leaf.path: leaf for leaf in leaves}
-    parsed = F.from_json(text, _schema(list(own), depth))
     values: dict[Path, Column] = {}
-    deeper: dict[Path, list[Leaf]] = {}
-    nodes: dict[Path, Column] = {}
-    for path, leaf in own.items():
-        node = parsed
-        for length in range(depth + 1, len(path) + 1):
-            node = node.getField(path[length - 1])
-            if length < len(path) and path[:length] in own:
-                deeper.setdefault(path[:length], []).append(leaf)
-                nodes[path[:length]] = node
-                break
-        else:
-            values[path] = F.when(~is_object(_at("record", path)), node) if leaf.mixed else node
-    for path, below in deeper.items():
-        inner = F.when(is_object(_at("record", path)), nodes[path])
-        values |= _leaf_values(inner, below, len(path))
-    return values
+    todo: list[tuple[Column, list[Leaf], int]] = [(F.col("text"), leaves, 0)]
+    for number, (text, part, depth) in enumerate(todo):
+        name = f"_parsed_{number}"
+        own = {leaf.path: leaf for leaf in part}
+        records = records.withColumn(name, F.from_json(text, _schema(list(own), depth)))
+        deeper: dict[Path, list[Leaf]] = {}
+        for path, leaf in own.items():
+            node = F.col(name)
+            for length in range(depth + 1, len(path) + 1):
+                node = node.getField(path[length - 1])
+                shorter = path[:length]
+                if shorter != path and shorter in own:
+                    if shorter not in deeper:
+                        deeper[shorter] = []
+                        inner = F.when(is_object(_at("record", shorter)), node)
+                        todo.append((inner, deeper[shorter], length))
+                    deeper[shorter].append(leaf)
+                    break
+            else:
+                mixed = ~is_object(_at("record", path))
+                values[path] = F.when(mixed, node) if leaf.mixed else node
+    return records, values
 
 
 def flatten_records(
@@ -187,13 +195,13 @@ def flatten_records(
     When two paths give the same name, ``raise`` stops and ``last`` keeps the
     later one where a record has both.
     """
-    values = _leaf_values(F.col("text"), leaves)
+    parsed, values = _with_leaf_values(records, leaves)
     columns: dict[str, list[Column]] = {}
     for leaf in leaves:
         columns.setdefault(leaf.name(sep), []).append(values[leaf.path])
     twice = sorted(name for name, found in columns.items() if len(found) > 1)
     if twice and on_collision == "raise":
         raise ValueError(f"flattened names collide: {twice}")
-    return records.select(
+    return parsed.select(
         *[F.coalesce(*reversed(found)).alias(name) for name, found in columns.items()]
     )

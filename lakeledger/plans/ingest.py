@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from lakeledger.contracts import DOCUMENT_CONTRACTS, RAW, Contract, enforce, split_rejects
 from lakeledger.functions import trim_text_columns
-from lakeledger.operators.documents import shred_documents
+from lakeledger.operators.documents import inquiries, shred_documents
 from lakeledger.operators.versions import unseen_rows
+from lakeledger.session import scratch_path
 from lakeledger.sinks.tables import append_table, overwrite_table
 from lakeledger.sources.json import read_documents
 
@@ -93,7 +94,10 @@ def ingest(
 
     step("land raw")
     raw = land_raw(spark, source, landing, load_ts, lines)
-    work = shred_documents(raw, run_time(load_ts))
+    step("stage inquiries")
+    staged = scratch_path(spark, "inquiries")
+    overwrite_table(inquiries(raw), staged)
+    work = shred_documents(raw, run_time(load_ts), spark.read.parquet(staged))
     for name, contract in DOCUMENT_CONTRACTS.items():
         step(f"load {name}")
         load_versioned(

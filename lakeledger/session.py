@@ -14,10 +14,7 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # VARIANT columns are stored as typed sub-columns, so that a scan of one
-    # document field does not read the whole document.
-    "spark.sql.variant.writeShredding.enabled": "true",
-    "spark.sql.variant.inferShreddingSchema": "true",
+    # A scan of a VARIANT column extracts only the fields that are asked for.
     "spark.sql.variant.pushVariantIntoScan": "true",
     # A repeated key in a JSON object: the last one counts.
     "spark.sql.variant.allowDuplicateKeys": "true",

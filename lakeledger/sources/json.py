@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeledger.functions import unnest
+
 # Fixed value: source files of the whole-file readers, in any letter case.
 JSON_FILES = "*.[jJ][sS][oO][nN]"
 
@@ -29,7 +31,7 @@ def _read_text(spark: SparkSession, path, lines: bool) -> DataFrame:
 
 
 def _is_array(text: Column) -> Column:
-    return F.ltrim(F.regexp_replace(F.substring(text, 1, 64), r"^[\s\x{FEFF}]+", "")).startswith("[")
+    return text.rlike(r"^\s*\[")
 
 
 def _elements(text: Column) -> Column:
@@ -77,17 +79,16 @@ def read_json_records(spark: SparkSession, path, lines: bool = False) -> DataFra
             )
         ),
     ).otherwise(F.arrays_zip(F.col("texts").alias("text"), F.col("records").alias("record")))
-    # Everything per file is computed below the explode, not once per record.
-    whole = parsed.select("file", "block", bad.alias("is_broken"), entry.alias("entries"))
-    return whole.select(
-        "file", "block", "is_broken", F.posexplode("entries").alias("position", "e")
-    ).select(
+    # Everything per file is computed below the explode, not once per record,
+    # and the mark is read off the exploded row: a filter on it then stays above.
+    whole = parsed.select("file", "block", entry.alias("entries"))
+    return unnest(whole, "entries", ["file", "block"], "e").select(
         "file",
         "block",
-        F.col("position").cast("bigint").alias("position"),
+        F.col("pos").cast("bigint").alias("position"),
         "e.text",
         "e.record",
-        "is_broken",
+        F.col("e.text").isNull().alias("is_broken"),
     )
 
 
@@ -104,9 +105,8 @@ def read_documents(spark: SparkSession, path, load_ts: Column, lines: bool = Fal
     source = _read_text(spark, path, lines).filter(F.length(F.trim("value")) > 0)
     unreadable = F.raise_error(F.concat(F.lit("not JSON: "), F.col("file")))
     texts = F.coalesce(_elements(F.col("value")), unreadable.cast("array<string>"))
-    return source.select(F.explode(texts).alias("text")).select(
-        F.parse_json("text").alias("record_content"), load_ts.alias("load_ts")
-    )
+    records = unnest(source.select(texts.alias("texts")), "texts", [], "text")
+    return records.select(F.parse_json("text").alias("record_content"), load_ts.alias("load_ts"))
 
 
 def read_json_typed(

@@ -41,9 +41,11 @@ def normal(columns, rows):
     return sorted((tuple(repr(plain(r[i])) for i in order) for r in rows))
 
 
-def compare(spark, con, sf_dir, name):
+def compare(spark, con, sf_dir, name, check_frame=None):
     """None when equal, else a message."""
     df = QUERIES[name](spark, sf_dir)
+    if check_frame is not None:
+        check_frame(df)
     if name not in ORACLES:
         df.collect()
         return None

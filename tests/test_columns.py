@@ -66,6 +66,12 @@ def test_text_dates(spark, zone):
         assert got == [
             datetime(2026, 3, 8, 2, 30), datetime(2026, 8, 16, 13, 2, 3), datetime(2026, 8, 6), None,
         ]
+        got = values(
+            spark,
+            ["03/08/2026 02:30:00 AM", "08/16/2026 01:02:03 pm", "soon"],
+            lambda c: parse_timestamp_ntz(c, DATE_TIME_12H, "null"),
+        )
+        assert got == [datetime(2026, 3, 8, 2, 30), datetime(2026, 8, 16, 13, 2, 3), None]
         got = values(spark, ["08/16/2026", None], lambda c: parse_timestamp_ntz(c, DATE_US))
         assert got == [datetime(2026, 8, 16), None]
         got = values(spark, ["2026-08-16"], lambda c: parse_timestamp_ntz(c, DATE_ISO))
@@ -77,8 +83,13 @@ def test_text_dates(spark, zone):
 def test_bad_text_dates(spark):
     bad = ["13/45/2026", "08/16/2026 01:02:03", ""]
     assert values(spark, bad, lambda c: parse_timestamp_ntz(c, DATE_US, "null")) == [None] * 3
-    with pytest.raises(Exception, match="cannot read as M/d/yyyy: 13/45/2026"):
-        values(spark, bad[:1], lambda c: parse_timestamp_ntz(c, DATE_US))
+    for ansi in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            with pytest.raises(Exception, match="13/45/2026"):
+                values(spark, bad[:1], lambda c: parse_timestamp_ntz(c, DATE_US))
+        finally:
+            spark.conf.set("spark.sql.ansi.enabled", "true")
 
 
 def test_flag(spark):

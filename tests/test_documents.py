@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakeledger.contracts import CONVERSATION, DOCUMENT_CONTRACTS, INQUIRY_INTENT, NEVER_STORED
 from lakeledger.functions import trim_text_columns
-from lakeledger.operators.documents import shred_documents
+from lakeledger.operators.documents import inquiries, shred_documents
 from lakeledger.operators.joins import anti_join
 from lakeledger.operators.versions import latest_version, unseen_rows
 from lakeledger.plans.ingest import ingest, land_raw, load_versioned, run_time
@@ -116,13 +116,33 @@ def test_shredding_has_no_shuffle_and_reads_only_named_fields(spark, source, fol
         assert "Exchange" not in plan and "Python" not in plan
         # The document is read as its named parts, not as one VARIANT.
         assert "ReadSchema: struct<record_content:struct<0:" in plan
+    inquiries(raw).write.parquet(f"{folder}/staged")
+    staged = spark.read.parquet(f"{folder}/staged")
+    topics = shred_documents(raw, run_time(RUN), staged)["inquiry_topic"]
+    plan = topics._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<inquiry_id:string,topics:array<string>>" in plan
+
+
+def test_an_odd_element_does_not_cost_its_list(spark):
+    text = json.dumps(
+        {"json_body": {"conversation_id": "C", "summary": {"inquiries": [
+            {"intents": [5, {"id": 1}], "key_points": ["a", {"b": 1}, None, 7]}, "odd"]}}}
+    )
+    raw = spark.createDataFrame([(text,)], "t string").select(
+        F.parse_json("t").alias("record_content")
+    )
+    work = shred_documents(raw, run_time(RUN))
+    assert work["inquiry"].count() == 2
+    assert [r["intent_id"] for r in work["inquiry_intent"].collect()] == [None, Decimal(1)]
+    points = [(int(r[1]), r[2]) for r in work["inquiry_key_point"].collect()]
+    assert points == [(1, "a"), (2, '{"b":1}'), (3, None), (4, "7")]
 
 
 def test_ingest_twice_adds_nothing(spark, source, folder):
     good = f"{folder}/final"
     args = (spark, source, f"{folder}/raw", good, RUN)
     log = ingest(*args, rejects=f"{folder}/rejects")
-    assert [r["step"] for r in log][:2] == ["land raw", "load conversation"]
+    assert [r["step"] for r in log][:3] == ["land raw", "stage inquiries", "load conversation"]
     counts = {n: spark.read.parquet(f"{good}/{n}").count() for n in DOCUMENT_CONTRACTS}
     assert counts == {
         "conversation": 2, "inquiry": 2, "inquiry_intent": 1, "inquiry_key_point": 2,
@@ -178,6 +198,18 @@ def test_versioned_append_cases(spark):
     )
 
 
+def test_known_run_version_is_pushed_into_the_scan_of_the_final_table(spark, folder):
+    one, two = datetime(2026, 1, 1), datetime(2026, 1, 2)
+    versions(spark, [("a", one, 1)]).write.parquet(f"{folder}/final")
+    final = spark.read.parquet(f"{folder}/final")
+    work = versions(spark, [("a", two, 2)])
+    fresh = unseen_rows(work, final, ["k"], run_version="2026-01-02 00:00:00")
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(updated_on,2026-01-02T00:00)" in plan
+    assert "LeftAnti" in plan and "ReadSchema: struct<k:string,updated_on:timestamp_ntz>" in plan
+    assert [tuple(r) for r in fresh.collect()] == [("a", two, 2)]
+
+
 def test_hot_key_is_split_by_adaptive_execution(spark):
     """A third of the rows has one key; the join must be able to split it."""
     conf = {

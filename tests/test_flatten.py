@@ -81,6 +81,23 @@ def test_object_meets_scalar(spark, tmp_path):
     )
 
 
+def test_objects_nested_below_mixed_paths(spark, tmp_path):
+    source = put(
+        tmp_path / "in",
+        {"a.json": '[{"a":1},{"a":{"b":"{\\"c\\":0}"}},{"a":{"b":{"c":{"d":2.0},"e":[{"z":1,"y":2}]}}}]'},
+    )
+    flat = flatten_json(read_json_records(spark, source))
+    assert flat.columns == ["a", "a_b", "a_b_c_d", "a_b_e"]
+    assert [tuple(r) for r in flat.collect()] == [
+        ("1", None, None, None),
+        (None, '{"c":0}', None, None),
+        (None, None, "2.0", '[{"z":1,"y":2}]'),
+    ]
+    plan = flat._jdf.queryExecution().optimizedPlan().toString()
+    # One parse of the text, one of each mixed path; not one per column.
+    assert plan.count("from_json(StructField") == 3
+
+
 def test_null_in_place_of_an_object_is_a_blank_column(spark, tmp_path):
     source = put(tmp_path / "in", {"a.json": '[{"a":null},{"a":{"b":1}}]'})
     assert flatten_json(read_json_records(spark, source)).columns == ["a", "a_b"]

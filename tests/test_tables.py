@@ -201,7 +201,7 @@ def test_program_report(spark, folder):
     row = build_program_report(blank, run_time(NOW)).first()
     assert row["ADMIT_DATE"] is None and row["PROVIDER_OUTREACH_REQUESTED"] == "true"
     bad = report_source(spark, ADMIT_DATE="soon")
-    with pytest.raises(Exception, match="cannot read as M/d/yyyy: soon"):
+    with pytest.raises(Exception, match="soon"):
         build_program_report(bad, run_time(NOW)).collect()
     assert build_program_report(bad, run_time(NOW), "null").first()["ADMIT_DATE"] is None
 

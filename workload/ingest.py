@@ -16,6 +16,7 @@ from lakeledger.contracts import (
 )
 from lakeledger.functions import trim_text_columns
 from lakeledger.operators.documents import (
+    inquiries,
     shred_conversation,
     shred_inquiry,
     shred_intent,
@@ -154,7 +155,7 @@ SELECT inquiry_id, id AS conversation_id, (pos + 1)::VARCHAR AS inquiry_number,
 FROM inquiries""",
 )
 def inquiry_shred(spark, sf_dir):
-    rows = shred_inquiry(conversation_documents(spark, sf_dir), run_time(RUN))
+    rows = shred_inquiry(inquiries(conversation_documents(spark, sf_dir)), run_time(RUN))
     return rows.select(
         "inquiry_id",
         "conversation_id",
@@ -175,7 +176,7 @@ UNION ALL
 SELECT inquiry_id, NULL, 'line' FROM inquiries""",
 )
 def intent_shred(spark, sf_dir):
-    rows = shred_intent(conversation_documents(spark, sf_dir), run_time(RUN))
+    rows = shred_intent(inquiries(conversation_documents(spark, sf_dir)), run_time(RUN))
     return _whole(rows, "intent_id").drop("updated_on", "load_ts")
 
 
@@ -188,7 +189,7 @@ SELECT inquiry_id, generate_subscripts(string_split(line, '. '), 1)::BIGINT AS k
 FROM inquiries""",
 )
 def key_point_shred(spark, sf_dir):
-    rows = shred_key_point(conversation_documents(spark, sf_dir), run_time(RUN))
+    rows = shred_key_point(inquiries(conversation_documents(spark, sf_dir)), run_time(RUN))
     return _whole(rows, "key_point_seq").drop("updated_on", "load_ts")
 
 
@@ -201,7 +202,7 @@ SELECT inquiry_id, generate_subscripts(string_split(line, ' '), 1)::BIGINT AS to
 FROM inquiries""",
 )
 def topic_shred(spark, sf_dir):
-    rows = shred_topic(conversation_documents(spark, sf_dir), run_time(RUN))
+    rows = shred_topic(inquiries(conversation_documents(spark, sf_dir)), run_time(RUN))
     return _whole(rows, "topic_seq").drop("updated_on", "load_ts")
 
 
@@ -218,7 +219,7 @@ SELECT md5(doc_id || '-' || pos) AS inquiry_id, doc_id::VARCHAR AS conversation_
 FROM lines""",
 )
 def document_inquiry_shred(spark, sf_dir):
-    rows = shred_inquiry(text_documents(spark, sf_dir), run_time(RUN))
+    rows = shred_inquiry(inquiries(text_documents(spark, sf_dir)), run_time(RUN))
     return rows.select("inquiry_id", "conversation_id", "inquiry_role", "description")
 
 
