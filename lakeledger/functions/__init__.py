@@ -6,6 +6,7 @@ from lakeledger.functions.columns import (  # noqa: F401
     parse_timestamp_ntz,
     record_key,
     run_stamp,
+    run_time,
     try_number,
     try_timestamp_ntz,
 )

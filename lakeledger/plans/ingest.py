@@ -5,11 +5,10 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from lakeledger.contracts import DOCUMENT_CONTRACTS, RAW, Contract, enforce, split_rejects
-from lakeledger.functions import trim_text_columns
+from lakeledger.functions import run_time, trim_text_columns
 from lakeledger.operators.documents import inquiries, shred_documents
 from lakeledger.operators.versions import unseen_rows
 from lakeledger.session import scratch_path
@@ -17,11 +16,6 @@ from lakeledger.sinks.tables import append_table, overwrite_table
 from lakeledger.sources.json import read_documents
 
 
-def run_time(load_ts: datetime) -> Column:
-    """One load time per run, to the second."""
-    return F.lit(load_ts.replace(microsecond=0, tzinfo=None).isoformat(" ")).cast("timestamp_ntz")
-
-
 def land_raw(
     spark: SparkSession, source: str, target: str, load_ts: datetime, lines: bool = False
 ) -> DataFrame:

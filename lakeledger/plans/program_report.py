@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeledger.contracts import NUMBER, TEXT, TIMESTAMP, ColumnSpec, Contract, enforce
-from lakeledger.functions import flag_to_text, parse_timestamp_ntz
+from lakeledger.functions import flag_to_text, parse_timestamp_ntz, run_stamp, run_time
 from lakeledger.functions.columns import DATE_ISO, DATE_TIME_12H, DATE_US
 from lakeledger.sinks.tables import overwrite_table
 
@@ -125,3 +127,20 @@ def refresh_program_report(
 def create_report_view(report: DataFrame, view: str) -> None:
     """View with an explicit column list; no filter, no masking."""
     report.select(*PROGRAM_REPORT.names).createOrReplaceTempView(view)
+
+
+def publish_program_report(
+    source: DataFrame, folder: str, view: str, load_ts: datetime, on_error: str = "raise"
+) -> str:
+    """Full refresh whose readers never meet an empty or half-written table.
+
+    Each run writes a folder of its own; the catalog view is moved to it once
+    the write is done. Folders of earlier runs stay until they are retired.
+    """
+    target = f"{folder.rstrip('/')}/load_{run_stamp(load_ts)}"
+    refresh_program_report(source, target, run_time(load_ts), on_error=on_error)
+    columns = ", ".join(PROGRAM_REPORT.names)
+    source.sparkSession.sql(
+        f"CREATE OR REPLACE VIEW {view} AS SELECT {columns} FROM parquet.`{target}`"
+    )
+    return target

@@ -32,6 +32,7 @@ from lakeledger.operators.raw_counts import raw_counts_with_broken
 from lakeledger.session import scratch_path
 from lakeledger.sinks.reports import write_anomalies, write_ledger, write_report
 from lakeledger.sinks.tables import overwrite_table
+from lakeledger.sources.json import read_control_dates
 from lakeledger.sources.layers import (
     latest_event_dates,
     list_files,
@@ -356,11 +357,15 @@ def run_reconciliation(
     configs: list[dict],
     generated_at: datetime,
     dates: Iterable[str] | None = None,
+    control_file: str | None = None,
     surveys: Iterable[str] | None = None,
     options: Options = Options(),
 ) -> list[dict]:
     """Run the job and return its log: (event_date, survey_name, status, message) rows.
 
+    The dates are the given ones, else those of the control file, else (live
+    mode) the latest date of each survey.
+
     A date with an unreadable raw file and a survey with an unreadable layer
     fail on their own; if the common job still fails, it is repeated survey by
     survey. With any failure the run raises at the end, after writing the rest.
@@ -373,6 +378,8 @@ def run_reconciliation(
             {"event_date": item[0], "survey_name": item[1], "status": status, "message": message}
         )
 
+    if dates is None and control_file is not None:
+        dates = [r["event_date"] for r in read_control_dates(spark, control_file).collect()]
     items, skipped = resolve_work(spark, paths, configs, dates, options)
     for item in skipped:
         note(item, SKIPPED)

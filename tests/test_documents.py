@@ -6,11 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeledger.contracts import CONVERSATION, DOCUMENT_CONTRACTS, INQUIRY_INTENT, NEVER_STORED
-from lakeledger.functions import trim_text_columns
+from lakeledger.functions import run_time, trim_text_columns
 from lakeledger.operators.documents import inquiries, shred_documents
 from lakeledger.operators.joins import anti_join
 from lakeledger.operators.versions import latest_version, unseen_rows
-from lakeledger.plans.ingest import ingest, land_raw, load_versioned, run_time
+from lakeledger.plans.ingest import ingest, land_raw, load_versioned
 
 RUN = datetime(2026, 8, 12, 10, 0, 0, 123456)
 DOCUMENTS = [

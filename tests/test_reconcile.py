@@ -187,6 +187,14 @@ def test_live_mode_takes_latest_date_of_each_survey(spark, paths):
     assert set(report_rows(paths.report)) == {("2026-05-12", "MAIL"), (DAY, "PHONE")}
 
 
+def test_dates_of_a_control_file(spark, paths, folder):
+    put(f"{folder}/dates.json", json.dumps({"dates": [DAY, "2026-05-10", DAY]}))
+    log = run_reconciliation(spark, paths, CONFIGS, NOW, control_file=f"{folder}/dates.json")
+    assert len(log) == 6 and {r["event_date"] for r in log} == {DAY, "2026-05-10"}
+    # A raw record of the day before lies in this day's folder and counts for neither.
+    assert report_rows(paths.report)[("2026-05-10", "PHONE")]["raw_count"] == 0
+
+
 def test_survey_subset(spark, paths):
     log = run_reconciliation(spark, paths, CONFIGS, NOW, dates=[DAY], surveys=["MAIL", "nope"])
     assert [r["survey_name"] for r in log] == ["MAIL"]

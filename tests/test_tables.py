@@ -14,14 +14,15 @@ from lakeledger.contracts import (
     violation_counts,
     with_load_ts,
 )
+from lakeledger.functions import run_time
 from lakeledger.operators.quality import date_coverage, key_duplicates, key_orphans, populated_share
 from lakeledger.operators.survey_counts import daily_counts, survey_summary
-from lakeledger.plans.ingest import run_time
 from lakeledger.plans.program_report import (
     PROGRAM_REPORT,
     REPORT_COLUMNS,
     build_program_report,
     create_report_view,
+    publish_program_report,
     refresh_program_report,
     source_type,
 )
@@ -206,6 +207,22 @@ def test_program_report(spark, folder):
     assert build_program_report(bad, run_time(NOW), "null").first()["ADMIT_DATE"] is None
 
 
+def test_published_report_moves_its_view(spark, folder):
+    first = publish_program_report(report_source(spark), f"{folder}/r", "published_report", NOW)
+    try:
+        assert first.endswith("load_20260512T080000Z")
+        assert spark.table("published_report").columns == PROGRAM_REPORT.names
+        later = report_source(spark, CLIENT="new")
+        publish_program_report(later, f"{folder}/r", "published_report", datetime(2026, 5, 13))
+        assert [r["CLIENT"] for r in spark.table("published_report").collect()] == ["new"]
+        bad = report_source(spark, ADMIT_DATE="soon")
+        with pytest.raises(Exception, match="soon"):
+            publish_program_report(bad, f"{folder}/r", "published_report", datetime(2026, 5, 14))
+        assert [r["CLIENT"] for r in spark.table("published_report").collect()] == ["new"]
+    finally:
+        spark.sql("DROP VIEW published_report")
+
+
 def test_quality_reports(spark):
     df = spark.createDataFrame(
         [("a", "2026-01-01", "x"), ("a", "2026-01-04", None), ("b", "2026-01-02", None)],

@@ -14,7 +14,7 @@ from lakeledger.contracts import (
     split_rejects,
     violation_counts,
 )
-from lakeledger.functions import trim_text_columns
+from lakeledger.functions import run_time, trim_text_columns
 from lakeledger.operators.documents import (
     inquiries,
     shred_conversation,
@@ -24,7 +24,7 @@ from lakeledger.operators.documents import (
     shred_topic,
 )
 from lakeledger.operators.versions import latest_version, unseen_rows
-from lakeledger.plans.ingest import ingest, land_raw, load_versioned, run_time
+from lakeledger.plans.ingest import ingest, land_raw, load_versioned
 from lakeledger.session import scratch_path
 from workload.base import query, table
 

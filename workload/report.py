@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from lakeledger.plans.ingest import run_time
+from lakeledger.functions import run_time
 from lakeledger.plans.program_report import (
     REPORT_COLUMNS,
     build_program_report,
