@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeledger.operators.joins import anti_join
-
 
 def populated_share(df: DataFrame, group: Sequence[str], column: str) -> DataFrame:
     """Share of non-null values per group."""
@@ -62,15 +60,21 @@ def key_orphans(
 ) -> DataFrame:
     """Child keys without a parent row, with their number of child rows.
 
-    Children are counted per key before anything is joined, so a key that many
-    rows share is one row in the join. A key with a null part refers to nothing.
+    One aggregate over both tables: a key that many rows share is one row
+    before it is shuffled. A key with a null part refers to nothing.
     """
-    children = (
-        child.dropna(subset=list(child_key))
-        .groupBy(*child_key)
-        .agg(F.count(F.lit(1)).alias("row_count"))
+    children = child.dropna(subset=list(child_key)).select(
+        *child_key, F.lit(1).alias("_child"), F.lit(False).alias("_parent")
     )
     parents = parent.select(
-        *[F.col(p).alias(c) for p, c in zip(parent_key, child_key, strict=True)]
+        *[F.col(p).alias(c) for p, c in zip(parent_key, child_key, strict=True)],
+        F.lit(0).alias("_child"),
+        F.lit(True).alias("_parent"),
+    )
+    return (
+        children.unionByName(parents)
+        .groupBy(*child_key)
+        .agg(F.sum("_child").alias("row_count"), F.bool_or("_parent").alias("_parent"))
+        .filter(~F.col("_parent"))
+        .drop("_parent")
     )
-    return anti_join(children, parents, list(child_key))

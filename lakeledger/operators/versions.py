@@ -10,40 +10,40 @@ from pyspark.sql import functions as F
 from lakeledger.operators.joins import anti_join
 
 
+def of_version(final: DataFrame, run_version, version: str = "updated_on") -> DataFrame:
+    """Stored rows of one run: Parquet statistics skip what other runs have written."""
+    return final.filter(F.col(version) == F.lit(run_version).cast("timestamp_ntz"))
+
+
+def dedup_batch(
+    work: DataFrame, primary_key: Sequence[str], version: str = "updated_on"
+) -> DataFrame:
+    """The smallest row per key and version; rows with a null key stay as they are."""
+    keys = [*primary_key, version]
+    rest = [c for c in work.columns if c not in keys]
+    has_null = F.greatest(*[F.col(k).isNull() for k in keys])
+    whole = work.filter(~has_null)
+    if rest:
+        smallest = whole.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"))
+        whole = smallest.select(*keys, "_row.*").select(work.columns)
+    else:
+        whole = whole.distinct()
+    return whole.unionByName(work.filter(has_null))
+
+
 def unseen_rows(
     work: DataFrame,
     final: DataFrame,
     primary_key: Sequence[str],
     version: str = "updated_on",
-    run_version=None,
     dedup_within_batch: bool = False,
 ) -> DataFrame:
     """Rows of ``work`` whose key and version are not yet in ``final``.
 
-    ``run_version`` is the one version all work rows carry, when it is known:
-    the scan of ``final`` is then filtered to it, so that Parquet statistics
-    skip what earlier runs have written. Equal rows inside one batch are all
-    kept unless ``dedup_within_batch``.
+    Equal rows inside one batch are all kept unless ``dedup_within_batch``.
     """
-    if run_version is not None:
-        final = final.filter(F.col(version) == F.lit(run_version).cast("timestamp_ntz"))
     fresh = anti_join(work, final, [*primary_key, version])
-    if not dedup_within_batch:
-        return fresh
-    # The smallest row per key and version; null keys stay as they are.
-    keys = [*primary_key, version]
-    rest = [c for c in work.columns if c not in keys]
-    has_null = F.greatest(*[F.col(k).isNull() for k in keys])
-    picked = (
-        fresh.filter(~has_null)
-        .groupBy(*keys)
-        .agg(F.min(F.struct(*rest)).alias("_row"))
-        .select(*keys, "_row.*")
-        .select(work.columns)
-        if rest
-        else fresh.filter(~has_null).distinct()
-    )
-    return picked.unionByName(fresh.filter(has_null))
+    return dedup_batch(fresh, primary_key, version) if dedup_within_batch else fresh
 
 
 def latest_version(

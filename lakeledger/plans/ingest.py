@@ -6,13 +6,14 @@ from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakeledger.contracts import DOCUMENT_CONTRACTS, RAW, Contract, enforce, split_rejects
-from lakeledger.functions import run_time, trim_text_columns
+from lakeledger.functions import run_stamp, run_time, trim_text_columns
 from lakeledger.operators.documents import inquiries, shred_documents
-from lakeledger.operators.versions import unseen_rows
+from lakeledger.operators.versions import dedup_batch, of_version, unseen_rows
 from lakeledger.session import scratch_path
-from lakeledger.sinks.tables import append_table, overwrite_table
+from lakeledger.sinks.tables import append_table, overwrite_table, write_partitions
 from lakeledger.sources.json import read_documents
 
 
@@ -48,27 +49,31 @@ def load_versioned(
     A row that breaks the contract fails the load, or is appended to
     ``rejects`` when that path is given. Repeating a load adds nothing, so a
     run that stopped half-way is completed by running it again. One writer per
-    target at a time.
+    target at a time. ``run_version`` is the one version that all rows of this
+    run carry, when it is known; only stored rows of that version are read.
     """
     trimmed = trim_text_columns(work)
     if rejects is None:
-        checked = enforce(trimmed, contract)
+        fresh = enforce(trimmed, contract)
     else:
-        checked, bad = split_rejects(trimmed, contract)
+        fresh, bad = split_rejects(trimmed, contract)
     final = _final_table(spark, target, contract)
-    version = None
     if run_version is not None:
-        version = run_version.replace(microsecond=0, tzinfo=None).isoformat(" ")
-    fresh = unseen_rows(
-        checked,
-        final,
-        contract.primary_key,
-        run_version=version,
-        dedup_within_batch=dedup_within_batch,
-    )
+        final = of_version(final, run_version.replace(microsecond=0, tzinfo=None).isoformat(" "))
+    # Usually nothing of this run is stored yet: then there is nothing to join
+    # with, and the new rows need no shuffle.
+    if not final.limit(1).isEmpty():
+        fresh = unseen_rows(fresh, final, contract.primary_key)
+    if dedup_within_batch:
+        fresh = dedup_batch(fresh, contract.primary_key)
     append_table(fresh, target)
-    if rejects is not None:
+    if rejects is None:
+        return
+    if run_version is None:
         append_table(bad, rejects)
+    else:
+        # Repeating a run replaces its own rejects.
+        write_partitions(bad.withColumn("run", F.lit(run_stamp(run_version))), rejects, ("run",))
 
 
 def ingest(

@@ -24,7 +24,8 @@ def write_daily_counts(
 
     Nothing to count writes nothing.
     """
-    write_partitions(daily_counts(rows, job_run_id, env, iso_text(processed_at)), path, KEYS)
+    counts = daily_counts(rows, job_run_id, env, iso_text(processed_at))
+    write_partitions(counts, path, KEYS, row_per_key=True)
 
 
 def summary_report(daily: DataFrame) -> DataFrame:

@@ -18,16 +18,20 @@ REPORT_KEYS = ("event_date", "survey_name")
 IDS_PER_LINE = 100_000
 
 
+def _write_rows(summary: DataFrame, path: str) -> None:
+    # Nulls stay in the body, so that every count has its field.
+    write_partitions(
+        summary, path, REPORT_KEYS, "json", row_per_key=True, ignoreNullFields="false"
+    )
+
+
 def write_report(summary: DataFrame, path: str, layout: str = "unified") -> None:
     """One JSON row per date and survey. ``split`` keeps the two pipeline kinds apart."""
     if layout == "unified":
-        write_partitions(summary, path, REPORT_KEYS, "json", ignoreNullFields="false")
+        _write_rows(summary, path)
     elif layout == "split":
         for status, prefix in (("ACTIVE", "active"), ("RAW_ONLY", "raw_only")):
-            part = summary.filter(F.col("pipeline_status") == status)
-            write_partitions(
-                part, f"{path}/{prefix}", REPORT_KEYS, "json", ignoreNullFields="false"
-            )
+            _write_rows(summary.filter(F.col("pipeline_status") == status), f"{path}/{prefix}")
     else:
         raise ValueError("layout is 'unified' or 'split'")
 
@@ -77,4 +81,5 @@ def ledger_rows(summary: DataFrame, report_path: str) -> DataFrame:
 
 def write_ledger(summary: DataFrame, path: str, report_path: str) -> None:
     """Upsert by key: the partition of a (date, survey) is replaced. Written last."""
-    write_partitions(ledger_rows(summary, report_path), path, ("event_date", "survey_type"))
+    rows = ledger_rows(summary, report_path)
+    write_partitions(rows, path, ("event_date", "survey_type"), row_per_key=True)

@@ -23,17 +23,24 @@ def append_table(df: DataFrame, target: str, table: bool = False) -> None:
 
 def write_partitions(
     df: DataFrame, path: str, keys: Sequence[str] = ("survey_name", "event_date"),
-    fmt: str = "parquet", **options: str,
+    fmt: str = "parquet", row_per_key: bool = False, **options: str,
 ) -> None:
     """Replace exactly the partitions that ``df`` holds; others stay.
 
     Rows are first brought together by partition, so that each partition gets
     few files. ``rebalance`` lets adaptive execution split a hot partition over
-    several tasks.
+    several tasks. It goes by bytes, though, and would give all partitions of
+    a report with one row each to one task: ``row_per_key`` spreads those over
+    tasks by key.
     """
+    columns = [F.col(k) for k in keys]
+    if row_per_key:
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        gathered = df.repartition(tasks, *columns)
+    else:
+        gathered = df.hint("rebalance", *columns)
     (
-        df.hint("rebalance", *[F.col(k) for k in keys])
-        .write.mode("overwrite")
+        gathered.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .options(**options)
         .partitionBy(*keys)

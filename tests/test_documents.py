@@ -9,7 +9,7 @@ from lakeledger.contracts import CONVERSATION, DOCUMENT_CONTRACTS, INQUIRY_INTEN
 from lakeledger.functions import run_time, trim_text_columns
 from lakeledger.operators.documents import inquiries, shred_documents
 from lakeledger.operators.joins import anti_join
-from lakeledger.operators.versions import latest_version, unseen_rows
+from lakeledger.operators.versions import latest_version, of_version, unseen_rows
 from lakeledger.plans.ingest import ingest, land_raw, load_versioned
 
 RUN = datetime(2026, 8, 12, 10, 0, 0, 123456)
@@ -151,6 +151,7 @@ def test_ingest_twice_adds_nothing(spark, source, folder):
     bad = spark.read.parquet(f"{folder}/rejects/inquiry_intent").collect()
     assert [r["broken_rules"] for r in bad] == [["intent_id: null"]]
     ingest(*args, rejects=f"{folder}/rejects")
+    assert spark.read.parquet(f"{folder}/rejects/inquiry_intent").count() == 1
     again = {n: spark.read.parquet(f"{good}/{n}").count() for n in DOCUMENT_CONTRACTS}
     assert again == counts
     later = datetime(2026, 8, 13)
@@ -203,7 +204,7 @@ def test_known_run_version_is_pushed_into_the_scan_of_the_final_table(spark, fol
     versions(spark, [("a", one, 1)]).write.parquet(f"{folder}/final")
     final = spark.read.parquet(f"{folder}/final")
     work = versions(spark, [("a", two, 2)])
-    fresh = unseen_rows(work, final, ["k"], run_version="2026-01-02 00:00:00")
+    fresh = unseen_rows(work, of_version(final, "2026-01-02 00:00:00"), ["k"])
     plan = fresh._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(updated_on,2026-01-02T00:00)" in plan
     assert "LeftAnti" in plan and "ReadSchema: struct<k:string,updated_on:timestamp_ntz>" in plan
