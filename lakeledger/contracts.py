@@ -186,10 +186,14 @@ SURVEY_CONFIG = Contract(
 
 def conform(df: DataFrame, contract: Contract) -> DataFrame:
     """Contract columns by name, in contract order, cast to contract types."""
+    given = {f.name: f.dataType for f in df.schema.fields}
+    wanted = {f.name: f.dataType for f in contract.schema.fields}
     return df.select(
         *[
-            (F.col(c.name) if c.type == "variant" else F.col(c.name).cast(c.type)).alias(c.name)
-            for c in contract.columns
+            name
+            if given.get(name) == wanted[name]
+            else F.col(name).cast(wanted[name]).alias(name)
+            for name in contract.names
         ]
     )
 
@@ -214,19 +218,23 @@ def violations(contract: Contract) -> dict[str, Column]:
 
 def enforce(df: DataFrame, contract: Contract) -> DataFrame:
     """``conform`` plus a check that fails the job at the first bad row."""
-    out = conform(df, contract)
-    checked = []
-    for c in contract.columns:
-        col = F.col(c.name)
-        value = col
+
+    def checked(c: ColumnSpec) -> Column | str:
+        if c.nullable and c.length is None:
+            return c.name
+        value = F.col(c.name)
+        bad = None if c.nullable else value.isNull()
+        problem = f"{contract.name}.{c.name}: null"
         if c.length is not None:
-            message = f"{contract.name}.{c.name}: longer than {c.length}"
-            value = F.when(F.length(col) > c.length, F.raise_error(F.lit(message))).otherwise(value)
-        if not c.nullable:
-            message = f"{contract.name}.{c.name}: null"
-            value = F.when(col.isNull(), F.raise_error(F.lit(message))).otherwise(value)
-        checked.append(value.alias(c.name))
-    return out.select(*checked)
+            too_long = f"{contract.name}.{c.name}: longer than {c.length}"
+            value = F.when(F.length(c.name) > c.length, F.raise_error(F.lit(too_long))).otherwise(
+                value
+            )
+        if bad is not None:
+            value = F.when(bad, F.raise_error(F.lit(problem))).otherwise(value)
+        return value.alias(c.name)
+
+    return conform(df, contract).select(*[checked(c) for c in contract.columns])
 
 
 def split_rejects(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:

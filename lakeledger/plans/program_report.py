@@ -107,7 +107,10 @@ def build_program_report(source: DataFrame, load_ts: Column, on_error: str = "ra
 
     def value(name: str, kind: str) -> Column:
         if kind == "load":
-            return F.date_trunc("second", load_ts).cast("timestamp_ntz")
+            # To the second, cut off as text: no detour through the session zone.
+            return F.substring(load_ts.cast("timestamp_ntz").cast("string"), 1, 19).cast(
+                "timestamp_ntz"
+            )
         if kind == "flag":
             return flag_to_text(F.col(name))
         if kind in _TEXT_FORMATS:

@@ -34,6 +34,10 @@ def build_session(
     return builder.getOrCreate()
 
 
+# Scratch folder of a local session that has none configured.
+_local_base: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder name under the cluster's shared checkpoint folder.
 
@@ -44,6 +48,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="lakeledger-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if not _local_base:
+            _local_base.append(tempfile.mkdtemp(prefix="lakeledger-"))
+        base = _local_base[0]
     return f"{base.rstrip('/')}/lakeledger/{name}-{uuid.uuid4().hex}"

@@ -62,11 +62,17 @@ def write_staged(df: DataFrame, path: str, keys: Sequence[str] = ("survey_name",
 def write_csv(df: DataFrame, destination: str, run_ts) -> str:
     """A CSV data set with header in a new folder named after the run.
 
-    Null and missing values are empty cells. An existing folder is never
-    overwritten.
+    Null, missing and empty values are empty cells; blanks around a value are
+    kept. An existing folder is never overwritten.
     """
     path = f"{destination.rstrip('/')}/combined_{run_stamp(run_ts)}"
-    df.write.mode("errorifexists").option("header", "true").option("escape", '"').csv(path)
+    df.write.mode("errorifexists").options(
+        header="true",
+        escape='"',
+        emptyValue="",
+        ignoreLeadingWhiteSpace="false",
+        ignoreTrailingWhiteSpace="false",
+    ).csv(path)
     return path
 
 

@@ -27,6 +27,7 @@ from lakeledger.plans.program_report import (
     source_type,
 )
 from lakeledger.plans.survey_counts import summary_report, write_daily_counts
+from lakeledger.session import scratch_path
 from lakeledger.sinks.reports import write_report
 from lakeledger.sinks.tables import (
     append_table,
@@ -109,11 +110,11 @@ def test_staged_rows_are_counted_while_written(spark, folder):
 
 
 def test_csv_has_header_and_never_overwrites(spark, folder):
-    df = spark.createDataFrame([("x", None), ('q"u,o', 1)], "a string, b int")
+    df = spark.createDataFrame([("x", None), ('q"u,o', 1), ("", 2), (" y ", 3)], "a string, b int")
     path = write_csv(df.coalesce(1), f"{folder}/", NOW)
     assert path == f"{folder}/combined_20260512T080000Z"
     text = next(Path(path).glob("*.csv")).read_text()
-    assert text == 'a,b\nx,\n"q""u,o",1\n'
+    assert text == 'a,b\nx,\n"q""u,o",1\n,2\n y ,3\n'
     with pytest.raises(Exception, match="ALREADY_EXISTS"):
         write_csv(df, folder, NOW)
 
@@ -167,6 +168,27 @@ def test_contract(spark):
             enforce(df.filter(condition), CONTRACT).collect()
 
 
+class StubSession:
+    """A session without a configured checkpoint folder."""
+
+    def __init__(self, master):
+        self.conf = self.sparkContext = self
+        self.master = master
+
+    def get(self, key, default):
+        return default
+
+
+def test_scratch_folder(spark):
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        assert scratch_path(spark, "x").startswith(f"{shared.rstrip('/')}/lakeledger/x-")
+    assert scratch_path(spark, "x") != scratch_path(spark, "x")
+    assert "/lakeledger/x-" in scratch_path(StubSession("local[2]"), "x")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(StubSession("spark://host:7077"), "x")
+
+
 def test_load_ts_default(spark):
     df = with_load_ts(spark.range(1), run_time(NOW))
     assert df.first()["load_ts"] == NOW

@@ -26,7 +26,7 @@ from lakeledger.operators.documents import (
 from lakeledger.operators.versions import latest_version, unseen_rows
 from lakeledger.plans.ingest import ingest, land_raw, load_versioned
 from lakeledger.session import scratch_path
-from workload.base import query, table
+from workload.base import query, table, write_array_files
 
 RUN = datetime(2026, 8, 12)
 
@@ -223,25 +223,15 @@ def document_inquiry_shred(spark, sf_dir):
     return rows.select("inquiry_id", "conversation_id", "inquiry_role", "description")
 
 
-@query(
-    "raw_landing",
-    """
+_LANDED = """
 SELECT 'm' || conv_id || ':' || turn AS message_id,
        CASE WHEN role <> 'system' THEN conv_id || ':' || turn END AS conversation_id,
        len(string_split(text, chr(10)))::BIGINT AS inquiries,
        TIMESTAMP '2026-08-12 00:00:00' AS load_ts
-FROM conversations""",
-)
-def raw_landing(spark, sf_dir):
-    """Lines that hold an object (user turns) or an array around it (all others)."""
-    texts = conversation_texts(spark, sf_dir).select(
-        F.when(F.col("role") == "user", F.col("value"))
-        .otherwise(F.concat(F.lit("["), F.col("value"), F.lit("]")))
-        .alias("value")
-    )
-    source = scratch_path(spark, "documents")
-    texts.write.text(source)
-    raw = land_raw(spark, source, scratch_path(spark, "raw"), RUN, lines=True)
+FROM conversations"""
+
+
+def _landed(raw):
     doc = "record_content"
     return raw.select(
         F.variant_get(doc, "$.message_id", "string").alias("message_id"),
@@ -253,6 +243,28 @@ def raw_landing(spark, sf_dir):
     )
 
 
+@query("raw_landing", _LANDED)
+def raw_landing(spark, sf_dir):
+    """Lines that hold an object (user turns) or an array around it (all others)."""
+    texts = conversation_texts(spark, sf_dir).select(
+        F.when(F.col("role") == "user", F.col("value"))
+        .otherwise(F.concat(F.lit("["), F.col("value"), F.lit("]")))
+        .alias("value")
+    )
+    source = scratch_path(spark, "documents")
+    texts.write.text(source)
+    return _landed(land_raw(spark, source, scratch_path(spark, "raw"), RUN, lines=True))
+
+
+@query("raw_landing_files", _LANDED)
+def raw_landing_files(spark, sf_dir):
+    """Files that each hold one array of documents: a hash group of about a thousand."""
+    texts = conversation_texts(spark, sf_dir)
+    source = scratch_path(spark, "document-files")
+    write_array_files(texts, source, key="value", rows_per_file=1_000)
+    return _landed(land_raw(spark, source, scratch_path(spark, "raw"), RUN))
+
+
 @query(
     "ingest_job",
     f"""

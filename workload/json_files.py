@@ -12,7 +12,7 @@ from lakeledger.plans.json_to_csv import flatten_json, flatten_json_to_csv
 from lakeledger.session import scratch_path
 from lakeledger.sinks.tables import write_csv
 from lakeledger.sources.json import read_json_records, read_json_typed
-from workload.base import query, table
+from workload.base import query, table, write_array_files
 
 RUN = datetime(2026, 5, 11)
 
@@ -38,6 +38,10 @@ def customers(spark, sf_dir) -> DataFrame:
     )
 
 
+def _as_text(df: DataFrame) -> DataFrame:
+    return df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+
+
 _FLAT = """
 SELECT c_custkey AS key, c_name AS name, n_name AS address_nation_name,
        n_regionkey AS address_nation_region,
@@ -48,33 +52,18 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey"""
 _FLAT_TEXT = f"SELECT * REPLACE (key::VARCHAR AS key, address_nation_region::VARCHAR AS address_nation_region, balance::VARCHAR AS balance) FROM ({_FLAT})"
 
 
-def write_array_files(df: DataFrame, path: str) -> None:
-    """Every file holds one JSON array of a hash group of about ten thousand records."""
-    groups = int(df.count() / 10_000) + 1
-    files = (
-        df.select(F.struct(*df.columns).alias("r"))
-        .withColumn("part", F.pmod(F.xxhash64("r.key"), F.lit(groups)))
-        .groupBy("part")
-        .agg(F.to_json(F.collect_list("r")).alias("value"))
-    )
-    # The CSV writer is the text writer that lets the file extension be chosen.
-    files.write.partitionBy("part").options(
-        header="false", sep="\u0001", quote="\u0002", extension="json"
-    ).csv(path)
-
-
 @query("flatten_typed", _FLAT)
 def flatten_typed(spark, sf_dir):
     path = scratch_path(spark, "arrays")
     nested = customers(spark, sf_dir)
-    write_array_files(nested, path)
+    write_array_files(_as_text(nested), path, "value", 10_000)
     return flatten_columns(read_json_typed(spark, path, nested.schema))
 
 
 @query("flatten_json", _FLAT_TEXT)
 def flatten_json_query(spark, sf_dir):
     path = scratch_path(spark, "arrays")
-    write_array_files(customers(spark, sf_dir), path)
+    write_array_files(_as_text(customers(spark, sf_dir)), path, "value", 10_000)
     return flatten_json(read_json_records(spark, path))
 
 
