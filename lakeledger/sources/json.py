@@ -34,6 +34,11 @@ def _is_array(text: Column) -> Column:
     return text.rlike(r"^\s*\[")
 
 
+def _object(text: Column) -> Column:
+    """The parsed JSON object; null for other or broken JSON."""
+    return F.when(text.rlike(r"^\s*\{"), F.try_parse_json(text))
+
+
 def _elements(text: Column) -> Column:
     """Texts of the records in one JSON text: array elements, or the value itself.
 
@@ -61,15 +66,13 @@ def read_json_records(spark: SparkSession, path, lines: bool = False) -> DataFra
             F.monotonically_increasing_id().alias("position"),
             text.alias("text"),
         ).filter("text != ''")
-        return parsed.withColumn("record", F.try_parse_json("text")).withColumn(
-            "is_broken", ~F.coalesce(is_object(F.col("record")), F.lit(False))
+        return parsed.withColumn("record", _object(F.col("text"))).withColumn(
+            "is_broken", F.col("record").isNull()
         )
     parsed = source.withColumn("texts", _elements(F.col("value"))).withColumn(
-        "records", F.transform("texts", lambda t: F.try_parse_json(t))
-    )
-    bad = F.coalesce(
-        F.exists("records", lambda r: ~F.coalesce(is_object(r), F.lit(False))), F.lit(True)
+        "records", F.transform("texts", _object)
     )
+    bad = F.coalesce(F.exists("records", lambda r: r.isNull()), F.lit(True))
     entry = F.when(
         bad,
         F.array(
