@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeledger.llm import bpe, decontaminate, line_dedup, quality_rules, shard_shuffle, simhash_dedup, toxicity
+from lakeledger.llm import bpe, decontaminate, html_text, language_id, line_dedup, quality_rules, shard_shuffle, simhash_dedup, toxicity
 from lakeledger.llm.common import fold, ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,6 +100,32 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = html_text.extract_pages(table(spark, sf_dir, "pages"))
+    return found.select(
+        "page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars")
+    )
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by models of the texts outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = fold("doc_id", 5) == 0
+    model = language_id.fit(docs.where(~held_out))
+    found = docs.select("doc_id", language_id.identify(docs, model).alias("found"))
+    return found.select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        F.col("found.lang").alias("lang_pred"),
+        F.col("found.score").alias("score"),
+        F.col("found.entropy").alias("entropy"),
+        F.col("found.rejected").alias("rejected"),
+    )
+
+
 @query
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document."""
