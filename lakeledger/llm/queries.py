@@ -9,11 +9,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeledger.llm import bpe, decontaminate, html_text, language_id, line_dedup, quality_rules, shard_shuffle, simhash_dedup, toxicity
+from lakeledger.llm import bpe, decontaminate, html_text, language_id, line_dedup, passage_dedup, quality_rules, shard_shuffle, simhash_dedup, toxicity
+from lakeledger.llm import oracles
 from lakeledger.llm.common import fold, ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_line_dedup": oracles.LINE_DEDUP,
+    "op5_quality_rules": oracles.QUALITY_RULES,
+}
 
 TOXIC_FROM = 0.3
 SHARDS = 40
@@ -109,6 +113,12 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages that documents share."""
+    return passage_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by models of the texts outside the held-out fold."""
