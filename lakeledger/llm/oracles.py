@@ -25,8 +25,8 @@ FROM j GROUP BY doc_id
 QUALITY_RULES = r"""
 WITH d AS (
     SELECT doc_id, coalesce(text, '') AS t,
-        list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS words,
-        list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+        list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+        list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
     FROM documents
 ), w AS (
     SELECT doc_id, p, words[p:p + 7] AS win

@@ -58,9 +58,14 @@ def ledger(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
     lines = F.filter(F.split("t", "\n", -1), lambda x: F.length(F.btrim(x, F.lit(" \t\n\x0b\x0c\r"))) > 0)
     rows = barrier(rows, "lines", lines)
     n = F.size("words")
+    # Single elements are read in constant time, slices are not.
+    rows = barrier(rows, "word_hashes", F.transform("words", lambda w: F.xxhash64(w)))
     hashes = F.when(
         n >= WINDOW,
-        F.transform(F.sequence(F.lit(0), n - WINDOW), lambda i: F.xxhash64(F.slice("words", i + 1, WINDOW))),
+        F.transform(
+            F.sequence(F.lit(0), n - WINDOW),
+            lambda i: F.xxhash64(*(F.get("word_hashes", i + k) for k in range(WINDOW))),
+        ),
     ).otherwise(F.array().cast("array<bigint>"))
     rows = rows.select(
         "doc_id",

@@ -55,7 +55,7 @@ class Sets:
     def find(self, x):
         self.up.setdefault(x, x)
         while self.up[x] != x:
-            x = self.up[x] = self.up[self.up[x]]
+            self.up[x] = x = self.up[self.up[x]]
         return x
 
     def join(self, a, b):
