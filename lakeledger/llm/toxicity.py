@@ -19,9 +19,11 @@ from pyspark.sql import functions as F
 LENGTHS = (4, 5)
 HASH_BITS = 20
 # Documented bounds of the fit: labelled rows (those of lowest hash) and
-# features (those that tell the classes apart best).
+# features (those that tell the classes apart best, by the standard errors that
+# their log-count ratio is away from zero).
 SAMPLE_ROWS = 20_000
 FEATURES = 16_384
+LEAST_ERRORS = 3.0
 # Code points that are hashed at a time.
 CHUNK = 1 << 20
 _PRIMES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5], np.uint64)
@@ -118,6 +120,9 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "label") -> Model:
     # How many standard errors the ratio is away from zero.
     sure = np.abs(ratio) / np.sqrt((1 - p) / (toxic + 1) + (1 - q) / (other + 1))
     order = np.lexsort((feature, -sure))[:FEATURES]
+    order = order[sure[order] >= LEAST_ERRORS]
+    if not len(order):
+        return Model(np.zeros(1 << HASH_BITS, np.float32), float(np.log(n_toxic / n_other)))
     chosen = np.sort(feature[order])
     scale = ratio[order][np.argsort(feature[order])]
 
