@@ -10,6 +10,8 @@ weighted shingles decides.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -87,26 +89,36 @@ def items_of(benchmark: DataFrame, text: str, item_id: str) -> DataFrame:
     return durable(rows.select("item_id", "words", "n", "width", "parts", simhash("parts").alias("item_fp")))
 
 
+def _places(width: int) -> Column:
+    """A hash for every ``width`` neighbours in the word hashes of ``hashes``; null where there are fewer."""
+    return F.when(
+        F.size("hashes") >= width,
+        F.transform(
+            F.sequence(F.lit(0), F.size("hashes") - width), lambda i: F.xxhash64(*(F.get("hashes", i + k) for k in range(width)))
+        ),
+    )
+
+
 def windows_of(docs: DataFrame, items: DataFrame, text: str, doc_id: str) -> DataFrame:
     """(doc_id, start, n, width, key, content): aligned windows; key is the md5 of the content."""
-    anchors = barrier(items, "places", F.transform(
-        F.sequence(F.lit(0), F.col("n") - F.col("width")), lambda i: F.xxhash64(F.slice("words", i + 1, F.col("width")))
-    )).select("n", "width", F.posexplode("places").alias("at", "hash")).distinct()
-    anchors = durable(anchors)
+    widths = sorted(r[0] for r in items.select("width").distinct().collect())  # 1 to 5
+    hashed = barrier(items, "hashes", F.transform("words", lambda w: F.xxhash64(w)))
+    anchors = durable(
+        functools.reduce(
+            DataFrame.union,
+            [hashed.where(F.col("width") == w).select("n", "width", F.posexplode(_places(w)).alias("at", "hash")) for w in widths],
+        ).distinct()
+        if widths
+        else hashed.select("n", "width", F.lit(0).alias("at"), F.lit(0).cast("long").alias("hash"))
+    )
     n_anchors = anchors.count()
-    widths = sorted(r[0] for r in anchors.select("width").distinct().collect())  # 1 to 5
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.lower(F.col(text)).alias("t"))
     words = barrier(texts, "words", words_of("t")).drop("t")
     spots = None
     for width in widths:
-        hashes = F.when(
-            F.size("words") >= width,
-            F.transform(
-                F.sequence(F.lit(0), F.size("words") - width), lambda i, w=width: F.xxhash64(F.slice("words", i + 1, w))
-            ),
-        )
+        hashes = barrier(words, "hashes", F.transform("words", lambda w: F.xxhash64(w)))
         found = (
-            words.select("doc_id", F.size("words").alias("n_words"), F.posexplode_outer(hashes).alias("pos", "hash"))
+            hashes.select("doc_id", F.size("hashes").alias("n_words"), F.posexplode_outer(_places(width)).alias("pos", "hash"))
             .join(_bounded(anchors.where(F.col("width") == width), n_anchors), "hash")
             .select(
                 "doc_id", "n", "width",
