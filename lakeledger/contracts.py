@@ -163,7 +163,7 @@ LEDGER = Contract(
         ColumnSpec("unaccounted_count", "bigint"),
         ColumnSpec("raw_curated_mismatch", "boolean"),
         _text("pipeline_status"),
-        _text("s3_report_path"),
+        _text("report_path"),
         _text("generated_at"),
         _text("event_date", nullable=False),
         _text("survey_type", nullable=False),
@@ -237,13 +237,18 @@ def enforce(df: DataFrame, contract: Contract) -> DataFrame:
     return conform(df, contract).select(*[checked(c) for c in contract.columns])
 
 
-def split_rejects(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
-    """(rows that keep the contract, rejected rows with their broken rules)."""
+def mark_broken(df: DataFrame, contract: Contract) -> DataFrame:
+    """Contract columns and ``broken_rules``, the names of the rules that a row breaks."""
     rules = violations(contract)
     broken = F.array_compact(
         F.array(*[F.when(cond, F.lit(rule)) for rule, cond in rules.items()])
     ) if rules else F.array().cast("array<string>")
-    marked = conform(df, contract).withColumn("broken_rules", broken)
+    return conform(df, contract).withColumn("broken_rules", broken)
+
+
+def split_rejects(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
+    """(rows that keep the contract, rejected rows with their broken rules)."""
+    marked = mark_broken(df, contract)
     good = marked.filter(F.size("broken_rules") == 0).drop("broken_rules")
     return good, marked.filter(F.size("broken_rules") > 0)
 

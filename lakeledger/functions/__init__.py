@@ -9,6 +9,7 @@ from lakeledger.functions.columns import (  # noqa: F401
     run_time,
     try_number,
     try_timestamp_ntz,
+    utc,
 )
 from lakeledger.functions.frames import (  # noqa: F401
     clean_label_column,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -65,15 +65,20 @@ def clean_label(c: Column) -> Column:
     return F.regexp_replace(c, THANK_YOU_SUFFIX, "")
 
 
+def utc(moment: datetime) -> datetime:
+    """Wall-clock time in UTC: zoned times are converted, times without a zone are taken as UTC."""
+    return moment.astimezone(UTC).replace(tzinfo=None) if moment.tzinfo else moment
+
+
 def iso_text(moment: datetime) -> str:
     return moment.isoformat()
 
 
 def run_stamp(moment: datetime) -> str:
     """Compact UTC name part, e.g. 20260731T120000Z."""
-    return moment.strftime("%Y%m%dT%H%M%SZ")
+    return utc(moment).strftime("%Y%m%dT%H%M%SZ")
 
 
 def run_time(load_ts: datetime) -> Column:
-    """One load time per run, to the second."""
-    return F.lit(load_ts.replace(microsecond=0, tzinfo=None).isoformat(" ")).cast("timestamp_ntz")
+    """One load time per run, in UTC and to the second."""
+    return F.lit(utc(load_ts).replace(microsecond=0).isoformat(" ")).cast("timestamp_ntz")

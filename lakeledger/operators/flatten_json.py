@@ -1,20 +1,19 @@
 """Records with differing nested keys to one flat table of text columns.
 
 The set of columns is data: the union of the leaf paths of all records. It is
-found from one representative per distinct record structure (the first record
-that has it), because later records of the same structure add no column and
-cannot be the first to show one. Everything after that is a narrow projection.
+found level by level with paths as rows; everything after that is a narrow
+projection.
 """
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeledger.functions import unnest
 from lakeledger.sources.json import is_object
 
 Path = tuple[str, ...]
@@ -41,96 +40,65 @@ def _at(record: str | Column, path: Path) -> Column:
     return F.variant_get(record, _json_path(path), "variant") if path else F.col(record)
 
 
-def representatives(records: DataFrame) -> DataFrame:
-    """One row per distinct structure: its first record and its number of records.
-
-    What cannot be used forms a group of its own, without a record, so that
-    the same pass also counts it.
-    """
-    first = F.min(F.struct("file", "block", "position", "text"))
-    return (
-        records.groupBy("is_broken", F.schema_of_variant("record").alias("structure"))
-        .agg(first.alias("first"), F.count(F.lit(1)).alias("record_count"))
-        .select("is_broken", "record_count", "first.*")
-        .withColumn("record", F.when(~F.col("is_broken"), F.parse_json("text")))
+def _children(text: str) -> Column:
+    """Members of a JSON object in written order: key, JSON text of the value, whether it is an object."""
+    texts = F.from_json(text, "map<string,string>")
+    kinds = F.from_json(text, "map<string,variant>")
+    return F.arrays_zip(
+        F.map_keys(texts).alias("key"),
+        F.map_values(texts).alias("text"),
+        F.transform(F.map_values(kinds), lambda v: F.coalesce(is_object(v), F.lit(False))).alias("is_object"),
     )
 
 
-def _structure(text: str) -> T.DataType:
-    """Spark type of a printed VARIANT structure."""
-    return T.DataType.fromDDL(re.sub(r"\bOBJECT<", "STRUCT<", text))
-
+def find_leaves(records: DataFrame, order: str = "first_seen") -> list[Leaf]:
+    """Leaf paths that some usable record has, by first appearance or by name.
 
-def find_leaves(reps: DataFrame) -> list[Leaf]:
-    """Candidate leaf paths. Only structures travel to the driver, never records.
-
-    Where an object meets another type, the merged structure says no more than
-    VARIANT; the objects found there are merged on their own in another round.
+    Paths are rows: each round unfolds the objects of one level and reduces
+    (record, path) to different paths, so a plan is as long as the input is
+    deep, whatever the number of columns. The driver gets one row per column.
     """
-    leaves: dict[Path, Leaf] = {}
-    open_paths: list[Path] = [()]
-    while open_paths:
-        merged = reps.agg(
-            *[
-                F.schema_of_variant_agg(
-                    F.when(is_object(_at("record", p)), _at("record", p))
-                ).alias(f"s{i}")
-                for i, p in enumerate(open_paths)
-            ]
-        ).first()
-        pending: list[Path] = []
-
-        def walk(structure: T.DataType, path: Path) -> None:
-            if isinstance(structure, T.StructType):
-                if path:
-                    # A null in place of the object is a (blank) leaf.
-                    leaves[path] = Leaf(path, True)
-                for f in structure.fields:
-                    walk(f.dataType, (*path, f.name))
-            elif isinstance(structure, T.VariantType):
-                leaves[path] = Leaf(path, True)
-                pending.append(path)
-            else:
-                leaves.setdefault(path, Leaf(path, False))
-
-        for p, text in zip(open_paths, merged, strict=True):
-            if text is not None:
-                structure = _structure(text)
-                if isinstance(structure, T.StructType):
-                    walk(structure, p)
-        open_paths = pending
-    return list(leaves.values())
-
-
-def order_leaves(reps: DataFrame, leaves: list[Leaf], order: str = "first_seen") -> list[Leaf]:
-    """Leaves that some record really has, by first appearance or by name."""
     if order not in ("first_seen", "sorted"):
         raise ValueError("order is 'first_seen' or 'sorted'")
-    if not leaves:
-        return []
-
-    def key_position(path: Path, depth: int) -> Column:
-        inner = F.get_json_object("text", _json_path(path[:depth])) if depth else F.col("text")
-        return F.coalesce(F.array_position(F.json_object_keys(inner), path[depth]), F.lit(0))
-
-    firsts = []
-    for i, leaf in enumerate(leaves):
-        value = _at("record", leaf.path)
-        present = value.isNotNull()
-        if leaf.mixed:
-            present = present & ~is_object(value)
-        where = F.struct(
+    level = records.filter(~F.col("is_broken")).select(
+        "file",
+        "block",
+        "position",
+        F.array().cast("array<string>").alias("path"),
+        F.array().cast("array<int>").alias("keys"),
+        "text",
+    )
+    found: list[tuple[tuple, Leaf]] = []
+    while True:
+        members = unnest(
+            level.withColumn("members", _children("text")),
+            "members",
+            ["file", "block", "position", "path", "keys"],
+            "m",
+        ).select(
             "file",
             "block",
             "position",
-            F.array(*[key_position(leaf.path, d) for d in range(len(leaf.path))]).alias("keys"),
+            F.array_append("path", F.col("m.key")).alias("path"),
+            F.array_append("keys", F.col("pos").cast("int")).alias("keys"),
+            F.col("m.text").alias("text"),
+            F.col("m.is_object").alias("is_object"),
+        )
+        where = F.when(~F.col("is_object"), F.struct("file", "block", "position", "keys"))
+        paths = (
+            members.groupBy("path")
+            .agg(F.bool_or("is_object").alias("has_object"), F.min(where).alias("first"))
+            .collect()
         )
-        firsts.append(F.min(F.when(present, where)).alias(f"f{i}"))
-    row = reps.agg(*firsts).first()
-    seen = [(row[f"f{i}"], leaf) for i, leaf in enumerate(leaves) if row[f"f{i}"] is not None]
+        for row in paths:
+            if row["first"] is not None:
+                found.append((tuple(row["first"]), Leaf(tuple(row["path"]), row["has_object"])))
+        if not any(row["has_object"] for row in paths):
+            break
+        level = members.filter("is_object").drop("is_object")
     if order == "sorted":
-        return sorted((leaf for _, leaf in seen), key=lambda leaf: leaf.path)
-    return [leaf for _, leaf in sorted(seen, key=lambda s: (tuple(s[0]), s[1].path))]
+        return sorted((leaf for _, leaf in found), key=lambda leaf: leaf.path)
+    return [leaf for _, leaf in sorted(found, key=lambda s: (s[0], s[1].path))]
 
 
 def _schema(paths: list[Path], depth: int = 0) -> T.StructType:

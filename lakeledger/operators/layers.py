@@ -50,7 +50,8 @@ def missing_records(
     missing = missing_ids(curated, sentiment, keys).withColumns(
         {"_missing": F.lit(True), "removal_reason": F.lit(None).cast("string")}
     )
-    known = quarantine.select(*keys, F.lit(False).alias("_missing"), "removal_reason")
+    # Repeated reasons go by hash before the minimum, which sorts.
+    known = quarantine.select(*keys, F.lit(False).alias("_missing"), "removal_reason").distinct()
     per_id = (
         missing.unionByName(known)
         .groupBy(*keys)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # Fixed values of the text report.
 TOTAL_LABEL = "GRAND TOTAL (all surveys)"
-MANUAL_LABEL = "Total count in Feedback Manager"
+MANUAL_LABEL = "Total count entered by hand"
 NAME_TITLE, COUNT_TITLE, DATES_TITLE = "Survey Name", "Total Count", "Event Date(s) Processed"
 COUNT_WIDTH, DATES_WIDTH, NAME_MARGIN = 15, 40, 2
 NOTHING_PROCESSED = "No surveys were processed in this run."
@@ -71,55 +71,44 @@ def _line(name: Column, count: Column, dates: Column, width: Column) -> Column:
     )
 
 
-def survey_summary_lines(summary: DataFrame) -> DataFrame:
+def survey_summary_lines(summary: DataFrame, manual_label: str = MANUAL_LABEL) -> DataFrame:
     """(section, survey_name, line) of the fixed-width text report, one row per line.
 
     Sort by section and survey_name to print it. The name column is as wide as
-    the longest name, which is a scalar subquery over the summary.
+    the longest name. ``manual_label`` begins a line that is filled in by hand.
+    The summary has one row per survey: it becomes one row, so that it is
+    computed once, and is unfolded into lines.
     """
-    fixed = max(len(NAME_TITLE), len(MANUAL_LABEL), len(TOTAL_LABEL))
-    longest = summary.agg(F.max(F.length("survey_name"))).scalar()
-    width = F.greatest(F.lit(fixed), longest) + F.lit(NAME_MARGIN)
-    blank = F.lit("")
-    w = F.col("width")
+    fixed = max(len(NAME_TITLE), len(manual_label), len(TOTAL_LABEL))
+    whole = summary.agg(
+        (F.greatest(F.lit(fixed), F.max(F.length("survey_name"))) + F.lit(NAME_MARGIN)).alias("width"),
+        F.collect_list(F.struct("section", "survey_name", "total_count", "event_dates")).alias("rows"),
+    )
+    blank, w = F.lit(""), F.col("width")
     rule = F.repeat(F.lit("-"), w + COUNT_WIDTH + DATES_WIDTH)
-    shown = _line(F.col("survey_name"), F.col("total_count").cast("string"), F.col("event_dates"), w)
-    rows = summary.withColumn("width", width)
 
-    surveys = rows.filter("section = 0").select(
-        F.lit(2).alias("section"), "survey_name", shown.alias("line")
-    )
-    # The lines around the surveys all hang on the one total row.
-    frame = [
-        (0, _line(F.lit(NAME_TITLE), F.lit(COUNT_TITLE), F.lit(DATES_TITLE), w)),
-        (1, rule),
-        (3, rule),
-        (4, shown),
-        (5, rule),
-        (6, _line(F.lit(MANUAL_LABEL), blank, blank, w)),
-        (7, rule),
-    ]
-    around = rows.filter("section = 1").select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(section).alias("section"),
-                        F.lit(None).cast("string").alias("survey_name"),
-                        line.alias("line"),
-                    )
-                    for section, line in frame
-                ]
-            )
+    def entry(section: int, line: Column, name: Column | None = None) -> Column:
+        named = F.lit(None).cast("string") if name is None else name
+        return F.struct(
+            F.lit(section).alias("section"), named.alias("survey_name"), line.alias("line")
         )
+
+    def shown(row: Column) -> Column:
+        return _line(row["survey_name"], row["total_count"].cast("string"), row["event_dates"], w)
+
+    surveys = F.transform(
+        F.filter("rows", lambda r: r["section"] == 0), lambda r: entry(2, shown(r), r["survey_name"])
     )
-    nothing = (
-        summary.agg(F.count(F.lit(1)).alias("n"))
-        .filter("n = 0")
-        .select(
-            F.lit(0).alias("section"),
-            F.lit(None).cast("string").alias("survey_name"),
-            F.lit(NOTHING_PROCESSED).alias("line"),
-        )
+    total = F.get(F.filter("rows", lambda r: r["section"] == 1), F.lit(0))
+    around = F.array(
+        entry(0, _line(F.lit(NAME_TITLE), F.lit(COUNT_TITLE), F.lit(DATES_TITLE), w)),
+        entry(1, rule),
+        entry(3, rule),
+        entry(4, shown(total)),
+        entry(5, rule),
+        entry(6, _line(F.lit(manual_label), blank, blank, w)),
+        entry(7, rule),
     )
-    return surveys.unionByName(around).unionByName(nothing)
+    nothing = F.array(entry(0, F.lit(NOTHING_PROCESSED)))
+    lines = F.when(F.size("rows") > 0, F.concat(around, surveys)).otherwise(nothing)
+    return whole.select(F.inline(lines))

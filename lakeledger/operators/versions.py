@@ -22,13 +22,12 @@ def dedup_batch(
     keys = [*primary_key, version]
     rest = [c for c in work.columns if c not in keys]
     has_null = F.greatest(*[F.col(k).isNull() for k in keys])
-    whole = work.filter(~has_null)
-    if rest:
-        smallest = whole.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"))
-        whole = smallest.select(*keys, "_row.*").select(work.columns)
-    else:
-        whole = whole.distinct()
-    return whole.unionByName(work.filter(has_null))
+    # A row with a null key is a group of its own, so that one pass serves both kinds.
+    marked = work.withColumn("_alone", F.when(has_null, F.monotonically_increasing_id()))
+    if not rest:
+        return marked.distinct().select(work.columns)
+    smallest = marked.groupBy(*keys, "_alone").agg(F.min(F.struct(*rest)).alias("_row"))
+    return smallest.select(*keys, "_row.*").select(work.columns)
 
 
 def unseen_rows(

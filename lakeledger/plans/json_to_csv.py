@@ -5,20 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeledger.operators.flatten_json import (
-    Leaf,
-    find_leaves,
-    flatten_records,
-    order_leaves,
-    representatives,
-)
+from lakeledger.operators.flatten_json import Leaf, find_leaves, flatten_records
 from lakeledger.sinks.tables import write_csv
-from lakeledger.sources.json import JSON_FILES, read_json_records
-from lakeledger.sources.layers import list_files
+from lakeledger.sources.json import count_files, read_json_records
 
 
 @dataclass(frozen=True)
@@ -39,17 +31,12 @@ class RecordShape:
 
 
 def record_shape(records: DataFrame, order: str = "first_seen") -> RecordShape:
-    """Columns and counts of an input, from one pass over its records."""
-    reps = representatives(records).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        counts = F.coalesce(F.sum(F.when(F.col("is_broken"), F.col("record_count"))), F.lit(0))
-        total = F.coalesce(F.sum("record_count"), F.lit(0))
-        tally = reps.agg(total.alias("total"), counts.alias("skipped")).first()
-        rows = tally["total"] - tally["skipped"]
-        leaves = order_leaves(reps, find_leaves(reps), order) if rows else []
-    finally:
-        reps.unpersist()
-    return RecordShape(leaves, rows, tally["skipped"])
+    """Columns and counts of an input: one pass for the counts, one per level of nesting."""
+    tally = records.agg(
+        F.count_if(~F.col("is_broken")).alias("rows"), F.count_if("is_broken").alias("skipped")
+    ).first()
+    leaves = find_leaves(records, order) if tally["rows"] else []
+    return RecordShape(leaves, tally["rows"], tally["skipped"])
 
 
 def flatten_json(
@@ -70,8 +57,8 @@ def flatten_json_to_csv(
     order: str = "first_seen",
     on_collision: str = "raise",
 ) -> FlattenResult:
-    """Two passes over the input: one for its shape, one for the write."""
-    files = list_files(spark, source, None if lines else JSON_FILES).count()
+    """The shape of the input first, then one pass for the write."""
+    files = count_files(spark, source, lines)
     if files == 0:
         return FlattenResult("NO_FILES", 0)
     records = read_json_records(spark, source, lines)

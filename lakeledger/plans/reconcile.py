@@ -1,8 +1,9 @@
 """Job: reconcile the raw, curated and sentiment layers per survey and date.
 
-All surveys and dates go through the same set-based plan. Its number of Spark
-jobs does not grow with either, and no record id reaches the driver; only the
-configuration and the dates to work on (control data) do.
+All surveys and dates go through the same set-based plan, and no record id
+reaches the driver; only the configuration and the dates to work on (control
+data) do. The number of Spark jobs does not grow with the dates. Per survey
+there is one small job per layer, which looks at the schema of what is there.
 """
 
 from __future__ import annotations
@@ -31,11 +32,11 @@ from lakeledger.operators.layers import (
 from lakeledger.operators.raw_counts import raw_counts_with_broken
 from lakeledger.session import scratch_path
 from lakeledger.sinks.reports import write_anomalies, write_ledger, write_report
-from lakeledger.sinks.tables import overwrite_table
+from lakeledger.sinks.tables import overwrite_table, register_partitions
 from lakeledger.sources.json import read_control_dates
 from lakeledger.sources.layers import (
+    date_folders,
     latest_event_dates,
-    list_files,
     read_layer,
     read_quarantine,
     read_raw_surveys,
@@ -44,8 +45,6 @@ from lakeledger.sources.layers import (
 # Fixed values of the report.
 ACTIVE, RAW_ONLY, NOT_APPLICABLE = "ACTIVE", "RAW_ONLY", "N/A"
 RECONCILED, SKIPPED, FAILED = "reconciled", "skipped", "failed"
-# The work list is broadcast up to this many (date, survey) items.
-BROADCAST_ITEMS = 100_000
 NULLABLE_COUNTS = ("sentiment_count", "removed_count", "unaccounted_count")
 REPORT_COLUMNS = (
     "event_date",
@@ -119,18 +118,20 @@ def reconcile(
     missing: DataFrame,
     generated_at: str,
     reasons_as: str = "text",
+    all_whitespace: bool = False,
 ) -> Reconciliation:
     """Summary row per work item.
 
     ``raw_per_survey`` comes from ``raw_counts``, ``missing`` from
     ``missing_records``; the layers carry (survey_name, event_date,
     contact_record_id). Raw-only surveys have no sentiment side: their counts
-    are null. ``reasons_as`` is ``text`` or ``list``.
+    are null. ``reasons_as`` is ``text`` or ``list``. ``all_whitespace`` must be
+    what ``raw_counts`` got, so that the names meet.
     """
     reasons = reason_counts(missing)
     listed = reason_list(reasons)
     active = F.col("sentiment_pipeline_active")
-    items = work.withColumn("_raw_key", normalise_name(F.col("raw_survey_name")))
+    items = work.withColumn("_raw_key", normalise_name(F.col("raw_survey_name"), all_whitespace))
     raw_side = raw_per_survey.withColumnRenamed("raw_survey_name", "_raw_key")
     joined = (
         items.join(raw_side, ["event_date", "_raw_key"], "left")
@@ -192,6 +193,8 @@ class Paths:
     report: str
     anomalies: str
     ledger: str
+    # Staging of a run, overwritten by the next one; a new scratch folder if not given.
+    work: str | None = None
 
 
 @dataclass(frozen=True)
@@ -202,6 +205,10 @@ class Options:
     na_as_text: bool = False
     reasons_as: str = "text"
     skip_done_on_override: bool = True
+    # Any white space around survey names is cut, not blanks only.
+    all_whitespace: bool = False
+    # Table over the report folder: the partitions of a run are made visible in it.
+    report_table: str | None = None
 
 
 class ReconciliationError(RuntimeError):
@@ -212,6 +219,18 @@ class ReconciliationError(RuntimeError):
         self.run_log = run_log
 
 
+def log_rows(spark: SparkSession, log: list[dict]) -> DataFrame:
+    """The log of a run as rows (event_date, survey_name, status, message)."""
+    names = ("event_date", "survey_name", "status", "message")
+    return spark.createDataFrame(
+        [tuple(row[n] for n in names) for row in log], ", ".join(f"{n} string" for n in names)
+    )
+
+
+def _message(error: Exception) -> str:
+    return f"{type(error).__name__}: {error}"
+
+
 def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
@@ -231,14 +250,16 @@ def _named(df: DataFrame, config: dict) -> DataFrame:
 
 def live_dates(spark: SparkSession, paths: Paths, configs: list[dict]) -> DataFrame:
     """Latest date per survey: of its sentiment folder, or curated when raw-only."""
-    files = []
+    found = []
     for c in configs:
         if c["sentiment_pipeline_active"]:
             folder = f"{paths.sentiment}/{c['sentiment_folder']}"
         else:
             folder = f"{paths.curated}/{c['curated_folder']}"
-        files.append(_named(list_files(spark, folder), c))
-    return latest_event_dates(_union(files))
+        found += [(c["survey_name"], date) for date in date_folders(spark, folder)]
+    return latest_event_dates(
+        spark.createDataFrame(found, "survey_name string, event_date string")
+    )
 
 
 def resolve_work(
@@ -262,7 +283,8 @@ def resolve_work(
         todo = skip_done(todo, _ledger(spark, paths.ledger))
     every = [(r[0], r[1]) for r in wanted.select("event_date", "survey_name").collect()]
     do = [(r[0], r[1]) for r in todo.select("event_date", "survey_name").collect()]
-    return do, [item for item in every if item not in set(do)]
+    done = set(do)
+    return do, [item for item in every if item not in done]
 
 
 @dataclass(frozen=True)
@@ -300,6 +322,7 @@ def _reconcile_and_write(
     raw_per_survey: DataFrame,
     generated_at: str,
     options: Options,
+    staging: str,
 ) -> None:
     by_name = {c["survey_name"]: c for c in configs}
     work = spark.createDataFrame(
@@ -310,38 +333,31 @@ def _reconcile_and_write(
     active = [s for s in names if by_name[s]["sentiment_pipeline_active"]]
     curated = _union([layers[s].curated for s in sorted(names)])
     sentiment = _union([layers[s].sentiment for s in sorted(names)])
-    item_keys = work.select("event_date", "survey_name")
-    if len(items) <= BROADCAST_ITEMS:
-        item_keys = F.broadcast(item_keys)
-
-    def wanted(df: DataFrame) -> DataFrame:
-        # Dates differ per survey in live mode.
-        return df.join(item_keys, ["event_date", "survey_name"], "left_semi")
-
     if active:
         missing = missing_records(
-            wanted(_union([layers[s].curated for s in sorted(active)])),
-            wanted(_union([layers[s].sentiment for s in sorted(active)])),
-            wanted(_union([layers[s].quarantine for s in sorted(active)])),
+            _union([layers[s].curated for s in sorted(active)]),
+            _union([layers[s].sentiment for s in sorted(active)]),
+            _union([layers[s].quarantine for s in sorted(active)]),
         )
     else:
-        empty = wanted(curated).limit(0)
+        empty = curated.limit(0)
         missing = missing_records(
             empty, empty, empty.withColumn("removal_reason", F.lit(None).cast("string"))
         )
     # Summary, anomalies and ledger all need it: written once, read three times.
-    staged = scratch_path(spark, "missing")
+    staged = f"{staging}/missing"
     overwrite_table(missing, staged)
     result = reconcile(
         work,
         raw_per_survey,
-        wanted(curated),
-        wanted(sentiment),
+        curated,
+        sentiment,
         spark.read.schema(missing.schema).parquet(staged),
         generated_at,
         reasons_as=options.reasons_as,
+        all_whitespace=options.all_whitespace,
     )
-    summary_path = scratch_path(spark, "summary")
+    summary_path = f"{staging}/summary"
     overwrite_table(result.summary, summary_path)
     summary = spark.read.schema(result.summary.schema).parquet(summary_path)
     shown = not_applicable_as_text(summary) if options.na_as_text else summary
@@ -380,6 +396,7 @@ def run_reconciliation(
 
     if dates is None and control_file is not None:
         dates = [r["event_date"] for r in read_control_dates(spark, control_file).collect()]
+    staging = paths.work or scratch_path(spark, "reconciliation")
     items, skipped = resolve_work(spark, paths, configs, dates, options)
     for item in skipped:
         note(item, SKIPPED)
@@ -387,8 +404,10 @@ def run_reconciliation(
 
     if items:
         # One pass over the raw files gives one small row per survey and date.
-        counted = scratch_path(spark, "raw-counts")
-        raw = raw_counts_with_broken(read_raw_surveys(spark, paths.raw, days), options.dedup)
+        counted = f"{staging}/raw-counts"
+        raw = raw_counts_with_broken(
+            read_raw_surveys(spark, paths.raw, days), options.dedup, options.all_whitespace
+        )
         overwrite_table(raw, counted)
         per_survey = spark.read.schema(raw.schema).parquet(counted)
         broken = [
@@ -406,10 +425,12 @@ def run_reconciliation(
         if not own:
             continue
         try:
-            layers[name] = _survey_layers(spark, paths, config, days, options)
+            # Its own dates: in live mode they differ from survey to survey.
+            own_days = sorted({d for d, _ in own})
+            layers[name] = _survey_layers(spark, paths, config, own_days, options)
         except Exception as error:  # noqa: BLE001 - any bad survey is logged, the rest goes on
             for item in own:
-                note(item, FAILED, str(error).splitlines()[0])
+                note(item, FAILED, _message(error))
     items = [i for i in items if i[1] in layers]
 
     if items:
@@ -417,7 +438,15 @@ def run_reconciliation(
 
         def attempt(part: list[tuple[str, str]]) -> None:
             _reconcile_and_write(
-                spark, paths, configs, layers, part, per_survey, generated_at.isoformat(), options
+                spark,
+                paths,
+                configs,
+                layers,
+                part,
+                per_survey,
+                generated_at.isoformat(),
+                options,
+                staging,
             )
 
         try:
@@ -433,8 +462,10 @@ def run_reconciliation(
                         note(item, RECONCILED)
                 except Exception as error:  # noqa: BLE001
                     for item in own:
-                        note(item, FAILED, str(error).splitlines()[0])
+                        note(item, FAILED, _message(error))
 
+    if options.report_table and any(row["status"] == RECONCILED for row in log):
+        register_partitions(spark, options.report_table)
     failures = sum(1 for row in log if row["status"] == FAILED)
     if failures:
         raise ReconciliationError(f"{failures} reconciliation(s) failed", log)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from lakeledger.functions import iso_text
 from lakeledger.operators.survey_counts import (
+    MANUAL_LABEL,
     daily_counts,
     survey_summary,
     survey_summary_lines,
@@ -28,6 +29,7 @@ def write_daily_counts(
     write_partitions(counts, path, KEYS, row_per_key=True)
 
 
-def summary_report(daily: DataFrame) -> DataFrame:
+def summary_report(daily: DataFrame, manual_label: str = MANUAL_LABEL) -> DataFrame:
     """Text report of daily counts, in print order."""
-    return survey_summary_lines(survey_summary(daily)).orderBy("section", "survey_name")
+    lines = survey_summary_lines(survey_summary(daily), manual_label)
+    return lines.orderBy("section", "survey_name")

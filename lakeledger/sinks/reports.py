@@ -9,13 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeledger.contracts import LEDGER, conform
-from lakeledger.operators.joins import splittable_join
 from lakeledger.operators.layers import GROUP, ID
 from lakeledger.sinks.tables import write_partitions
 
 REPORT_KEYS = ("event_date", "survey_name")
-# Ids per line of an anomaly file.
-IDS_PER_LINE = 100_000
 
 
 def _write_rows(summary: DataFrame, path: str) -> None:
@@ -36,32 +33,19 @@ def write_report(summary: DataFrame, path: str, layout: str = "unified") -> None
         raise ValueError("layout is 'unified' or 'split'")
 
 
-def anomaly_lines(
-    unexplained: DataFrame, generated_at: str, ids_per_line: int = IDS_PER_LINE
-) -> DataFrame:
-    """(survey_name, event_date, generated_at, unaccounted_contact_record_ids).
-
-    One line per survey and date as long as its ids fit ``ids_per_line``; a
-    larger group is spread by a hash of the id over as many lines as it needs,
-    so that no task collects a whole group.
-    """
-    sizes = unexplained.groupBy(*GROUP).agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(ids_per_line)).cast("int").alias("lines")
-    )
-    return (
-        splittable_join(unexplained, sizes, GROUP, "inner")
-        .withColumn("line", F.pmod(F.xxhash64(ID), F.col("lines")))
-        .groupBy(*GROUP, "line")
-        # Collected as structs, since a list of bare values would lose a null id.
-        .agg(F.array_sort(F.collect_list(F.struct(ID))).alias("ids"))
-        .withColumn("unaccounted_contact_record_ids", F.transform("ids", lambda r: r[ID]))
-        .select(*GROUP, F.lit(generated_at).alias("generated_at"), "unaccounted_contact_record_ids")
+def anomaly_rows(unexplained: DataFrame, generated_at: str) -> DataFrame:
+    """(survey_name, event_date, generated_at, unaccounted_contact_record_id): a row per id at every size."""
+    return unexplained.select(
+        *GROUP,
+        F.lit(generated_at).alias("generated_at"),
+        F.col(ID).alias("unaccounted_contact_record_id"),
     )
 
 
 def write_anomalies(unexplained: DataFrame, path: str, generated_at: str) -> None:
-    """Detail of unexplained ids; a survey and date without any gets no partition."""
-    write_partitions(anomaly_lines(unexplained, generated_at), path, REPORT_KEYS, "json")
+    """Detail of unexplained ids, one JSON row each; a survey and date without any gets no partition."""
+    rows = anomaly_rows(unexplained, generated_at)
+    write_partitions(rows, path, REPORT_KEYS, "json", ignoreNullFields="false")
 
 
 def ledger_rows(summary: DataFrame, report_path: str) -> DataFrame:
@@ -72,7 +56,7 @@ def ledger_rows(summary: DataFrame, report_path: str) -> DataFrame:
         F.concat(F.lit("survey_name="), F.col("survey_name")),
     )
     return conform(
-        summary.withColumn("s3_report_path", location).withColumnRenamed(
+        summary.withColumn("report_path", location).withColumnRenamed(
             "survey_name", "survey_type"
         ),
         LEDGER,

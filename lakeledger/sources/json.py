@@ -7,6 +7,7 @@ files like any text, so large inputs should come in that form.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +31,17 @@ def _read_text(spark: SparkSession, path, lines: bool) -> DataFrame:
     )
 
 
+def count_files(spark: SparkSession, path, lines: bool = False) -> int:
+    """Number of files that the readers here would take; none if there is no such path."""
+    try:
+        # The listing that the reader has made anyway; nothing is read.
+        return len(_read_text(spark, path, lines)._jdf.inputFiles())
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return 0
+        raise
+
+
 def _is_array(text: Column) -> Column:
     return text.rlike(r"^\s*\[")
 

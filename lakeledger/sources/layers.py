@@ -56,9 +56,14 @@ def read_layer(
     contract: Contract = LAYER,
 ) -> DataFrame:
     """Contract columns of a Parquet layer; other files in the folder are ignored."""
+    paths = _wanted(spark, folder, dates)
+    if not paths:
+        return spark.createDataFrame([], contract.schema)
     df = _load_or_empty(
         spark,
-        lambda: spark.read.option("pathGlobFilter", "*.parquet").parquet(folder),
+        lambda: spark.read.option("basePath", folder)
+        .option("pathGlobFilter", "*.parquet")
+        .parquet(*paths),
         contract.schema,
     )
     return _as_text(df, contract, dates)
@@ -72,8 +77,13 @@ def read_quarantine(
         return read_layer(spark, folder, dates, QUARANTINE)
     if fmt != "csv":
         raise ValueError("fmt is 'csv' or 'parquet'")
+    paths = _wanted(spark, folder, dates)
+    if not paths:
+        return spark.createDataFrame([], QUARANTINE.schema)
     df = _load_or_empty(
-        spark, lambda: spark.read.option("header", "true").csv(folder), QUARANTINE.schema
+        spark,
+        lambda: spark.read.option("basePath", folder).option("header", "true").csv(paths),
+        QUARANTINE.schema,
     )
     return _as_text(df, QUARANTINE, dates)
 
@@ -88,14 +98,16 @@ def read_raw_surveys(
     """
     fields = ", ".join(f"`{name}` string" for name in RAW_FIELDS)
     schema = f"{fields}, _broken string, {PARTITION} string"
-    df = _load_or_empty(
+    paths = _wanted(spark, folder, dates)
+    df = spark.createDataFrame([], schema) if not paths else _load_or_empty(
         spark,
         lambda: spark.read.schema(schema)
+        .option("basePath", folder)
         .option("multiLine", "true")
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "_broken")
         .option("pathGlobFilter", "*.json")
-        .json(folder),
+        .json(paths),
         schema,
     )
     if dates is not None:
@@ -107,31 +119,33 @@ def read_raw_surveys(
     )
 
 
-def list_files(spark: SparkSession, folder: str, glob: str | None = None) -> DataFrame:
-    """(path, length, event_date) of the files below a folder; no file is opened."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    schema = f"path string, length bigint, {PARTITION} string"
-    date = F.nullif(
-        F.regexp_extract("path", rf"/{PARTITION}=([^/]+)/[^/]*$", 1), F.lit("")
-    )
-    return _load_or_empty(
-        spark,
-        lambda: reader.load(folder).select("path", "length", date.alias(PARTITION)),
-        schema,
-    )
+def child_folders(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the folders one level below, whatever lies in them; none if there is no such folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return []
+    return sorted(s.getPath().getName() for s in files.listStatus(path) if s.isDirectory())
+
+
+def date_folders(spark: SparkSession, folder: str) -> list[str]:
+    """Dates of a layer, sorted, from one listing of its folder: no file is looked at."""
+    start = f"{PARTITION}="
+    return [n.removeprefix(start) for n in child_folders(spark, folder) if n.startswith(start)]
 
 
 def list_event_dates(spark: SparkSession, folder: str) -> DataFrame:
-    """Distinct dates that have a folder with files, sorted; other folders do not count."""
-    return (
-        list_files(spark, folder)
-        .select(PARTITION)
-        .dropna()
-        .distinct()
-        .orderBy(PARTITION)
-    )
+    """``date_folders`` as rows; other folders do not count."""
+    dates = [(d,) for d in date_folders(spark, folder)]
+    return spark.createDataFrame(dates, f"{PARTITION} string").coalesce(1).orderBy(PARTITION)
+
+
+def _wanted(spark: SparkSession, folder: str, dates: Iterable[str] | None) -> list[str]:
+    """Paths to read: the folder itself, or its folders of the given dates that are there."""
+    if dates is None:
+        return [folder]
+    here = set(date_folders(spark, folder))
+    return [f"{folder}/{PARTITION}={d}" for d in sorted(set(dates)) if d in here]
 
 
 def latest_event_dates(files: DataFrame, key: str = "survey_name") -> DataFrame:

@@ -25,9 +25,9 @@ def values(spark, texts, column):
 
 def test_labels(spark):
     cases = {
-        "StartService-Thankyou": "StartService",
-        "BalanceBillingEnrollmentThankYou": "BalanceBillingEnrollment",
-        "ReportOutageNoLightSingleAccount-ThankYou": "ReportOutageNoLightSingleAccount",
+        "Delivery-Thankyou": "Delivery",
+        "RefundRequestThankYou": "RefundRequest",
+        "NewAddress-ThankYou": "NewAddress",
         "ChangeRatePlan": "ChangeRatePlan",
         "Rate Comparison": "Rate Comparison",
         "A - Thank You ": "A ",

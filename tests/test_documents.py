@@ -142,7 +142,7 @@ def test_ingest_twice_adds_nothing(spark, source, folder):
     good = f"{folder}/final"
     args = (spark, source, f"{folder}/raw", good, RUN)
     log = ingest(*args, rejects=f"{folder}/rejects")
-    assert [r["step"] for r in log][:3] == ["land raw", "stage inquiries", "load conversation"]
+    assert [r["step"] for r in log.collect()][:3] == ["land raw", "stage inquiries", "load conversation"]
     counts = {n: spark.read.parquet(f"{good}/{n}").count() for n in DOCUMENT_CONTRACTS}
     assert counts == {
         "conversation": 2, "inquiry": 2, "inquiry_intent": 1, "inquiry_key_point": 2,

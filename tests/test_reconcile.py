@@ -1,19 +1,22 @@
 import json
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 from pathlib import Path
 
 import pytest
 
+from lakeledger.functions import run_stamp
+from lakeledger.plans import reconcile as reconcile_module
 from lakeledger.plans.reconcile import (
     Options,
     Paths,
     ReconciliationError,
+    log_rows,
     run_reconciliation,
     run_totals,
 )
 from lakeledger.operators.layers import missing_ids, missing_records, reason_counts
 from lakeledger.operators.raw_counts import raw_counts
-from lakeledger.sinks.reports import anomaly_lines
+from lakeledger.sinks.reports import write_anomalies
 from lakeledger.sources.json import read_control_dates
 from lakeledger.sources.layers import (
     list_event_dates,
@@ -102,7 +105,7 @@ def paths(spark, folder):
     ids(spark, f"{p.sentiment}/phone/event_date={DAY}", ["r1"])
     put(
         f"{p.quarantine}/phone_quarantine/event_date={DAY}/q.csv",
-        "removal_reason,contact_record_id\nDEDUP_CASE_2,r2\n",
+        "removal_reason,contact_record_id\nDOUBLE_ENTRY,r2\n",
     )
     ids(spark, f"{p.curated}/survey_mail/event_date={DAY}", ["m1", "m2"])
     return p
@@ -125,7 +128,7 @@ def test_whole_run(spark, paths):
     assert report[(DAY, "PHONE")] == {
         "raw_count": 3, "curated_count": 3, "raw_curated_mismatch": False,
         "sentiment_count": 1, "removed_count": 2, "unaccounted_count": 1,
-        "reason_breakdown": "DEDUP_CASE_2: 1, UNACCOUNTED: 1", "pipeline_status": "ACTIVE",
+        "reason_breakdown": "DOUBLE_ENTRY: 1, UNACCOUNTED: 1", "pipeline_status": "ACTIVE",
         "generated_at": NOW.isoformat(),
     }
     # Nothing there at all: zero counts, nothing missing.
@@ -142,18 +145,18 @@ def test_whole_run(spark, paths):
     }
     assert report_rows(paths.anomalies) == {
         (DAY, "PHONE"): {
-            "generated_at": NOW.isoformat(), "unaccounted_contact_record_ids": ["r3"],
+            "generated_at": NOW.isoformat(), "unaccounted_contact_record_id": "r3",
         }
     }
     ledger = spark.read.parquet(paths.ledger)
     assert ledger.count() == 3
     assert "reason_breakdown" not in ledger.columns
     row = ledger.filter("survey_type = 'MAIL'").first()
-    assert row["s3_report_path"].endswith(f"event_date={DAY}/survey_name=MAIL")
+    assert row["report_path"].endswith(f"event_date={DAY}/survey_name=MAIL")
 
     again = run_reconciliation(spark, paths, CONFIGS, NOW, dates=[DAY])
     assert {r["status"] for r in again} == {"skipped"}
-    totals = run_totals(spark.createDataFrame(again)).collect()
+    totals = run_totals(log_rows(spark, again)).collect()
     assert [(r["status"], r["items"]) for r in totals] == [("skipped", 3)]
     redo = run_reconciliation(
         spark, paths, CONFIGS, NOW, dates=[DAY], options=Options(skip_done_on_override=False)
@@ -168,7 +171,7 @@ def test_naive_counts_and_older_forms(spark, paths):
     phone = report_rows(f"{paths.report}/active")[(DAY, "PHONE")]
     assert phone["raw_count"] == 4 and phone["raw_curated_mismatch"] is True
     assert phone["reason_breakdown"] == [
-        {"removal_reason": "DEDUP_CASE_2", "record_count": 1},
+        {"removal_reason": "DOUBLE_ENTRY", "record_count": 1},
         {"removal_reason": "UNACCOUNTED", "record_count": 1},
     ]
     mail = report_rows(f"{paths.report}/raw_only")[(DAY, "MAIL")]
@@ -276,13 +279,15 @@ def test_id_of_two_surveys_counts_for_the_lowest_name(spark):
     assert got == {"a": 1, "b": 3, None: 1}
 
 
-def test_large_anomaly_groups_are_split_and_whole(spark):
+def test_anomalies_are_a_row_per_id_at_any_size(spark, folder):
     rows = layer(spark, [None, *[f"i{n}" for n in range(1000)]])
-    lines = anomaly_lines(rows, "now", ids_per_line=100).collect()
-    assert len(lines) == 11
-    every = [i for r in lines for i in r["unaccounted_contact_record_ids"]]
-    assert len(every) == 1001 and set(every) == {None, *[f"i{n}" for n in range(1000)]}
-    assert len(anomaly_lines(rows, "now").collect()) == 1
+    write_anomalies(rows, folder, "now")
+    found = spark.read.schema(
+        "generated_at string, unaccounted_contact_record_id string, survey_name string, event_date string"
+    ).json(folder).select("generated_at", "unaccounted_contact_record_id", "survey_name", "event_date")
+    assert {tuple(r) for r in found.collect()} == {
+        ("now", i, "S", DAY) for i in (None, *[f"i{n}" for n in range(1000)])
+    }
 
 
 def test_control_dates_use_the_first_key(spark, folder):
@@ -335,3 +340,68 @@ def test_config_relation(spark):
         ("PHONE", True), ("WEB", True), ("MAIL", False),
     ]
     assert rows[2]["sentiment_folder"] is None
+
+
+def test_dates_of_nested_folders(spark, folder):
+    put(f"{folder}/event_date=2026-01-01/part=0/x.json", "[]")
+    put(f"{folder}/event_date=2026-01-02/x.json", "[]")
+    put(f"{folder}/other/event_date=2026-01-03/x.json", "[]")
+    assert [r[0] for r in list_event_dates(spark, folder).collect()] == ["2026-01-01", "2026-01-02"]
+    ids(spark, f"{folder}/layer/event_date=2026-01-01/hour=3", ["a"])
+    ids(spark, f"{folder}/layer/event_date=2026-01-02/hour=4", ["b"])
+    rows = read_layer(spark, f"{folder}/layer", ["2026-01-01", "2026-01-05"]).collect()
+    assert [tuple(r) for r in rows] == [("a", "2026-01-01")]
+
+
+def test_surveys_read_their_own_dates_only(spark, paths, monkeypatch):
+    ids(spark, f"{paths.sentiment}/phone/event_date=2026-05-09", ["r0"])
+    ids(spark, f"{paths.curated}/survey_mail/event_date=2026-05-12", ["m3"])
+    asked = {}
+    read = reconcile_module.read_layer
+    monkeypatch.setattr(
+        reconcile_module, "read_layer",
+        lambda spark, path, dates: asked.setdefault(path.rsplit("/", 1)[1], dates) and read(spark, path, dates),
+    )
+    run_reconciliation(spark, paths, CONFIGS, NOW)
+    assert asked == {"survey_phone": [DAY], "phone": [DAY], "survey_mail": ["2026-05-12"]}
+
+
+def test_error_without_a_message(spark, paths, monkeypatch):
+    def fail(*_):
+        raise ValueError
+
+    monkeypatch.setattr(reconcile_module, "read_quarantine", fail)
+    with pytest.raises(ReconciliationError) as caught:
+        run_reconciliation(spark, paths, CONFIGS, NOW, dates=[DAY])
+    messages = {r["survey_name"]: r["message"] for r in caught.value.run_log}
+    assert messages == {"PHONE": "ValueError: ", "WEB": "ValueError: ", "MAIL": ""}
+
+
+def test_staging_is_overwritten(spark, paths):
+    for _ in range(2):
+        run_reconciliation(
+            spark, paths, CONFIGS, NOW, dates=[DAY], options=Options(skip_done_on_override=False)
+        )
+    assert sorted(p.name for p in Path(paths.work).iterdir()) == ["missing", "raw-counts", "summary"]
+
+
+def test_white_space_around_names(spark, paths):
+    configs = [{**c, "raw_survey_name": f"\t{c['raw_survey_name']}\n"} for c in CONFIGS]
+    options = Options(all_whitespace=True)
+    run_reconciliation(spark, paths, configs, NOW, dates=[DAY], options=options)
+    assert report_rows(paths.report)[(DAY, "PHONE")]["raw_count"] == 3
+
+
+def test_raw_rows_go_by_hash_first(spark, paths):
+    plan = raw_counts(read_raw_surveys(spark, paths.raw, [DAY]))
+    steps = plan._jdf.queryExecution().sparkPlan().toString().splitlines()
+    kinds = [line.strip(" +-:*()0123456789") for line in steps]
+    aggregates = [k.split("(")[0] for k in kinds if "Aggregate(" in k]
+    # From the top down; the last two stand next to the raw rows.
+    assert aggregates[-2:] == ["HashAggregate", "HashAggregate"]
+
+
+def test_run_stamps_are_utc():
+    zoned = datetime(2026, 1, 1, tzinfo=timezone(timedelta(hours=5)))
+    assert run_stamp(zoned) == "20251231T190000Z"
+    assert run_stamp(datetime(2026, 1, 1)) == "20260101T000000Z"

@@ -78,7 +78,7 @@ def test_survey_summary_and_text(spark):
         "GRAND TOTAL (all surveys)": (9, ""),
     }
     lines = [r["line"] for r in summary_report(daily).collect()]
-    width = len("Total count in Feedback Manager") + 2
+    width = len("Total count entered by hand") + 2
     rule = "-" * (width + 55)
 
     def line(name, count, dates):
@@ -92,7 +92,7 @@ def test_survey_summary_and_text(spark):
         rule,
         line("GRAND TOTAL (all surveys)", 9, ""),
         rule,
-        line("Total count in Feedback Manager", "", ""),
+        line("Total count entered by hand", "", ""),
         rule,
     ]
     nothing = [r["line"] for r in summary_report(daily_counts(staged(spark))).collect()]

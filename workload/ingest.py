@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeledger.contracts import (
-    DOCUMENT_CONTRACTS,
     ColumnSpec,
     Contract,
     split_rejects,
@@ -30,6 +30,16 @@ from workload.base import query, table, write_array_files
 
 RUN = datetime(2026, 8, 12)
 
+DOCUMENTS = Contract(
+    "documents",
+    (
+        ColumnSpec("doc_id", "bigint", nullable=False),
+        ColumnSpec("description", length=4000),
+        ColumnSpec("lang", length=2),
+        ColumnSpec("quality", "int", nullable=False),
+    ),
+)
+
 
 def _inquiry(line: Column, i: Column, role: Column) -> Column:
     return F.struct(
@@ -265,17 +275,69 @@ def raw_landing_files(spark, sf_dir):
     return _landed(land_raw(spark, source, scratch_path(spark, "raw"), RUN))
 
 
-@query(
-    "ingest_job",
-    f"""
-WITH {_TURNS}
-SELECT 'conversation' AS relation, count(*)::BIGINT AS stored, 0::BIGINT AS rejected
+# Every stored column, written out, so that one too many would show.
+_STORED = {
+    "conversation": (
+        "conversation_id message_id sequence_number generated_at model_version prompt_tokens"
+        " completion_tokens total_tokens updated_on load_ts"
+    ),
+    "inquiry": (
+        "inquiry_id conversation_id inquiry_number inquiry_role inquiry_parent_number"
+        " classification description resolution status inquiry_summary meme_ck updated_on load_ts"
+    ),
+    "inquiry_intent": "inquiry_id intent_id intent_label updated_on load_ts",
+    "inquiry_key_point": "inquiry_id key_point_seq key_point_text updated_on load_ts",
+    "inquiry_topic": "inquiry_id topic_seq topic_text updated_on load_ts",
+}
+# relation -> (key, number, text) on the Spark side.
+_SHOWN = {
+    "conversation": ("conversation_id", "prompt_tokens", ("message_id", "model_version")),
+    "inquiry": (
+        "inquiry_id",
+        "inquiry_number",
+        ("conversation_id", "inquiry_role", "classification", "description", "status"),
+    ),
+    "inquiry_intent": ("inquiry_id", "intent_id", ("intent_label",)),
+    "inquiry_key_point": ("inquiry_id", "key_point_seq", ("key_point_text",)),
+    "inquiry_topic": ("inquiry_id", "topic_seq", ("topic_text",)),
+}
+
+
+def _stored_rows(spark, folder: str) -> DataFrame:
+    """All stored rows of the five relations: relation, stored columns, key, number, text."""
+    parts = []
+    for name, (key, number, texts) in _SHOWN.items():
+        rows = spark.read.parquet(f"{folder}/{name}")
+        parts.append(
+            rows.select(
+                F.lit(name).alias("relation"),
+                F.lit(" ".join(c for c in rows.columns if c not in ("broken_rules", "run"))).alias("stored_columns"),
+                F.col(key).alias("row_key"),
+                F.col(number).cast("bigint").alias("row_number"),
+                F.concat_ws("|", *texts).alias("row_text"),
+            )
+        )
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+_JOB_ROWS = f"""
+WITH {_TURNS}, stored AS (
+SELECT 'conversation' AS relation, id AS row_key, length(text)::BIGINT AS row_number,
+       'm' || id || '|' || role AS row_text
 FROM turns WHERE role <> 'system'
-UNION ALL SELECT 'inquiry', count(*), 0 FROM inquiries
-UNION ALL SELECT 'inquiry_intent', count(*), count(*) FROM inquiries
-UNION ALL SELECT 'inquiry_key_point', sum(len(string_split(line, '. '))), 0 FROM inquiries
-UNION ALL SELECT 'inquiry_topic', sum(len(string_split(line, ' '))), 0 FROM inquiries""",
-)
+UNION ALL SELECT 'inquiry', inquiry_id, (pos + 1)::BIGINT,
+       concat_ws('|', id, role, role, trim(line), CASE WHEN line <> '' THEN 'open' END) FROM inquiries
+UNION ALL SELECT 'inquiry_intent', inquiry_id, length(line)::BIGINT, role FROM inquiries
+UNION ALL SELECT 'inquiry_key_point', inquiry_id, generate_subscripts(string_split(line, '. '), 1)::BIGINT,
+       trim(unnest(string_split(line, '. '))) FROM inquiries
+UNION ALL SELECT 'inquiry_topic', inquiry_id, generate_subscripts(string_split(line, ' '), 1)::BIGINT,
+       trim(unnest(string_split(line, ' '))) FROM inquiries
+), named(relation, stored_columns) AS (
+  VALUES {", ".join(f"('{name}', '{columns}')" for name, columns in _STORED.items())}
+)"""
+
+
+@query("ingest_job", f"{_JOB_ROWS} SELECT * FROM stored JOIN named USING (relation)")
 def ingest_job(spark, sf_dir):
     """The whole job, run twice: the second run finds everything already stored."""
     source = scratch_path(spark, "documents")
@@ -284,21 +346,57 @@ def ingest_job(spark, sf_dir):
     rejects = scratch_path(spark, "rejects")
     for _ in range(2):
         ingest(spark, source, landing, finals, RUN, lines=True, rejects=rejects)
-    parts = []
-    for name, contract in DOCUMENT_CONTRACTS.items():
-        for path, stored in ((finals, 1), (rejects, 0)):
-            # A relation without any bad row has no partition of rejects.
-            parts.append(
-                spark.read.schema(contract.schema).parquet(f"{path}/{name}").select(
-                    F.lit(name).alias("relation"), F.lit(stored).alias("stored")
-                )
-            )
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionByName(part)
-    return rows.groupBy("relation").agg(
-        F.sum("stored").alias("stored"), F.sum(1 - F.col("stored")).alias("rejected")
+    return _stored_rows(spark, finals)
+
+
+@query(
+    "ingest_steps",
+    """
+SELECT unnest(['land raw', 'stage inquiries', 'load conversation', 'load inquiry', 'load inquiry_intent',
+               'load inquiry_key_point', 'load inquiry_topic']) AS step, true AS in_utc,
+       (SELECT sum(len(string_split(text, chr(10)))) FROM conversations WHERE role <> 'system')::BIGINT AS rejected""",
+)
+def ingest_steps(spark, sf_dir):
+    """The log of a run as rows, and how many intents without a number it rejected."""
+    source = scratch_path(spark, "documents")
+    conversation_texts(spark, sf_dir).select("value").write.text(source)
+    rejects = scratch_path(spark, "rejects")
+    log = ingest(
+        spark, source, scratch_path(spark, "raw"), scratch_path(spark, "final"), RUN, True, rejects
+    )
+    rejected = spark.read.parquet(f"{rejects}/inquiry_intent").count()
+    return log.select(
+        "step", F.col("started_at").endswith("Z").alias("in_utc"), F.lit(rejected).alias("rejected")
+    )
+
+
+@query(
+    "rejects_of_a_repaired_run",
+    """
+SELECT 'first' AS run, count(*) FILTER (length(text) <= 4000) AS stored,
+       count(*) FILTER (length(text) > 4000) AS rejected FROM documents
+UNION ALL SELECT 'repaired', count(*), 0 FROM documents""",
+)
+def rejects_of_a_repaired_run(spark, sf_dir):
+    """Texts that are too long are rejected; the run is repeated with those replaced by a digest."""
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", F.col("text").alias("description"), "lang", F.lit(1).alias("quality"),
+        run_time(RUN).alias("updated_on"),
+    )
+    contract = Contract(
+        "documents", (*DOCUMENTS.columns, ColumnSpec("updated_on", "timestamp_ntz")), ("doc_id",)
+    )
+    repaired = docs.withColumn(
+        "description",
+        F.when(F.length("description") > 4000, F.sha2("description", 256)).otherwise(F.col("description")),
     )
+    target, rejects = scratch_path(spark, "docs"), scratch_path(spark, "docs-rejects")
+    found = []
+    for name, work in (("first", docs), ("repaired", repaired)):
+        load_versioned(spark, work, target, contract, RUN, rejects)
+        stored, rejected = (spark.read.parquet(path).count() for path in (target, rejects))
+        found.append((name, stored, rejected))
+    return spark.createDataFrame(found, "run string, stored bigint, rejected bigint")
 
 
 @query(
@@ -440,17 +538,6 @@ def char_trim(spark, sf_dir):
     )
 
 
-DOCUMENTS = Contract(
-    "documents",
-    (
-        ColumnSpec("doc_id", "bigint", nullable=False),
-        ColumnSpec("description", length=4000),
-        ColumnSpec("lang", length=2),
-        ColumnSpec("quality", "int", nullable=False),
-    ),
-)
-
-
 def _labelled_documents(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").withColumnRenamed("text", "description")
     return docs.join(table(spark, sf_dir, "labels"), "doc_id", "left")

@@ -149,3 +149,49 @@ def csv_round_trip(spark, sf_dir):
     )
     path = write_csv(rows, scratch_path(spark, "orders-csv"), RUN)
     return spark.read.option("header", "true").option("escape", '"').csv(path)
+
+
+@query(
+    "flatten_dynamic_keys",
+    """
+SELECT 'k' || s_suppkey || '_name' AS column_name, s_name AS cell FROM supplier
+UNION ALL SELECT 'k' || s_suppkey || '_place_nation', s_nationkey::VARCHAR FROM supplier
+UNION ALL SELECT 'key', s_suppkey::VARCHAR FROM supplier""",
+)
+def flatten_dynamic_keys(spark, sf_dir):
+    """A key of its own in every record; the flat table's filled cells."""
+    path = scratch_path(spark, "dynamic-keys")
+    own = F.to_json(
+        F.struct(F.col("s_name").alias("name"), F.struct(F.col("s_nationkey").alias("nation")).alias("place"))
+    )
+    key = F.col("s_suppkey").cast("string")
+    table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit('{"key":'), key, F.lit(',"k'), key, F.lit('":'), own, F.lit("}")).alias("value")
+    ).write.text(path)
+    flat = flatten_json(read_json_records(spark, path, lines=True))
+    cells = F.from_json(F.to_json(F.struct("*")), "map<string,string>")
+    return flat.select(F.explode(cells).alias("column_name", "cell"))
+
+
+@query(
+    "flat_names",
+    """
+SELECT unnest(['a_b', 'key', 'tags_0']) AS column_name, (SELECT count(*) FROM supplier) AS filled""",
+)
+def flat_names(spark, sf_dir):
+    """Sorted columns, and two paths with one name of which the later one counts."""
+    path = scratch_path(spark, "flat-names")
+    name = F.col("s_name")
+    table(spark, sf_dir, "supplier").select(
+        F.struct(name.alias("0")).alias("tags"),
+        F.col("s_suppkey").alias("key"),
+        F.when(F.col("s_suppkey") % 2 == 0, name).alias("a_b"),
+        F.struct(F.when(F.col("s_suppkey") % 2 == 1, name).alias("b")).alias("a"),
+    ).write.json(path)
+    records = read_json_records(spark, path, lines=True)
+    flat = flatten_json(records, order="sorted", on_collision="last")
+    assert flat.columns == ["a_b", "key", "tags_0"]
+    counts = flat.agg(*[F.count(c).alias(c) for c in flat.columns])
+    return counts.select(
+        F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("filled")) for c in flat.columns]))
+    )

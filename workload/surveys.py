@@ -3,6 +3,7 @@ user the contact, the day of the event its date."""
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,8 +25,10 @@ from lakeledger.operators.survey_counts import (
 from lakeledger.plans.reconcile import (
     Options,
     Paths,
+    ReconciliationError,
     dates_by_survey,
     latest_by_survey,
+    log_rows,
     not_applicable_as_text,
     reconcile,
     run_reconciliation,
@@ -38,7 +41,15 @@ from lakeledger.session import scratch_path
 from lakeledger.sinks.reports import write_anomalies, write_ledger, write_report
 from lakeledger.sinks.tables import write_partitions, write_staged
 from lakeledger.sources.json import read_control_dates
-from lakeledger.sources.layers import latest_event_dates, list_event_dates, list_files
+from lakeledger.sources.layers import (
+    child_folders,
+    date_folders,
+    latest_event_dates,
+    list_event_dates,
+    partition_has_data,
+    read_layer,
+    survey_config,
+)
 from workload.base import day_text, query, table
 
 # The surveys of the test data: an argument of the jobs. Errors and signups
@@ -83,7 +94,7 @@ def scored(curated: DataFrame) -> DataFrame:
 
 def removed(curated: DataFrame) -> DataFrame:
     """Quarantine: low values, with a reason or with none."""
-    reason = F.when(F.col("k") < 30, "DEDUP_CASE_1").when(F.col("k") < 60, "DEDUP_CASE_2")
+    reason = F.when(F.col("k") < 30, "REPEATED").when(F.col("k") < 60, "DOUBLE_ENTRY")
     return curated.filter("value < 2").withColumn("removal_reason", reason)
 
 
@@ -121,7 +132,7 @@ curated AS (
 ), sentiment AS (SELECT * FROM curated WHERE value >= 5
 ), quarantine AS (
   SELECT survey_name, event_date, contact_record_id,
-         min(CASE WHEN k < 30 THEN 'DEDUP_CASE_1' WHEN k < 60 THEN 'DEDUP_CASE_2' END) AS reason
+         min(CASE WHEN k < 30 THEN 'REPEATED' WHEN k < 60 THEN 'DOUBLE_ENTRY' END) AS reason
   FROM curated WHERE value < 2 GROUP BY 1, 2, 3
 ), missing AS (
   SELECT survey_name, event_date, contact_record_id FROM curated
@@ -209,23 +220,19 @@ def anomaly_ids(spark, sf_dir):
 @query(
     "anomaly_detail",
     f"""WITH {_LAYERS}
-SELECT survey_name, event_date, contact_record_id, 'now' AS generated_at
+SELECT survey_name, event_date, contact_record_id AS unaccounted_contact_record_id,
+       'now' AS generated_at
 FROM explained WHERE NOT accounted""",
 )
 def anomaly_detail(spark, sf_dir):
-    """Anomaly files written and read back, one row per id."""
+    """The rows of the anomaly files, as they were written."""
     path = scratch_path(spark, "anomalies")
     write_anomalies(unexplained_records(explained(spark, sf_dir)), path, "now")
     schema = (
-        "generated_at string, unaccounted_contact_record_ids array<string>,"
+        "generated_at string, unaccounted_contact_record_id string,"
         " event_date string, survey_name string"
     )
-    return spark.read.schema(schema).json(path).select(
-        "survey_name",
-        "event_date",
-        F.explode("unaccounted_contact_record_ids").alias("contact_record_id"),
-        "generated_at",
-    )
+    return spark.read.schema(schema).json(path)
 
 
 def _reconciled(spark, sf_dir, **options):
@@ -320,10 +327,39 @@ def reconcile_reason_list(spark, sf_dir):
     return summary.select("survey_name", "event_date", F.inline("reason_breakdown"))
 
 
-def _write_layers(spark, sf_dir, paths: Paths) -> None:
-    """The layers as files: date folders below one folder per survey."""
+@query(
+    "reconcile_whitespace",
+    f"""{_SUMMARY} SELECT event_date, survey_name, raw_count FROM summary""",
+)
+def reconcile_whitespace(spark, sf_dir):
+    """Names with tabs and line ends around them, on both sides of the name join."""
+    raw = deliveries(spark, sf_dir).withColumn(
+        "raw_survey_name", F.concat(F.lit("\t"), F.trim("raw_survey_name"), F.lit("\r\n"))
+    )
+    configs = [{**c, "raw_survey_name": f"{c['raw_survey_name']}\n"} for c in CONFIGS]
+    curated = records(spark, sf_dir)
+    summary = reconcile(
+        dates_by_survey(curated.select("event_date").distinct(), configs),
+        raw_counts(raw, all_whitespace=True),
+        curated,
+        scored(curated),
+        missing_records(curated, scored(curated), removed(curated)),
+        "now",
+        all_whitespace=True,
+    ).summary
+    return summary.select("event_date", "survey_name", "raw_count")
+
+
+def _write_layers(spark, sf_dir, paths: Paths, nested: bool = False) -> None:
+    """The layers as files: date folders below one folder per survey.
+
+    ``nested`` puts the files one folder deeper and the quarantine in Parquet.
+    """
     curated = records(spark, sf_dir).withColumn("folder", F.lower("survey_name"))
     keys = ("folder", "event_date")
+    if nested:
+        keys = (*keys, "hour")
+        curated = curated.withColumn("hour", F.hour("ts"))
     layer = ["contact_record_id", *keys]
     write_partitions(curated.select(*layer), paths.curated, keys)
     write_partitions(scored(curated).select(*layer), paths.sentiment, keys)
@@ -331,8 +367,8 @@ def _write_layers(spark, sf_dir, paths: Paths) -> None:
         removed(curated).select("removal_reason", *layer),
         paths.quarantine,
         keys,
-        "csv",
-        header="true",
+        *(("parquet",) if nested else ("csv",)),
+        **({} if nested else {"header": "true"}),
     )
     # Raw deliveries are JSON arrays: a file per date and hash group. Even a date
     # with all records has at most about 30,000 records per group.
@@ -354,21 +390,86 @@ def _write_layers(spark, sf_dir, paths: Paths) -> None:
     ).csv(paths.raw)
 
 
+def _job_paths(spark, name: str) -> Paths:
+    root = scratch_path(spark, name)
+    return Paths(*[f"{root}/{part}" for part in Paths.__annotations__])
+
+
+REPORT_SCHEMA = (
+    "raw_count bigint, curated_count bigint, raw_curated_mismatch boolean,"
+    " sentiment_count bigint, removed_count bigint, unaccounted_count bigint,"
+    " reason_breakdown string, pipeline_status string,"
+    " event_date string, survey_name string"
+)
+
+
 @query("reconcile_job", f"{_SUMMARY} {_SHOWN}")
 def reconcile_job(spark, sf_dir):
     """The whole job over files: layers written, control file read, report read back."""
-    root = scratch_path(spark, "reconcile")
-    paths = Paths(*[f"{root}/{name}" for name in Paths.__annotations__])
+    paths = _job_paths(spark, "reconcile")
     _write_layers(spark, sf_dir, paths)
-    dates = [r[0] for r in list_event_dates(spark, paths.curated).collect()]
-    run_reconciliation(spark, paths, CONFIGS, NOW, dates)
-    schema = (
-        "raw_count bigint, curated_count bigint, raw_curated_mismatch boolean,"
-        " sentiment_count bigint, removed_count bigint, unaccounted_count bigint,"
-        " reason_breakdown string, pipeline_status string,"
-        " event_date string, survey_name string"
+    control = f"{paths.work}-control"
+    (
+        records(spark, sf_dir)
+        .agg(F.collect_set("event_date").alias("dates"))
+        .select(F.to_json(F.create_map(F.lit("dates"), "dates")).alias("value"))
+        .write.text(control)
+    )
+    run_reconciliation(spark, paths, CONFIGS, NOW, control_file=control)
+    return spark.read.schema(REPORT_SCHEMA).json(paths.report)
+
+
+@query(
+    "reconcile_live_job",
+    f"""{_SUMMARY}, latest AS (
+  SELECT survey_name, max(event_date) AS event_date FROM sentiment
+  WHERE survey_name NOT IN ('ERROR', 'SIGNUP') GROUP BY 1
+  UNION ALL SELECT survey_name, max(event_date) FROM curated
+  WHERE survey_name IN ('ERROR', 'SIGNUP') GROUP BY 1
+)
+SELECT s.* FROM ({_SHOWN}) s JOIN latest USING (event_date, survey_name)""",
+)
+def reconcile_live_job(spark, sf_dir):
+    """Live mode over layers whose files lie one folder deeper and whose quarantine is Parquet;
+    the report is read through its registered table."""
+    paths = _job_paths(spark, "reconcile-live")
+    _write_layers(spark, sf_dir, paths, nested=True)
+    report = f"live_report_{uuid.uuid4().hex}"
+    spark.sql(
+        f"CREATE TABLE {report} ({REPORT_SCHEMA}) USING json"
+        f" PARTITIONED BY (event_date, survey_name) LOCATION '{paths.report}'"
+    )
+    try:
+        options = Options(quarantine_fmt="parquet", report_table=report)
+        run_reconciliation(spark, paths, CONFIGS, NOW, options=options)
+        rows = spark.table(report).collect()
+    finally:
+        spark.sql(f"DROP TABLE {report}")
+    return spark.createDataFrame(rows, REPORT_SCHEMA)
+
+
+@query(
+    "layer_has_data",
+    """
+SELECT upper(t) AS survey_name, t IN ('click', 'purchase', 'view') AS sentiment_pipeline_active,
+       EXISTS (SELECT 1 FROM events WHERE event_type = t AND value >= 50) AS has_data
+FROM (SELECT DISTINCT event_type AS t FROM events)""",
+)
+def layer_has_data(spark, sf_dir):
+    """The configuration as a relation, and whether each survey's layer folder holds a row."""
+    path = scratch_path(spark, "layer-data")
+    rows = records(spark, sf_dir).filter("value >= 50").withColumn("folder", F.lower("survey_name"))
+    keys = ("folder", "event_date")
+    write_partitions(rows.select("contact_record_id", *keys), path, keys)
+    found = [
+        (c["survey_name"], partition_has_data(read_layer(spark, f"{path}/{c['curated_folder']}")))
+        for c in CONFIGS
+    ]
+    return (
+        survey_config(spark, CONFIGS)
+        .join(spark.createDataFrame(found, "survey_name string, has_data boolean"), "survey_name")
+        .select("survey_name", "sentiment_pipeline_active", "has_data")
     )
-    return spark.read.schema(schema).json(paths.report)
 
 
 @query(
@@ -394,10 +495,12 @@ def layer_latest_date(spark, sf_dir):
     write_partitions(
         scored(records(spark, sf_dir)).select("contact_record_id", *keys), path, keys
     )
-    files = list_files(spark, path).withColumn(
-        "survey_name", F.regexp_extract("path", "survey_name=([^/]+)/", 1)
-    )
-    return latest_event_dates(files)
+    found = [
+        (survey.removeprefix("survey_name="), date)
+        for survey in child_folders(spark, path)
+        for date in date_folders(spark, f"{path}/{survey}")
+    ]
+    return latest_event_dates(spark.createDataFrame(found, "survey_name string, event_date string"))
 
 
 @query(
@@ -449,30 +552,40 @@ def skip_done_query(spark, sf_dir):
     "live_work",
     """
 SELECT upper(t) AS survey_name,
-       (SELECT max(ts::DATE)::VARCHAR FROM events WHERE event_type = t AND value > 300) AS event_date
-FROM (SELECT DISTINCT event_type AS t FROM events)""",
+       (SELECT max(ts::DATE)::VARCHAR FROM events WHERE event_type = t) AS event_date
+FROM (SELECT DISTINCT event_type AS t FROM events UNION SELECT 'letter')""",
 )
 def live_work(spark, sf_dir):
     """Live mode: the surveys with their own latest date, null without any."""
-    latest = latest_event_dates(records(spark, sf_dir).filter("value > 300"))
-    return latest_by_survey(latest, CONFIGS).select("survey_name", "event_date")
+    latest = latest_event_dates(records(spark, sf_dir))
+    letter = {"survey_name": "LETTER", "raw_survey_name": "letter", "sentiment_pipeline_active": False}
+    return latest_by_survey(latest, [*CONFIGS, letter]).select("survey_name", "event_date")
 
 
 @query(
     "run_totals",
-    f"""{_SUMMARY}
-SELECT CASE WHEN raw_count = 0 THEN 'skipped' WHEN raw_count <> curated_count THEN 'failed'
-            ELSE 'reconciled' END AS status, count(*) AS items
-FROM summary GROUP BY 1""",
+    """
+WITH d AS (SELECT count(DISTINCT ts::DATE) AS n FROM events)
+SELECT 'reconciled' AS status, n AS items FROM d UNION ALL SELECT 'skipped', n FROM d
+UNION ALL SELECT 'failed', n FROM d""",
 )
 def run_totals_query(spark, sf_dir):
-    log = _reconciled(spark, sf_dir).summary.select(
-        F.when(F.col("raw_count") == 0, "skipped")
-        .when(F.col("raw_curated_mismatch"), "failed")
-        .otherwise("reconciled")
-        .alias("status")
-    )
-    return run_totals(log)
+    """Log of a real run: one survey is done already, one has an unreadable layer, one is reconciled."""
+    paths = _job_paths(spark, "totals")
+    _write_layers(spark, sf_dir, paths)
+    dates = date_folders(spark, f"{paths.curated}/folder=view")
+    every = records(spark, sf_dir).select("event_date").distinct()
+    days = sorted({*dates, *(r[0] for r in every.collect())})
+    run_reconciliation(spark, paths, CONFIGS, NOW, days, surveys=["SIGNUP"])
+    broken = f"{paths.curated}/folder=click"
+    for day in days:
+        # A layer file without the id column.
+        spark.range(1).write.mode("overwrite").parquet(f"{broken}/event_date={day}")
+    try:
+        run_reconciliation(spark, paths, CONFIGS, NOW, days, surveys=["CLICK", "SIGNUP", "VIEW"])
+        raise AssertionError("the broken survey went unnoticed")
+    except ReconciliationError as error:
+        return run_totals(log_rows(spark, error.run_log))
 
 
 @query(
@@ -502,18 +615,18 @@ def survey_summary_query(spark, sf_dir):
     "survey_summary_text",
     """
 WITH d AS (SELECT event_type, ts::DATE::VARCHAR AS day, count(*) AS n FROM events
-           WHERE value > 200 GROUP BY 1, 2),
+           GROUP BY 1, 2),
 s AS (SELECT event_type AS name, sum(n)::BIGINT::VARCHAR AS n,
              string_agg(day, ', ' ORDER BY day) AS days FROM d GROUP BY 1)
 SELECT 2 AS section, name AS survey_name,
-       rpad(name, 33, ' ') || rpad(n, 15, ' ') || rpad(days, greatest(40, length(days))::INT, ' ') AS line FROM s
-UNION ALL SELECT 0, NULL, rpad('Survey Name', 33, ' ') || rpad('Total Count', 15, ' ') || rpad('Event Date(s) Processed', 40, ' ')
-UNION ALL SELECT x, NULL, repeat('-', 88) FROM (VALUES (1), (3), (5), (7)) v(x)
-UNION ALL SELECT 4, NULL, rpad('GRAND TOTAL (all surveys)', 33, ' ') || rpad(sum(n)::BIGINT::VARCHAR, 15, ' ') || repeat(' ', 40) FROM d
-UNION ALL SELECT 6, NULL, rpad('Total count in Feedback Manager', 33, ' ') || repeat(' ', 55)""",
+       rpad(name, 29, ' ') || rpad(n, 15, ' ') || rpad(days, greatest(40, length(days))::INT, ' ') AS line FROM s
+UNION ALL SELECT 0, NULL, rpad('Survey Name', 29, ' ') || rpad('Total Count', 15, ' ') || rpad('Event Date(s) Processed', 40, ' ')
+UNION ALL SELECT x, NULL, repeat('-', 84) FROM (VALUES (1), (3), (5), (7)) v(x)
+UNION ALL SELECT 4, NULL, rpad('GRAND TOTAL (all surveys)', 29, ' ') || rpad(sum(n)::BIGINT::VARCHAR, 15, ' ') || repeat(' ', 40) FROM d
+UNION ALL SELECT 6, NULL, rpad('Total count entered by hand', 29, ' ') || repeat(' ', 55)""",
 )
 def survey_summary_text(spark, sf_dir):
-    daily = daily_counts(records(spark, sf_dir).filter("value > 200"))
+    daily = daily_counts(records(spark, sf_dir))
     return survey_summary_lines(survey_summary(daily))
 
 
@@ -562,14 +675,8 @@ def staged_rows(spark, sf_dir):
 def report_split_layout(spark, sf_dir):
     path = scratch_path(spark, "split-report")
     write_report(_reconciled(spark, sf_dir).summary, path, layout="split")
-    schema = (
-        "raw_count bigint, curated_count bigint, raw_curated_mismatch boolean,"
-        " sentiment_count bigint, removed_count bigint, unaccounted_count bigint,"
-        " reason_breakdown string, pipeline_status string,"
-        " event_date string, survey_name string"
-    )
-    active = spark.read.schema(schema).json(f"{path}/active")
-    return active.unionByName(spark.read.schema(schema).json(f"{path}/raw_only"))
+    active = spark.read.schema(REPORT_SCHEMA).json(f"{path}/active")
+    return active.unionByName(spark.read.schema(REPORT_SCHEMA).json(f"{path}/raw_only"))
 
 
 @query(
@@ -577,7 +684,7 @@ def report_split_layout(spark, sf_dir):
     f"""{_SUMMARY}
 SELECT event_date, survey_name AS survey_type, raw_count, curated_count,
        CASE WHEN active THEN 'ACTIVE' ELSE 'RAW_ONLY' END AS pipeline_status,
-       'report/event_date=' || event_date || '/survey_name=' || survey_name AS s3_report_path,
+       'report/event_date=' || event_date || '/survey_name=' || survey_name AS report_path,
        CASE WHEN active THEN 'second' ELSE 'now' END AS generated_at
 FROM summary""",
 )
@@ -589,7 +696,7 @@ def ledger_upsert(spark, sf_dir):
     again = summary.filter("pipeline_status = 'ACTIVE'")
     write_ledger(again.withColumn("generated_at", F.lit("second")), path, "report/")
     schema = (
-        "raw_count bigint, curated_count bigint, pipeline_status string, s3_report_path string,"
+        "raw_count bigint, curated_count bigint, pipeline_status string, report_path string,"
         " generated_at string, event_date string, survey_type string"
     )
     return spark.read.schema(schema).parquet(path)
