@@ -45,7 +45,7 @@ WITH d AS (
     FROM d LEFT JOIN c USING (doc_id)
 ), f AS (
     SELECT *, (n_words < 20)::BIGINT + 2 * (100 * n_repeat_words > 30 * n_words)::BIGINT
-        + 4 * (n_symbols * 10 > n_words * 3)::BIGINT + 8 * (n_dup_lines * 10 > n_lines * 3)::BIGINT
+        + 4 * (n_symbols * 10 > n_words * 3)::BIGINT + 8 * (n_dup_lines * 2 > n_lines)::BIGINT
         + 16 * (word_chars < n_words * 2)::BIGINT + 32 * (word_chars > n_words * 20)::BIGINT
         + 64 * (n_exclaims * 10 > n_words * 3)::BIGINT AS failed
     FROM m

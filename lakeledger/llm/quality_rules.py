@@ -23,7 +23,7 @@ def _rules() -> dict[str, Column]:
         "few_words": c("n_words") < 20,
         "repeated_words": c("n_repeat_words") * 100 > c("n_words") * 30,
         "symbols": c("n_symbols") * 10 > c("n_words") * 3,
-        "duplicate_lines": c("n_dup_lines") * 10 > c("n_lines") * 3,
+        "duplicate_lines": c("n_dup_lines") * 2 > c("n_lines"),
         "short_words": c("word_chars") < c("n_words") * 2,
         "long_words": c("word_chars") > c("n_words") * 20,
         "exclamations": c("n_exclaims") * 10 > c("n_words") * 3,
