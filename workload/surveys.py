@@ -358,8 +358,8 @@ def _write_layers(spark, sf_dir, paths: Paths, nested: bool = False) -> None:
     curated = records(spark, sf_dir).withColumn("folder", F.lower("survey_name"))
     keys = ("folder", "event_date")
     if nested:
-        keys = (*keys, "hour")
-        curated = curated.withColumn("hour", F.hour("ts"))
+        keys = (*keys, "half")
+        curated = curated.withColumn("half", F.floor(F.hour("ts") / 12))
     layer = ["contact_record_id", *keys]
     write_partitions(curated.select(*layer), paths.curated, keys)
     write_partitions(scored(curated).select(*layer), paths.sentiment, keys)
