@@ -13,11 +13,10 @@ from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeledger.contracts import LEDGER, SURVEY_CONFIG
+from lakeledger.contracts import SURVEY_CONFIG
 from lakeledger.functions import normalise_name
 from lakeledger.operators.layers import (
     GROUP,
@@ -38,6 +37,7 @@ from lakeledger.sources.layers import (
     date_folders,
     latest_event_dates,
     read_layer,
+    read_ledger,
     read_quarantine,
     read_raw_surveys,
 )
@@ -235,15 +235,6 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def _ledger(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(LEDGER.schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], LEDGER.schema)
-        raise
-
-
 def _named(df: DataFrame, config: dict) -> DataFrame:
     return df.withColumn("survey_name", F.lit(config["survey_name"]))
 
@@ -280,7 +271,7 @@ def resolve_work(
         wanted = dates_by_survey(day_rows, configs)
     todo = wanted.filter(F.col("event_date").isNotNull())
     if dates is None or options.skip_done_on_override:
-        todo = skip_done(todo, _ledger(spark, paths.ledger))
+        todo = skip_done(todo, read_ledger(spark, paths.ledger))
     every = [(r[0], r[1]) for r in wanted.select("event_date", "survey_name").collect()]
     do = [(r[0], r[1]) for r in todo.select("event_date", "survey_name").collect()]
     done = set(do)

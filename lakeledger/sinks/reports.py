@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lakeledger.contracts import LEDGER, conform
 from lakeledger.operators.layers import GROUP, ID
 from lakeledger.sinks.tables import write_partitions
+from lakeledger.sources.layers import read_ledger
 
 REPORT_KEYS = ("event_date", "survey_name")
 
@@ -64,6 +65,15 @@ def ledger_rows(summary: DataFrame, report_path: str) -> DataFrame:
 
 
 def write_ledger(summary: DataFrame, path: str, report_path: str) -> None:
-    """Upsert by key: the partition of a (date, survey) is replaced. Written last."""
+    """Upsert by (date, survey). Written last.
+
+    A folder holds one date: its other rows are read and written again with
+    the new ones. The old folders are replaced when the job commits, after all
+    has been read. One writer at a time.
+    """
     rows = ledger_rows(summary, report_path)
-    write_partitions(rows, path, ("event_date", "survey_type"), row_per_key=True)
+    old = read_ledger(summary.sparkSession, path)
+    others = old.join(rows.select("event_date").distinct(), "event_date", "left_semi").join(
+        rows.select("event_date", "survey_type"), ["event_date", "survey_type"], "left_anti"
+    )
+    write_partitions(conform(others, LEDGER).unionByName(rows), path, ("event_date",), row_per_key=True)

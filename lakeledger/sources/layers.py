@@ -12,7 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeledger.contracts import LAYER, QUARANTINE, SURVEY_CONFIG, Contract
+from lakeledger.contracts import LAYER, LEDGER, QUARANTINE, SURVEY_CONFIG, Contract
 
 # Field names of the raw survey records.
 RAW_FIELDS = {
@@ -119,6 +119,13 @@ def read_raw_surveys(
     )
 
 
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """Finished work, one row per date and survey; empty before the first run."""
+    return _load_or_empty(
+        spark, lambda: spark.read.schema(LEDGER.schema).parquet(path), LEDGER.schema
+    )
+
+
 def child_folders(spark: SparkSession, folder: str) -> list[str]:
     """Names of the folders one level below, whatever lies in them; none if there is no such folder."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
