@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
-import zipfile
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,17 +38,16 @@ def durable(df: DataFrame) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the workers, once per application, so that they need no installation of it."""
-    context = spark.sparkContext
-    if getattr(context, "_lakeledger_shipped", False):
-        return
-    package = Path(__file__).resolve().parents[1]
-    archive = Path(tempfile.mkdtemp(prefix="lakeledger-ship-")) / "lakeledger-package.zip"
-    with zipfile.ZipFile(archive, "w") as out:
-        for file in sorted(package.rglob("*.py")):
-            out.write(file, file.relative_to(package.parent))
-    context.addPyFile(str(archive))
-    context._lakeledger_shipped = True
+    """Let Python workers look for this package where the driver has found it.
+
+    That serves sessions on one machine and clusters that share the folder;
+    elsewhere the package is installed, or submitted with --py-files.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
