@@ -22,7 +22,7 @@ HASH_BITS = 20
 # features (those that tell the classes apart best, by the standard errors that
 # their log-count ratio is away from zero).
 SAMPLE_ROWS = 20_000
-FEATURES = 16_384
+FEATURES = 4_096
 LEAST_ERRORS = 3.0
 # Code points that are hashed at a time.
 CHUNK = 1 << 20
@@ -81,50 +81,48 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "label") -> Model:
     """Fit on the rows of ``labelled`` (text, label 0 or 1); other labels and null ones are left out.
 
     The number of rows must be bounded by the caller (see ``training_rows``).
-    Workers count and extract; the driver gets counts per hash value and, for
-    the selected features, their places. Without rows of both classes every
+    Spark counts and selects; the driver gets the selected features and where
+    they occur. Without rows of both classes every
     score is the share of toxic rows (0.5 without rows).
     """
     rows = labelled.where(F.col(label).isin(0, 1)).select(F.col(text).alias("t"), F.col(label).cast("int").alias("y"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros((2, 1 << HASH_BITS), np.int64)
-        docs = [0, 0]
         for batch in batches:
             for t, y in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
                 seen[y][_distinct(t.as_py() or "")] += 1
-                docs[y] += 1
         at = np.flatnonzero(seen.any(axis=0))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.append(at, -1)), pa.array(np.append(seen[1][at], docs[1])), pa.array(np.append(seen[0][at], docs[0]))],
+            [pa.array(at), pa.array(seen[1][at]), pa.array(seen[0][at])],
             ["feature", "toxic", "other"],
         )
 
-    counts = (
+    # Texts are not read for this.
+    totals = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
+    n_toxic, n_other = totals.get(1, 0), totals.get(0, 0)
+    if not n_toxic or not n_other:
+        share = min(max(n_toxic / max(1, n_toxic + n_other), 1e-6), 1 - 1e-6) if n_toxic + n_other else 0.5
+        return Model(np.zeros(1 << HASH_BITS, np.float32), float(np.log(share / (1 - share))))
+    p = (F.col("toxic") + 1) / F.lit(n_toxic + 2)
+    q = (F.col("other") + 1) / F.lit(n_other + 2)
+    error = F.sqrt((1 - p) / (F.col("toxic") + 1) + (1 - q) / (F.col("other") + 1))
+    best = (
         rows.mapInArrow(count, "feature long, toxic long, other long")
         .groupBy("feature")
         .agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
         # A feature of one document says nothing that carries over.
-        .where("feature = -1 or toxic + other > 1")
+        .where("toxic + other > 1")
+        .select("feature", F.log(p / q).alias("ratio"), (F.abs(F.log(p / q)) / error).alias("errors"))
+        .where(F.col("errors") >= LEAST_ERRORS)
+        .orderBy(F.desc("errors"), "feature")
+        .limit(FEATURES)
         .toArrow()
     )
-    feature, toxic, other = (counts.column(c).to_numpy() for c in ("feature", "toxic", "other"))
-    total = feature == -1
-    n_toxic, n_other = int(toxic[total].sum()), int(other[total].sum())
-    if not n_toxic or not n_other:
-        share = min(max(n_toxic / max(1, n_toxic + n_other), 1e-6), 1 - 1e-6) if n_toxic + n_other else 0.5
-        return Model(np.zeros(1 << HASH_BITS, np.float32), float(np.log(share / (1 - share))))
-    feature, toxic, other = feature[~total], toxic[~total], other[~total]
-    p, q = (toxic + 1) / (n_toxic + 2), (other + 1) / (n_other + 2)
-    ratio = np.log(p / q)
-    # How many standard errors the ratio is away from zero.
-    sure = np.abs(ratio) / np.sqrt((1 - p) / (toxic + 1) + (1 - q) / (other + 1))
-    order = np.lexsort((feature, -sure))[:FEATURES]
-    order = order[sure[order] >= LEAST_ERRORS]
-    if not len(order):
+    if not best.num_rows:
         return Model(np.zeros(1 << HASH_BITS, np.float32), float(np.log(n_toxic / n_other)))
-    chosen = np.sort(feature[order])
-    scale = ratio[order][np.argsort(feature[order])]
+    chosen, scale = best.column("feature").to_numpy(), best.column("ratio").to_numpy()
+    chosen, scale = chosen[np.argsort(chosen)], scale[np.argsort(chosen)]
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
