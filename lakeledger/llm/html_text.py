@@ -70,6 +70,7 @@ class Node:
     attributes: str = ""
     parts: list = field(default_factory=list)  # nodes and texts
     digest: int = 0
+    has_main: bool = False  # is a main element or has one in it
 
 
 def parse(source: str) -> Node:
@@ -133,13 +134,14 @@ def walk(root: Node) -> Iterator[tuple[Node, bool, bool]]:
 
 
 def hash_subtrees(root: Node) -> None:
-    """A digest per element of its tag, the digests of its children and its text, white space aside."""
+    """A digest per element of its tag, the digests of its children and its text, white space aside; ``has_main``."""
     for node, enters, _ in walk(root):
         if not enters:
             own = xxhash.xxh64(node.tag)
             for part in node.parts:
                 own.update(part.digest.to_bytes(8, "little") if isinstance(part, Node) else " ".join(part.split()))
             node.digest = own.intdigest()
+            node.has_main = node.tag in MAIN or any(isinstance(x, Node) and x.has_main for x in node.parts)
 
 
 def says_no(node: Node, inside: bool) -> bool:
@@ -161,14 +163,21 @@ def says_no(node: Node, inside: bool) -> bool:
 
 
 def candidates(root: Node) -> set[int]:
-    """Digests of the subtrees that may be template: elements with text, outside any main element."""
+    """Digests of the subtrees that may be template.
+
+    They hold no main element, lie in none, and neither they nor what they lie
+    in says itself to be no text: that is gone anyway and need not be counted.
+    """
     hash_subtrees(root)
     found: set[int] = set()
-    has_main = any(n.tag in MAIN for n, enters, _ in walk(root) if enters)
-    for node, enters, inside in walk(root):
-        if enters and not inside and node.tag not in ("#root", "html", "head", "body", *MAIN, *RAW):
-            if not (has_main and any(n.tag in MAIN for n, e, _ in walk(node) if e)):
-                found.add(node.digest)
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        if node.tag in MAIN or says_no(node, False):
+            continue
+        if not node.has_main and node.tag not in ("#root", "html", "body", *VOID):
+            found.add(node.digest)
+        stack += [x for x in node.parts if isinstance(x, Node)]
     return found
 
 
