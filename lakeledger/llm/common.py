@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 # The white space of every word and line rule here (fixed values).
 SPACES = " \t\n\x0b\x0c\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
+# Rows that a Python worker gets at a time.
+BATCH_ROWS = 1000
 
 
 def durable_folder(spark: SparkSession) -> str:
@@ -38,11 +40,16 @@ def durable(df: DataFrame) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Let Python workers look for this package where the driver has found it.
+    """Let Python workers look for this package where the driver has found it, and take texts in small batches.
 
-    That serves sessions on one machine and clusters that share the folder;
-    elsewhere the package is installed, or submitted with --py-files.
+    The path serves sessions on one machine and clusters that share the
+    folder; elsewhere the package is installed, or submitted with --py-files.
+    Texts are long: Spark's 10,000 rows a batch are tens of megabytes, several
+    times over in a worker. A smaller number of the session is kept.
     """
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, BATCH_ROWS)
     root = str(Path(__file__).resolve().parents[2])
     environment = spark.sparkContext.environment
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
