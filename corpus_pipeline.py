@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeledger.llm import bpe, decontaminate, line_dedup, simhash_dedup, toxicity
-from lakeledger.llm.common import durable_folder, ship, table
+from lakeledger.llm.common import barrier, durable_folder, ship, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 TOXIC_FROM = 0.3
@@ -53,8 +53,9 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document. Documents whose ids don't decode to their text would fail the write."""
     ship(spark)
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    rows = docs.select(
-        "doc_id", "lang", "source", "text", bpe.encode(F.col("text"), ranks, public_tokenizers.PATTERN).alias("ids")
+    # Encoded once: without the barrier each use of the ids would encode again.
+    rows = barrier(
+        docs.select("doc_id", "lang", "source", "text"), "ids", bpe.encode(F.col("text"), ranks, public_tokenizers.PATTERN)
     )
     exact = bpe.decode(F.col("ids"), ranks) == F.coalesce(F.col("text"), F.lit("")).cast("binary")
     checked = F.when(exact, F.col("ids")).otherwise(F.raise_error(F.lit("token ids do not decode to the text")))

@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 # through a heap, which is the same rule in n log n steps.
 WIDEST = 128
 # Matches that a worker remembers, and code points that are cut up at a time.
-REMEMBERED = 300_000
-CHUNK = 1_000_000
+REMEMBERED = 100_000
+CHUNK = 200_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _NONE = np.int32(2**31 - 1)
 
@@ -139,26 +139,30 @@ class Vocabulary:
                     heapq.heappush(heap, (r, j))
         return np.array([x for x in ids if x >= 0], np.int32)
 
-    def encode_pieces(self, pieces: list[bytes]) -> list[np.ndarray]:
-        """Ids of every piece; pieces of similar length share a matrix."""
-        found: list = [None] * len(pieces)
-        by_width: dict[int, list[int]] = {}
-        for i, piece in enumerate(pieces):
-            whole = self.rank.get(piece)
-            if whole is not None:
-                found[i] = np.array([whole], np.int32)
-            elif len(piece) > WIDEST:
-                found[i] = self.merge_long(piece)
-            else:
-                by_width.setdefault(4 if len(piece) <= 4 else 1 << (len(piece) - 1).bit_length(), []).append(i)
-        for width, places in by_width.items():
-            step = max(1, (1 << 19) // width)
-            for a in range(0, len(places), step):
-                part = places[a : a + step]
-                ids, counts = self.merge_rows([pieces[i] for i in part], width)
-                for i, row, n in zip(part, ids, counts.tolist(), strict=True):
-                    found[i] = row[:n].copy()
-        return found
+    def encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pieces one after the other, number of ids of each); pieces of similar length share a matrix."""
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        whole = np.fromiter((self.rank.get(p, -1) for p in pieces), np.int32, len(pieces))
+        counts = np.ones(len(pieces), np.int64)
+        parts = [(np.flatnonzero(whole >= 0), whole[whole >= 0])]
+        for i in np.flatnonzero((whole < 0) & (lengths > WIDEST)).tolist():
+            ids = self.merge_long(pieces[i])
+            counts[i] = len(ids)
+            parts.append((np.array([i]), ids))
+        widest = 0
+        for width in (4, 6, 8, 10, 12, 16, 24, 32, 64, WIDEST):
+            places = np.flatnonzero((whole < 0) & (lengths > widest) & (lengths <= width))
+            widest = width
+            step = max(1, (1 << 16) // width)
+            for part in (places[at : at + step] for at in range(0, len(places), step)):
+                ids, counts[part] = self.merge_rows([pieces[i] for i in part.tolist()], width)
+                parts.append((part, ids[ids >= 0]))
+        starts = np.cumsum(counts) - counts
+        flat = np.empty(int(counts.sum()), np.int32)
+        for part, ids in parts:
+            own = counts[part]
+            flat[np.repeat(starts[part] - np.cumsum(own) + own, own) + np.arange(len(ids))] = ids
+        return flat, counts
 
 
 class Encoder:
@@ -181,12 +185,11 @@ class Encoder:
         if len(self.known) + len(fresh) > REMEMBERED:
             self.forget()
             fresh = list(matches)
-        rows = self.vocabulary.encode_pieces([m.encode() for m in fresh])
-        counts = np.fromiter(map(len, rows), np.int64, len(rows))
-        self.known.update(zip(fresh, range(len(self.counts), len(self.counts) + len(rows)), strict=True))
+        ids, counts = self.vocabulary.encode_pieces([m.encode() for m in fresh])
+        self.known.update(zip(fresh, range(len(self.counts), len(self.counts) + len(fresh)), strict=True))
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(counts) - counts])
         self.counts = np.concatenate([self.counts, counts])
-        self.ids = np.concatenate([self.ids, *rows])
+        self.ids = np.concatenate([self.ids, ids])
 
     def encode(self, text: str) -> np.ndarray:
         return self.encode_many([text])[0]

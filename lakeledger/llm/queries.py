@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lakeledger.llm import bpe, decontaminate, html_text, language_id, line_dedup, passage_dedup, quality_rules, shard_shuffle, simhash_dedup, toxicity
 from lakeledger.llm import oracles
-from lakeledger.llm.common import fold, ship, table
+from lakeledger.llm.common import barrier, fold, ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {
@@ -24,7 +24,7 @@ SHARDS = 40
 
 
 def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    """Register a query; its package goes to the workers first."""
+    """Register a query; workers are told where its package is first."""
 
     @functools.wraps(run)
     def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,7 +40,8 @@ def op1_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document and what they decode to, as digests."""
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     docs = table(spark, sf_dir, "documents")
-    encoded = docs.select("doc_id", bpe.encode(F.col("text"), ranks, public_tokenizers.PATTERN).alias("ids"))
+    # Encoded once: without the barrier each use of the ids would encode again.
+    encoded = barrier(docs, "ids", bpe.encode(F.col("text"), ranks, public_tokenizers.PATTERN))
     return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
