@@ -32,7 +32,7 @@ SIMILARITY = 0.8
 # (1 - 0.64) ** 8 = 0.0003.
 BANDS, ROWS = 8, 2
 # Lines that are compared with one another in one task.
-BLOCK_LINES = 4000
+BLOCK_LINES = 1000
 # Document ids that may be broadcast (8 bytes each).
 BROADCAST_ROWS = 300_000
 
@@ -40,7 +40,7 @@ _RNG = np.random.default_rng(7)
 _POWERS = _RNG.integers(1, 2**63, max(WINDOW, WIDTH), dtype=np.uint64) | np.uint64(1)
 _SALTS = _RNG.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64)
 _FACTOR = np.uint64(0xBF58476D1CE4E5B9)
-_STEP = 200_000
+_STEP = 50_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -80,7 +80,7 @@ def windows_of(text: str) -> tuple[np.ndarray, np.ndarray]:
     """(start word, hash) of the anchored windows."""
     hashes = word_hashes(text.encode().lower().split())
     starts = anchored(hashes)
-    return starts, rolling(hashes, WINDOW)[starts]
+    return starts, _mix((hashes[starts[:, None] + np.arange(WINDOW)] * _POWERS[:WINDOW]).sum(axis=1, dtype=np.uint64))
 
 
 def lines_of(text: str) -> Iterator[tuple[int, np.ndarray]]:
@@ -96,7 +96,11 @@ def lines_of(text: str) -> Iterator[tuple[int, np.ndarray]]:
 def bands(hashes: np.ndarray) -> np.ndarray:
     """One number per band of a line's MinHash signature."""
     shingles = rolling(hashes, WIDTH)
-    least = np.array([_mix(shingles ^ salt).min() for salt in _SALTS]).reshape(BANDS, ROWS)
+    least = np.full(len(_SALTS), np.uint64(2**64 - 1))
+    for at in range(0, len(shingles), _STEP):
+        # All hash functions in one matrix: lines are short, and calls cost more than numbers.
+        least = np.minimum(least, _mix(shingles[at : at + _STEP, None] ^ _SALTS).min(axis=0))
+    least = least.reshape(BANDS, ROWS)
     return _mix(least[:, 0] * _POWERS[0] + least[:, 1] * _POWERS[1] + np.arange(BANDS, dtype=np.uint64))
 
 
