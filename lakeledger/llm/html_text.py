@@ -52,6 +52,8 @@ NOT_WORDS = frozenset(
     " comment comments disqus share sharing social newsletter subscribe subscription signup related recommended"
     " widget toolbar pagination pager skip".split()
 )
+# First words of class names that tell of the layout around an element and not of itself, as in no-sidebar.
+MODIFIERS = frozenset("no not without with has have hide hides show shows is".split())
 # What of NOT_WORDS and NOT_TEXT an article may use for its own head.
 IN_ARTICLE = frozenset(("header", "banner", "masthead"))
 
@@ -64,13 +66,19 @@ _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"
 _WORD = re.compile(r"[a-z]+")
 
 
+def _words(value: str) -> set[str]:
+    """Words of a class or id, without the names that begin with a modifier."""
+    names = (_WORD.findall(x) for x in value.split())
+    return {w for name in names if not (len(name) > 1 and name[0] in MODIFIERS) for w in name}
+
+
 @dataclass
 class Node:
     tag: str
     attributes: str = ""
     parts: list = field(default_factory=list)  # nodes and texts
     digest: int = 0
-    has_main: bool = False  # is a main element or has one in it
+    has_main: bool = False  # is a main element that counts or has one in it; nothing deletes it
 
 
 def parse(source: str) -> Node:
@@ -134,19 +142,23 @@ def walk(root: Node) -> Iterator[tuple[Node, bool, bool]]:
 
 
 def hash_subtrees(root: Node) -> None:
-    """A digest per element of its tag, the digests of its children and its text, white space aside; ``has_main``."""
+    """A digest per element of its tag, the digests of its children and its text, white space aside."""
     for node, enters, _ in walk(root):
         if not enters:
             own = xxhash.xxh64(node.tag)
             for part in node.parts:
                 own.update(part.digest.to_bytes(8, "little") if isinstance(part, Node) else " ".join(part.split()))
             node.digest = own.intdigest()
-            node.has_main = node.tag in MAIN or any(isinstance(x, Node) and x.has_main for x in node.parts)
 
 
 def says_no(node: Node, inside: bool) -> bool:
     """Whether an element is not article text by its name, role, class or id."""
-    if node.tag in NOT_TEXT and not (inside and node.tag in IN_ARTICLE):
+    return _surely_no(node, inside) or _maybe_no(node, inside)
+
+
+def _surely_no(node: Node, inside: bool) -> bool:
+    """By name, role or for being hidden: main elements in it are not the page's."""
+    if node.tag in NOT_TEXT and node.tag != "form" and not (inside and node.tag in IN_ARTICLE):
         return True
     if not node.attributes or node.tag in ("html", "body", *MAIN):
         return False
@@ -154,14 +166,63 @@ def says_no(node: Node, inside: bool) -> bool:
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
             return True
-        words = set(_WORD.findall(value))
-        if inside:
-            words -= IN_ARTICLE
-        if words & (NOT_ROLES if name == "role" else NOT_WORDS if name in ("class", "id") else frozenset()):
+        if name == "role" and (set(_WORD.findall(value)) - (IN_ARTICLE if inside else frozenset()) - {"form"}) & NOT_ROLES:
             return True
     return False
 
 
+def _maybe_no(node: Node, inside: bool) -> bool:
+    """By class or id, or as a form: it may as well be laid around the whole page."""
+    if node.tag == "form":
+        return True
+    if not node.attributes or node.tag in ("html", "body", *MAIN):
+        return False
+    for m in _ATTRIBUTE.finditer(node.attributes):
+        name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        words = _words(value) - (IN_ARTICLE if inside else frozenset())
+        if words & (NOT_WORDS if name in ("class", "id") else frozenset(("form",)) if name == "role" else frozenset()):
+            return True
+    return False
+
+
+def find_main(root: Node) -> None:
+    """Set ``has_main``: by main elements that no element around them says no to.
+
+    One in an element that may be no text by its class, or in a form, counts
+    if it alone has more text than all that is left without it.
+    """
+    doubtful: list[list[Node]] = []
+    # (node, whether entered, inside a main element, doubt)
+    stack: list[tuple[Node, bool, bool, bool]] = [(root, True, False, False)]
+    path: list[Node] = []
+    while stack:
+        node, enters, inside, doubt = stack.pop()
+        if not enters:
+            path.pop()
+            continue
+        if _surely_no(node, inside):
+            continue
+        path.append(node)
+        doubt = doubt or _maybe_no(node, inside)
+        if node.tag in MAIN:
+            if not doubt:
+                for x in path:
+                    x.has_main = True
+            else:
+                doubtful.append(list(path))
+                stack.append((node, False, inside, doubt))
+                continue
+        own = inside or node.tag in MAIN
+        stack.append((node, False, inside, doubt))
+        stack += [(x, True, own, doubt) for x in reversed(node.parts) if isinstance(x, Node)]
+    if doubtful:
+        sizes = [len(_text(x[-1], set(), True, False)) for x in doubtful]
+        best = max(range(len(sizes)), key=sizes.__getitem__)
+        if sizes[best] > len(_text(root, set(), False, root.has_main)):
+            for x in doubtful[best]:
+                x.has_main = True
+
+
 def candidates(root: Node) -> set[int]:
     """Digests of the subtrees that may be template.
 
@@ -169,11 +230,12 @@ def candidates(root: Node) -> set[int]:
     in says itself to be no text: that is gone anyway and need not be counted.
     """
     hash_subtrees(root)
+    find_main(root)
     found: set[int] = set()
     stack = [root]
     while stack:
         node = stack.pop()
-        if node.tag in MAIN or says_no(node, False):
+        if node.tag in MAIN or says_no(node, False) and not node.has_main:
             continue
         if not node.has_main and node.tag not in ("#root", "html", "body", *VOID):
             found.add(node.digest)
@@ -189,10 +251,14 @@ def extract(root: Node, template: set[int]) -> str:
     """
     if template:
         hash_subtrees(root)
-    has_main = any(n.tag in MAIN for n, enters, _ in walk(root) if enters)
+    find_main(root)
+    return _text(root, template, False, root.has_main)
+
+
+def _text(root: Node, template: set[int], within: bool, has_main: bool) -> str:
     blocks: list[list[str]] = [[]]
     # (node or text or block end, inside a main element)
-    stack: list = [(root, False)]
+    stack: list = [(root, within)]
     while stack:
         part, inside = stack.pop()
         if part is None:
@@ -202,10 +268,10 @@ def extract(root: Node, template: set[int]) -> str:
                 blocks[-1].append(part)
         elif part.tag == "br":
             blocks[-1].append(" ")
-        elif says_no(part, inside) or not inside and part.digest in template and part.tag not in MAIN:
+        elif not part.has_main and (says_no(part, inside) or not inside and part.digest in template and part.tag not in MAIN):
             continue
         else:
-            own = inside or part.tag in MAIN
+            own = inside or part.tag in MAIN and (part.has_main or not has_main)
             if part.tag in BLOCKS:
                 blocks.append([])
                 stack.append((None, own))

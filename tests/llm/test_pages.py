@@ -44,6 +44,26 @@ def test_markup(page, want):
     assert text_of(page) == want
 
 
+LONG = "Long words of the main text. " * 5
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div class='content no-sidebar'><nav>n</nav><article>{}</article>o</div>",
+        "<div class='post with-comments'><article>{}</article></div>",
+        "<div class='wrap sidebar-left'><article>{}</article></div>",
+        "<body><form><a>Skip</a><main>{}</main></form></body>",
+        "<main><div class='columns widget'><article>{}</article></div></main>",
+        "<div>{}</div><aside><article>teaser</article></aside>",
+        "<div>{}</div><div class='comments'><article>first</article><article>second</article></div>",
+        "<main>{}</main><div class='comments'><article>first</article></div>",
+    ],
+)
+def test_main_text_stays_whole(page):
+    assert text_of(page.format(LONG)) == LONG.strip()
+
+
 def test_template_by_recurrence(spark):
     def page(k, body):
         return f"<html><body><div><p>Welcome to our site</p></div>{body}<table><tr><td>Call us</td></tr></table></body></html>"
