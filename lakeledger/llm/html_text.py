@@ -1,10 +1,11 @@
 """Main text of web pages, with the site's template removed.
 
 The subtree of every element is hashed by its tags and text. Hashes are counted
-per host in Spark; subtrees that recur on many pages of their host are the
-site's template and are deleted, and so is what elements say themselves not to
-be text of the article. What a page marks as its article is never taken for
-template, as copies of an article recur as well.
+per host in Spark; subtrees that recur on several pages of their host are the
+site's template and are deleted. In what a page marks as its article, small
+blocks are template where they recur in different articles; copies of an
+article recur as well, but with the same article around. What elements say
+themselves not to be text of the article goes too.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeledger.llm.common import durable
+from lakeledger.llm.passage_dedup import rolling, word_hashes
 
 # Elements without content, and elements whose content is no markup (fixed values of HTML).
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -57,6 +59,13 @@ MODIFIERS = frozenset("no not without with has have hide hides show shows is".sp
 # What of NOT_WORDS and NOT_TEXT an article may use for its own head.
 IN_ARTICLE = frozenset(("header", "banner", "masthead"))
 
+# Blocks in a main element that may be template: of so many words at most, and no title, cell, item or code.
+SMALL = 30
+COUNTED_INSIDE = BLOCKS - frozenset("h1 h2 h3 h4 h5 h6 hr caption figcaption dd dt li pre tbody td tfoot th thead tr".split())
+# Mark of digests in main elements: their lowest bit, which other digests don't have.
+INSIDE = 1
+WIDTH = 5
+
 _TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|\Z)",
@@ -148,7 +157,7 @@ def hash_subtrees(root: Node) -> None:
             own = xxhash.xxh64(node.tag)
             for part in node.parts:
                 own.update(part.digest.to_bytes(8, "little") if isinstance(part, Node) else " ".join(part.split()))
-            node.digest = own.intdigest()
+            node.digest = own.intdigest() & ~INSIDE
 
 
 def says_no(node: Node, inside: bool) -> bool:
@@ -223,24 +232,45 @@ def find_main(root: Node) -> None:
                 x.has_main = True
 
 
-def candidates(root: Node) -> set[int]:
-    """Digests of the subtrees that may be template.
+def candidates(root: Node) -> tuple[set[int], int, int]:
+    """Digests of the subtrees that may be template, and two digests of the main elements' text: exact, and a MinHash.
 
-    They hold no main element, lie in none, and neither they nor what they lie
-    in says itself to be no text: that is gone anyway and need not be counted.
+    Outside main elements that is every subtree with text. In them it is small
+    blocks, their digests marked by ``INSIDE``. What holds a main element is
+    none of them.
     """
     hash_subtrees(root)
     find_main(root)
     found: set[int] = set()
-    stack = [root]
+    texts: list[str] = []
+    mains: list[Node] = []
+    # Number of words of each subtree, up to one more than SMALL.
+    sizes: dict[int, int] = {}
+    for node, enters, inside in walk(root):
+        if not enters:
+            own = sum(sizes[id(x)] if isinstance(x, Node) else len(x.split(None, SMALL + 1)) for x in node.parts)
+            sizes[id(node)] = 0 if node.tag in RAW else min(SMALL + 1, own)
+    stack = [(root, False)]
     while stack:
-        node = stack.pop()
-        if node.tag in MAIN or says_no(node, False) and not node.has_main:
+        node, inside = stack.pop()
+        size = sizes[id(node)]
+        if not size:
             continue
-        if not node.has_main and node.tag not in ("#root", "html", "body", *VOID):
-            found.add(node.digest)
-        stack += [x for x in node.parts if isinstance(x, Node)]
-    return found
+        if node.tag in MAIN and node.has_main and not inside:
+            mains.append(node)
+            inside = True
+        elif not node.has_main and node.tag not in ("#root", "html", "body"):
+            if not inside:
+                found.add(node.digest)
+            elif size <= SMALL and node.tag in COUNTED_INSIDE:
+                found.add(node.digest ^ INSIDE)
+        stack += [(x, inside) for x in node.parts if isinstance(x, Node)]
+    exact = 0
+    for node in mains:
+        exact = xxhash.xxh64_intdigest(exact.to_bytes(8, "little") + node.digest.to_bytes(8, "little"))
+        texts.append(_text(node, set(), True, False))
+    shingles = rolling(word_hashes(" ".join(texts).lower().encode().split()), WIDTH)
+    return found, exact, int(shingles.min()) if len(shingles) else exact
 
 
 def extract(root: Node, template: set[int]) -> str:
@@ -268,7 +298,7 @@ def _text(root: Node, template: set[int], within: bool, has_main: bool) -> str:
                 blocks[-1].append(part)
         elif part.tag == "br":
             blocks[-1].append(" ")
-        elif not part.has_main and (says_no(part, inside) or not inside and part.digest in template and part.tag not in MAIN):
+        elif not part.has_main and (says_no(part, inside) or part.digest ^ (INSIDE if inside else 0) in template):
             continue
         else:
             own = inside or part.tag in MAIN and (part.has_main or not has_main)
@@ -280,13 +310,19 @@ def _text(root: Node, template: set[int], within: bool, has_main: bool) -> str:
     return "\n".join(t for t in texts if t)
 
 
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
 def subtree_hashes(source: Column) -> Column:
-    """Digests of a page's possible template subtrees, as array<long>."""
+    """What ``candidates`` finds of a page."""
 
-    @F.arrow_udf("array<long>")
+    @F.arrow_udf("digests array<long>, exact long, around long")
     def of_pages(pages: pa.Array) -> pa.Array:
-        found = [[h - (1 << 64) if h >> 63 else h for h in candidates(parse(p.as_py() or ""))] for p in pages]
-        return pa.array(found, pa.list_(pa.int64()))
+        found = [candidates(parse(p.as_py() or "")) for p in pages]
+        digests = pa.array([[_signed(h) for h in x[0]] for x in found], pa.list_(pa.int64()))
+        others = [pa.array([_signed(x[i]) for x in found], pa.int64()) for i in (1, 2)]
+        return pa.StructArray.from_arrays([digests, *others], ["digests", "exact", "around"])
 
     return of_pages(source)
 
@@ -311,31 +347,43 @@ def host_of(url: str) -> Column:
 
 
 def extract_pages(
-    pages: DataFrame, source: str = "html", url: str = "url", page_id: str = "page_id", least_pages: int = 5, share: float = 0.2
+    pages: DataFrame, source: str = "html", url: str = "url", page_id: str = "page_id", least_pages: int = 5
 ) -> DataFrame:
     """``pages`` with the column main_text added (one of that name is replaced).
 
-    A subtree is template where at least ``least_pages`` pages and the
-    ``share`` of its host's pages hold it. Null and empty pages have empty
-    text. Pages of one id are one page for the counts and each get their text;
-    null ids and urls are values like others (a null url has the host ''). An
-    empty table gives an empty result.
+    A subtree is template where at least ``least_pages`` pages of its host
+    hold it. In main elements it must stand in as many different ones, and
+    these must be half at least of those it stands in, near copies being one.
+    Null and empty pages have empty text. Pages of one id are one page for the
+    counts and each get their text; null ids and urls are values like others
+    (a null url has the host ''). An empty table gives an empty result.
     """
     hosts = pages.select(F.col(page_id).alias("id"), host_of(url).alias("host"), F.col(source).alias("page"))
-    # Once per page: a host of very many pages is spread by the page, and counts are summed before the shuffle.
-    seen = durable(hosts.select("host", "id", F.explode(subtree_hashes(F.col("page"))).alias("digest")).distinct())
-    sizes = hosts.select("host", "id").distinct().groupBy(F.col("host").alias("size_host")).agg(F.count("*").alias("n_pages"))
-    counts = seen.groupBy("host", "digest").agg(F.count("*").alias("n")).where(F.col("n") >= least_pages)
+    told = durable(hosts.select("host", "id", subtree_hashes(F.col("page")).alias("told")))
+    seen = told.select("host", "id", "told.exact", "told.around", F.explode("told.digests").alias("digest"))
+    # Counts are summed before the shuffle. Only what recurs is then looked at page by page.
+    often = durable(
+        seen.groupBy(F.col("host").alias("t_host"), F.col("digest").alias("t_digest"))
+        .agg(F.count("*").alias("n")).where(F.col("n") >= least_pages).select("t_host", "t_digest")
+    )
+    same = (F.col("host") == F.col("t_host")) & (F.col("digest") == F.col("t_digest"))
+    kept = durable(seen.join(often, same, "left_semi"))
+    by_id = kept.select("host", "digest", "id").distinct().groupBy("host", "digest").agg(F.count("*").alias("n_pages"))
+    # Different main elements around a subtree, and their number without near copies.
+    by_exact = kept.groupBy("host", "digest", "exact").agg(F.min("around").alias("around"))
+    by_around = by_exact.groupBy("host", "digest", "around").agg(F.count("*").alias("n"))
+    arounds = by_around.groupBy(F.col("host").alias("a_host"), F.col("digest").alias("a_digest")).agg(
+        F.count("*").alias("n_around"), F.sum("n").alias("n_exact")
+    )
+    # The lowest bit of a digest tells whether it stands in a main element.
+    inside = F.col("digest").bitwiseAND(F.lit(1)) == 1
     template = durable(
-        counts.join(sizes, F.col("host") == F.col("size_host"))
-        .where(F.col("n") >= F.col("n_pages") * share)
+        by_id.join(arounds, (F.col("host") == F.col("a_host")) & (F.col("digest") == F.col("a_digest")))
+        .where(F.col("n_pages") >= least_pages)
+        .where(~inside | (F.col("n_around") >= least_pages) & (F.col("n_around") * 2 >= F.col("n_exact")))
         .select(F.col("host").alias("t_host"), F.col("digest").alias("t_digest"))
     )
-    held = (
-        seen.join(template, (F.col("host") == F.col("t_host")) & (F.col("digest") == F.col("t_digest")))
-        .groupBy(F.col("id").alias("held_id"))
-        .agg(F.collect_set("digest").alias("held_digests"))
-    )
+    held = kept.join(template, same, "left_semi").groupBy(F.col("id").alias("held_id")).agg(F.collect_set("digest").alias("held_digests"))
     names = [c for c in pages.columns if c != "main_text"]
     joined = pages.join(held, pages[page_id].eqNullSafe(F.col("held_id")), "left")
     return joined.select(*(pages[c] for c in names), main_text(pages[source], F.col("held_digests")).alias("main_text"))

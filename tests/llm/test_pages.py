@@ -81,3 +81,19 @@ def test_template_by_recurrence(spark):
     want += [(40, "Welcome to our site\nalone\nCall us"), (41, ""), (42, ""), (0, "Text of page 0"), (None, "nine")]
     assert sorted(texts, key=str) == sorted(want, key=str)
     assert html_text.extract_pages(df.where("false")).count() == 0
+
+
+def test_template_inside_articles(spark):
+    def page(k, body, note="<p>Share this with a friend</p>"):
+        return f"<html><body><p>Top</p><article><h1>Title</h1><p>{body}</p>{note}</article></body></html>"
+
+    words = lambda k: " ".join(f"w{k}x{i}" for i in range(40))
+    rows = [(k, f"http://a.example/{k}", page(k, words(k))) for k in range(6)]
+    # One article six times, each time with another word changed, and what recurs on few pages of a large host.
+    copies = [words(90).replace(f"w90x{3 + k} ", f"changed{k} ") for k in range(6)]
+    rows += [(10 + k, f"http://b.example/{k}", page(k, copies[k], "<p>Short last words</p>")) for k in range(6)]
+    rows += [(100 + k, f"http://c.example/{k}", f"<div>{words(k)}</div>" + "<div>five of sixty</div>" * (k < 5)) for k in range(60)]
+    found = html_text.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    want = {k: f"Title\n{words(k)}" for k in range(6)} | {100 + k: words(k) for k in range(60)}
+    want |= {10 + k: f"Title\n{copies[k]}\nShort last words" for k in range(6)}
+    assert {r["page_id"]: r["main_text"] for r in found.collect()} == want
