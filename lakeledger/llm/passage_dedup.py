@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeledger.llm.common import durable
@@ -222,6 +222,37 @@ def line_links(docs: DataFrame, lines: DataFrame) -> DataFrame:
     return blocks.groupBy("band", "low", "high").applyInArrow(_linked, "a long, b long")
 
 
+def resolve(doc: int, spans: list[tuple[int, int, int, bool]]) -> list[tuple[int, int, int]]:
+    """Disjoint (start, end, first document) of a document's (start, end, first document, whether a window).
+
+    Neighbouring words of one class are one span. Where classes overlap,
+    windows that the document keeps stay whole, then windows that another
+    document keeps go, then lines count; of equal rank the least class wins.
+    """
+    ranked = sorted(spans, key=lambda x: (x[3], x[3] and x[2] == doc, -x[2]))
+    classes = np.unique([x[2] for x in spans])
+    low = min(x[0] for x in spans)
+    own = np.full(max(x[1] for x in spans) - low, -1, np.int64)
+    for (start, end, *_), k in zip(ranked, np.searchsorted(classes, [x[2] for x in ranked]).tolist(), strict=True):
+        own[start - low : end - low] = k
+    edges = np.concatenate([[0], np.flatnonzero(own[1:] != own[:-1]) + 1, [len(own)]]).tolist()
+    return [(a + low, b + low, int(classes[own[a]])) for a, b in zip(edges, edges[1:], strict=False) if own[a] >= 0]
+
+
+def _resolved(doc: Column, spans: Column) -> Column:
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("first_doc", pa.int64())]))
+
+    @F.arrow_udf("array<struct<start:int,end:int,first_doc:bigint>>")
+    def of_documents(docs: pa.Array, lists: pa.Array) -> pa.Array:
+        found = []
+        for own, rows in zip(docs.to_pylist(), lists, strict=True):
+            parts = resolve(own, [(x["start"], x["end"], x["first_doc"], x["is_window"]) for x in rows.as_py()])
+            found.append([{"start": a, "end": b, "first_doc": c} for a, b, c in parts])
+        return pa.array(found, kind)
+
+    return of_documents(doc, spans)
+
+
 def repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per repeated passage of a document.
 
@@ -231,20 +262,15 @@ def repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
     of MIN_WORDS equal words that two documents share is found, by its
     anchored windows (at least WINDOW words of it are in the span), and so is
     every line of MIN_WORDS words that is SIMILARITY alike to one of another
-    document. Equal or overlapping finds of a document are one span. Ids must
-    be integers; rows without one are left out, rows of one id are one
+    document. Finds of one class that touch or overlap are one span; spans of
+    a document never overlap. Lines are settled first; a window belongs to the
+    least document that holds it outside removed lines and stays whole there.
+    Up to WINDOW - 1 words at the end of a passage may stand twice where
+    classes overlap, none is removed everywhere. Ids must be integers; rows without one are left out, rows of one id are one
     document. Null, empty and short texts have no passage. Other columns are
     not read. An empty table gives an empty result.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text")).where("doc is not null")
-    windows = rows.mapInArrow(_windows, "key long, doc long, start int")
-    several = durable(
-        windows.groupBy("key").agg(F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc"))
-        .where("first_doc <> last_doc").select(F.col("key").alias("several_key"), "first_doc")
-    )
-    equal = windows.join(several, F.col("key") == F.col("several_key")).select(
-        "doc", "start", F.lit(WINDOW).alias("n"), "first_doc"
-    )
     lines = durable(rows.mapInArrow(_lines, "key long, doc long, start int, n int, bands array<long>"))
     roots = components(line_links(rows, lines))
     holders = lines.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
@@ -254,29 +280,33 @@ def repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
     groups = rooted.groupBy("root").agg(F.min("low").alias("first_doc"), F.max("high").alias("last_doc")).where(
         "first_doc <> last_doc"
     )
-    alike = durable(rooted.join(groups, "root").select(F.col("key").alias("alike_key"), "first_doc"))
-    near = lines.join(alike, F.col("key") == F.col("alike_key")).select("doc", "start", "n", "first_doc")
-    spans = equal.union(near).groupBy("doc").agg(
-        F.sort_array(F.collect_set(F.struct("start", (F.col("start") + F.col("n")).alias("end"), "first_doc"))).alias("spans")
+    alike = rooted.join(groups, "root").select(F.col("key").alias("alike_key"), "first_doc")
+    near = durable(
+        lines.join(alike, F.col("key") == F.col("alike_key"))
+        .select("doc", "start", (F.col("start") + F.col("n")).alias("end"), "first_doc", F.lit(False).alias("is_window"))
+    )
+    windows = rows.mapInArrow(_windows, "key long, doc long, start int")
+    several = durable(
+        windows.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
+        .where("low <> high").select(F.col("key").alias("several_key"))
+    )
+    # A window in a removed line goes with it, so that line's document is not the one that keeps the window.
+    gone = near.where("first_doc <> doc").groupBy(F.col("doc").alias("gone_doc")).agg(
+        F.collect_list(F.struct("start", "end")).alias("gone")
+    )
+    within = F.exists("gone", lambda x: (x["start"] <= F.col("start")) & (F.col("start") + WINDOW <= x["end"]))
+    repeated = durable(
+        windows.join(several, F.col("key") == F.col("several_key"), "left_semi")
+        .join(gone, F.col("doc") == F.col("gone_doc"), "left")
+        .where(~F.coalesce(within, F.lit(False)))
+        .select("key", "doc", "start")
     )
-    merged = F.aggregate(
-        "spans",
-        F.array().cast("array<struct<start:int,end:int,first_doc:bigint>>"),
-        lambda done, x: F.when(
-            (F.size(done) > 0) & (F.get(done, F.size(done) - 1)["end"] >= x["start"]),
-            F.concat(
-                F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))),
-                F.array(
-                    F.struct(
-                        F.get(done, F.size(done) - 1)["start"].alias("start"),
-                        F.greatest(F.get(done, F.size(done) - 1)["end"], x["end"]).alias("end"),
-                        F.least(F.get(done, F.size(done) - 1)["first_doc"], x["first_doc"]).alias("first_doc"),
-                    )
-                ),
-            ),
-        ).otherwise(F.concat(done, F.array(F.struct(x["start"].alias("start"), x["end"].alias("end"), x["first_doc"].alias("first_doc"))))),
+    firsts = repeated.groupBy(F.col("key").alias("first_key")).agg(F.min("doc").alias("first_doc"))
+    equal = repeated.join(firsts, F.col("key") == F.col("first_key")).select(
+        "doc", "start", (F.col("start") + WINDOW).alias("end"), "first_doc", F.lit(True).alias("is_window")
     )
-    return spans.select("doc", F.inline(merged)).select(
+    spans = equal.union(near).groupBy("doc").agg(F.collect_set(F.struct("start", "end", "first_doc", "is_window")).alias("spans"))
+    return spans.select("doc", F.inline(_resolved(F.col("doc"), F.col("spans")))).select(
         F.col("doc").alias(doc_id), "start", (F.col("end") - F.col("start")).alias("n_words"),
         F.col("first_doc").alias("class_id"), (F.col("first_doc") != F.col("doc")).alias("removed"),
     )

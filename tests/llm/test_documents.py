@@ -296,6 +296,35 @@ def test_passages_odd(spark):
     assert passage_dedup.repeated_passages(h.odd_frame(spark, [])).count() == 0
 
 
+def test_touching_passages_keep_one_copy(spark):
+    rng = random.Random(8)
+    fill = lambda n: [f"c{rng.randrange(10**6)}" for _ in range(n)]
+    p, q, source, near = fill(60), fill(70), fill(400), fill(100)
+    edited = near[:50] + ["new"] + near[51:]
+    docs = [
+        (1, " ".join(p)), (2, " ".join(p) + "\n" + " ".join(q)), (3, " ".join(q)),
+        # Excerpts that overlap, inside longer lines.
+        *((10 + k, " ".join(fill(5) + source[60 * k : 60 * k + 150] + fill(5))) for k in range(5)),
+        # A passage that only the removed copy of a line and another document hold.
+        (20, " ".join(near)), (21, " ".join(edited)), (22, " ".join(fill(30) + edited[30:85] + fill(90))),
+    ]
+    rows = passage_dedup.repeated_passages(h.odd_frame(spark, docs)).collect()
+    gone, seen = {i: set() for i, _ in docs}, Counter()
+    for r in rows:
+        places = range(r["start"], r["start"] + r["n_words"])
+        seen.update((r["doc_id"], k) for k in places)
+        if r["removed"]:
+            gone[r["doc_id"]].update(places)
+    assert max(seen.values()) == 1
+    left = Counter(w for i, t in docs for k, w in enumerate(words_of(t)) if k not in gone[i])
+    assert all(left[w] == 1 for w in p + q) and all(left[w] for w in source[:390] + near)
+    assert {(r["doc_id"], r["class_id"], r["removed"]) for r in rows if r["doc_id"] < 10} == {
+        (1, 1, False), (2, 1, True), (2, 2, False), (3, 2, True)
+    }
+    # Windows and lines overlap, and so do windows of two classes.
+    assert passage_dedup.resolve(5, [(0, 25, 3, True), (20, 45, 5, True), (0, 60, 5, False)]) == [(0, 20, 3), (20, 60, 5)]
+
+
 def test_similar_lines_in_parts(spark, monkeypatch):
     monkeypatch.setattr(passage_dedup, "BLOCK_LINES", 7)
     rng = random.Random(6)
