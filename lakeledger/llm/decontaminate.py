@@ -1,8 +1,10 @@
 """Documents that hold passages of a benchmark: SimHash windows of the items' sizes.
 
 Column expressions, SQL operators and joins only. A window as long as an item
-is laid wherever a document shares a word shingle with that item, aligned with
-the shared shingle; no other window can have any shingle of the item. Windows
+is laid wherever a document shares a word shingle with that item: aligned with
+the shared shingle, and beginning at it. A window that begins with a shingle of
+no item only gains by a move to the next shared one, so none is more similar
+than all of these, whatever the order of the passage. Windows
 and items get a SimHash; blocks of it, one more than the differing bits
 allowed, find every item fingerprint within the radius; the similarity of the
 weighted shingles decides.
@@ -99,8 +101,12 @@ def _places(width: int) -> Column:
     )
 
 
-def windows_of(docs: DataFrame, items: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """(doc_id, start, n, width, key, content): aligned windows; key is the md5 of the content."""
+def windows_of(docs: DataFrame, items: DataFrame, text: str, doc_id: str, similarity: float) -> DataFrame:
+    """(doc_id, start, n, width, key, content): windows at shared shingles; key is the md5 of the content.
+
+    Of those that begin at a shared shingle, the ones go that have too few
+    shingles of items to reach the similarity.
+    """
     widths = sorted(r[0] for r in items.select("width").distinct().collect())  # 1 to 5
     hashed = barrier(items, "hashes", F.transform("words", lambda w: F.xxhash64(w)))
     anchors = durable(
@@ -121,7 +127,7 @@ def windows_of(docs: DataFrame, items: DataFrame, text: str, doc_id: str) -> Dat
             hashes.select("doc_id", F.size("hashes").alias("n_words"), F.posexplode_outer(_places(width)).alias("pos", "hash"))
             .join(_bounded(anchors.where(F.col("width") == width), n_anchors), "hash")
             .select(
-                "doc_id", "n", "width",
+                "doc_id", "n", "width", "n_words", "pos",
                 F.greatest(F.lit(0), F.least(F.col("pos") - F.col("at"), F.col("n_words") - F.col("n"))).alias("start"),
             )
         )
@@ -130,8 +136,22 @@ def windows_of(docs: DataFrame, items: DataFrame, text: str, doc_id: str) -> Dat
         return docs.sparkSession.createDataFrame(
             [], "doc_id long, start int, n int, width int, key string, content string"
         )
+    spots = durable(spots.distinct())
+    # A window of m shingles is similar to one of as many only if it shares so many of them.
+    need = F.ceil((F.col("n") - F.col("width") + 1) * (2 * similarity / (1 + similarity)) - 1e-9).cast("int")
+    last = F.col("n_words") - F.col("n")
+    begins = F.transform(
+        "places",
+        lambda x, i: F.when(
+            (x > last) | (F.get("places", i + F.greatest(need, F.lit(1)) - 1) <= x + F.col("n") - F.col("width")),
+            F.greatest(F.lit(0), F.least(x, last)),
+        ),
+    )
+    begun = spots.groupBy("doc_id", "n", "width", "n_words").agg(F.sort_array(F.collect_set("pos")).alias("places"))
+    begun = begun.select("doc_id", F.explode(F.array_distinct(begins)).alias("start"), "n", "width").where("start is not null")
     spots = durable(
-        spots.distinct().groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "width")).alias("spots"))
+        spots.select("doc_id", "start", "n", "width").union(begun).distinct()
+        .groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "width")).alias("spots"))
     )
     ids = _bounded(spots.select(F.col("doc_id").alias("spot_doc")), spots.count())
     hit = words.join(ids, F.col("doc_id").eqNullSafe(F.col("spot_doc")), "left_semi")
@@ -167,7 +187,7 @@ def leaks(
     documents or no items give no rows.
     """
     items = items_of(benchmark, item_text, item_id)
-    windows = windows_of(docs, items, text, doc_id)
+    windows = windows_of(docs, items, text, doc_id, similarity)
     # A passage that many documents hold is one content.
     contents = windows.select("n", "width", "key", "content").distinct()
     contents = contents.withColumn("words", F.split("content", " ", -1))

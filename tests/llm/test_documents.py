@@ -249,6 +249,17 @@ def test_decontamination_odd(spark):
     assert sorted(r[0] for r in decontaminate.without_leaks(h.odd_frame(spark, docs), bench).select("doc_id").collect()) == [3, 6, 8, 9, 11]
 
 
+def test_decontamination_in_other_order(spark):
+    rng = random.Random(9)
+    fill = lambda n: [f"fill{rng.randrange(10**6)}" for _ in range(n)]
+    item = [f"word{k}" for k in range(60)]
+    turned = item[20:] + item[:20]
+    docs = [(1, " ".join(fill(30) + turned + fill(30))), (2, " ".join(fill(30) + turned)), (3, " ".join(turned + fill(30))), (4, " ".join(fill(90)))]
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    found = {r["doc_id"]: (r["start"], r["similarity"]) for r in decontaminate.leaks(h.odd_frame(spark, docs), bench).collect()}
+    assert found == {1: (30, pytest.approx(52 / 60)), 2: (30, pytest.approx(52 / 60)), 3: (0, pytest.approx(52 / 60))}
+
+
 # --- passages
 
 
