@@ -54,3 +54,67 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     failed & 3 <> 0 AS base_failed, failed & 15 = 0 AS kept, failed
 FROM f
 """
+
+_LEAF = " || ".join(
+    f"coalesce(strlen({c}::VARCHAR) || ':' || {c}, '-')" for c in ("doc_id", "source", "lang", "n_chars")
+)
+
+
+def _crc32(column: str) -> str:
+    """CRC-32 of a number as decimal text, bit by bit: each character, then eight shifts (marked 256)."""
+    steps = f"flatten(list_transform(regexp_extract_all({column}::VARCHAR, '.'), lambda ch: [ord(ch)::BIGINT] || [256, 256, 256, 256, 256, 256, 256, 256]))"
+    step = "CASE WHEN e < 256 THEN xor(c, e) ELSE xor(c >> 1, 3988292384 * (c & 1)) END"
+    return f"xor(list_reduce([4294967295] || {steps}, lambda c, e: {step}), 4294967295)"
+
+
+def _levels(name: str, leaves: str) -> str:
+    """Nodes (l, g, p, h) of trees: every three neighbours of a level make one of the next, until one remains."""
+    return f"""{name}(l, g, p, h) AS (
+    SELECT 0, g, p, h FROM {leaves}
+    UNION ALL
+    SELECT l + 1, g, p // 3, sha256(string_agg(h, '' ORDER BY p))
+    FROM (SELECT *, count(*) OVER (PARTITION BY g) AS n FROM {name}) WHERE n > 1 GROUP BY l, g, p // 3
+)"""
+
+
+def _folds(name: str, starts: str, nodes: str) -> str:
+    """Paths (row, l, g, p, h, proof): the leaf's digest carried up, the siblings put one after the other."""
+    return f"""{name}(row, l, g, p, h, proof) AS (
+    SELECT row, 0, g, p, h, proof FROM {starts}
+    UNION ALL
+    SELECT a.row, a.l + 1, a.g, a.p // 3,
+        sha256(string_agg(CASE WHEN b.p = a.p THEN a.h ELSE b.h END, '' ORDER BY b.p)),
+        a.proof || coalesce(string_agg(b.h, '' ORDER BY b.p) FILTER (b.p <> a.p), '')
+    FROM {name} a JOIN {nodes} b ON b.g = a.g AND b.l = a.l AND b.p // 3 = a.p // 3
+    WHERE EXISTS (FROM {nodes} c WHERE c.g = a.g AND c.l = a.l + 1)
+    GROUP BY a.row, a.l, a.g, a.p, a.proof
+)"""
+
+
+def _ends(folds: str) -> str:
+    return f"(SELECT * FROM {folds} QUALIFY l = max(l) OVER (PARTITION BY row))"
+
+
+MERKLE_MANIFEST = f"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS g,
+        sha256({_LEAF} || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+        sha256({_LEAF} || coalesce(strlen(replace(text, chr(10), '')) || ':' || replace(text, chr(10), ''), '-')) AS changed
+    FROM documents
+), r AS (
+    SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p,
+        row_number() OVER (ORDER BY g, doc_id NULLS FIRST, leaf) AS row FROM d
+), own AS (
+    SELECT row, g, p, leaf AS h, '' AS proof FROM r
+), {_levels("low", "own")}, subroots AS (
+    SELECT 0 AS g, g AS p, h FROM low QUALIFY l = max(l) OVER (PARTITION BY g)
+), {_levels("high", "subroots")}, x AS (
+    SELECT row, g, p, CASE WHEN {_crc32('doc_id')} % 2 = 0 THEN changed ELSE leaf END AS h, '' AS proof FROM r
+), {_folds("low_path", "x", "low")}, y AS (
+    SELECT row, 0 AS g, g AS p, h, proof FROM {_ends("low_path")}
+), {_folds("high_path", "y", "high")}, z AS (
+    SELECT h AS root FROM high QUALIFY l = max(l) OVER ()
+)
+SELECT r.doc_id, r.leaf, s.h AS subroot, z.root, sha256(e.proof) AS proof_sha256, e.h AS folded_root, e.h = z.root AS verified
+FROM r JOIN subroots s ON s.p = r.g JOIN {_ends("high_path")} e ON e.row = r.row, z
+"""

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeledger.llm import bpe, decontaminate, html_text, language_id, line_dedup, passage_dedup, quality_rules, shard_shuffle, simhash_dedup, toxicity
+from lakeledger.llm import bpe, decontaminate, html_text, language_id, line_dedup, merkle_manifest, passage_dedup, quality_rules, shard_shuffle, simhash_dedup, toxicity
 from lakeledger.llm import oracles
 from lakeledger.llm.common import barrier, fold, ship, table
 
@@ -17,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {
     "op3_line_dedup": oracles.LINE_DEDUP,
     "op5_quality_rules": oracles.QUALITY_RULES,
+    "op11_merkle_manifest": oracles.MERKLE_MANIFEST,
 }
 
 TOXIC_FROM = 0.3
@@ -142,3 +143,30 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document."""
     found = simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a leaf of the manifest, its proof, and whether it holds after tampering."""
+    docs = table(spark, sf_dir, "documents")
+    digest = merkle_manifest.row_digest([F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")])
+    tampered = merkle_manifest.row_digest(
+        [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")] + [F.replace("text", F.lit("\n"), F.lit(""))]
+    )
+    leaves = docs.select(
+        F.col("source").alias("group"),
+        F.col("doc_id").alias("key"),
+        digest.alias("digest"),
+        F.when(fold("doc_id", 2) == 0, tampered).alias("changed"),
+    )
+    found = merkle_manifest.manifest(leaves)
+    text = lambda name: F.lower(F.hex(name))
+    return found.select(
+        F.col("key").alias("doc_id"),
+        text("leaf").alias("leaf"),
+        text("subroot").alias("subroot"),
+        text("root").alias("root"),
+        F.sha2(text("siblings").cast("binary"), 256).alias("proof_sha256"),
+        text("folded_root").alias("folded_root"),
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
