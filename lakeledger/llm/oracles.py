@@ -118,3 +118,18 @@ WITH RECURSIVE d AS (
 SELECT r.doc_id, r.leaf, s.h AS subroot, z.root, sha256(e.proof) AS proof_sha256, e.h AS folded_root, e.h = z.root AS verified
 FROM r JOIN subroots s ON s.p = r.g JOIN {_ends("high_path")} e ON e.row = r.row, z
 """
+
+EXACT_TOP_K = """
+WITH v AS (
+    SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+), r AS (
+    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM s
+)
+SELECT * FROM r WHERE rank <= 20
+"""

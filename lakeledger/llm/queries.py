@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeledger.llm import bpe, decontaminate, html_text, language_id, line_dedup, merkle_manifest, passage_dedup, quality_rules, shard_shuffle, simhash_dedup, toxicity
+from lakeledger.llm import bpe, decontaminate, html_text, language_id, line_dedup, merkle_manifest, passage_dedup, quality_rules, shard_shuffle, simhash_dedup, token_alignment, toxicity, vector_topk
 from lakeledger.llm import oracles
 from lakeledger.llm.common import barrier, fold, ship, table
 
@@ -18,6 +18,7 @@ ORACLES: dict[str, str] = {
     "op3_line_dedup": oracles.LINE_DEDUP,
     "op5_quality_rules": oracles.QUALITY_RULES,
     "op11_merkle_manifest": oracles.MERKLE_MANIFEST,
+    "op13_exact_top_k_search": oracles.EXACT_TOP_K,
 }
 
 TOXIC_FROM = 0.3
@@ -170,3 +171,19 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         text("folded_root").alias("folded_root"),
         (F.col("folded_root") == F.col("root")).alias("verified"),
     )
+
+
+@query
+def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two tokenizers lie over each other in every document."""
+    return token_alignment.alignment_counts(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
+@query
+def op13_exact_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 rows of highest inner product of every row whose id is divisible by 20."""
+    return vector_topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
