@@ -27,7 +27,9 @@ RESOLUTIONS = (4, 16)
 QUERY_BLOCK = 8192
 STRIPE = 4_000_000
 # Queries and candidates of a bound matrix.
-ROWS, COLUMNS = 1024, 4096
+ROWS, COLUMNS = 256, 4096
+# Pairs are scored one by one where fewer than this part of a matrix is left.
+FEW = 16
 # Sums of products below this are exact in double precision.
 EXACT = 2.0**53
 
@@ -80,33 +82,40 @@ class Search:
             rows = slice(start, start + ROWS)
             # Rounding of a bound is far below this share of the product of the norms.
             slack = 1e-9 * self.norms[rows].max(initial=0) * norms + 1e-9
-            alive = np.arange(len(vectors))
+            alive, needed = np.arange(len(vectors)), np.ones((0, 0), bool)
             for level, bound in enumerate(bounds):
                 self.seen[level] += len(self.vectors[rows]) * len(alive)
                 most = self.bounds[level][rows] @ bound[alive].T
+                needed = most + slack[alive] >= self.least[rows, None]
                 # Columns that some query of these rows still needs.
-                alive = alive[(most + slack[alive] >= self.least[rows, None]).any(axis=0)]
+                some = needed.any(axis=0)
+                alive, needed = alive[some], needed[:, some]
             if len(alive):
-                self._score(rows, alive, vectors, candidates, keys, numbers, norms)
-
-    def _score(self, rows, alive, vectors, candidates, keys, numbers, norms) -> None:
-        self.seen[-1] += len(self.vectors[rows]) * len(alive)
-        if self.norms[rows].max(initial=0) * norms[alive].max(initial=0) < EXACT:
-            score = self.vectors[rows] @ vectors[alive].T
+                self._score(start, needed, alive, vectors, candidates, keys, numbers, norms)
+
+    def _score(self, start, needed, alive, vectors, candidates, keys, numbers, norms) -> None:
+        """Exact scores of the pairs that are left: one by one if they are few, else with the rest of their columns."""
+        rows = slice(start, start + ROWS)
+        exact = self.norms[rows].max(initial=0) * norms[alive].max(initial=0) < EXACT
+        # Python's numbers have no limit; a score that is no long fails.
+        left = self.vectors[rows] if exact else self.exact[rows].astype(object)
+        right = vectors if exact else candidates.astype(object)
+        least = self.least[rows].astype(left.dtype)
+        if exact and needed.sum() * FEW < needed.size:
+            query, at = np.nonzero(needed)
+            scores = np.einsum("ij,ij->i", left[query], right[alive[at]])
+            self.seen[-1] += len(scores)
+            good = scores >= least[query]
+            query, at, scores = query[good], at[good], scores[good]
         else:
-            # Python's numbers have no limit; a score that is no long fails.
-            score = self.exact[rows].astype(object) @ candidates[alive].astype(object).T
-        least = self.least[rows].astype(score.dtype)
-        if len(alive) > self.keep:
-            kth = np.sort(score, axis=1)[:, -self.keep] if score.dtype == object else -np.partition(-score, self.keep - 1, axis=1)[:, self.keep - 1]
-            least = np.maximum(least, kth)
-        query, at = np.nonzero(score >= least[:, None])
-        found = [
-            query + rows.start,
-            np.array(score[query, at], np.int64),
-            keys[alive[at]],
-            numbers[alive[at]],
-        ]
+            score = left @ right[alive].T
+            self.seen[-1] += score.size
+            if len(alive) > self.keep:
+                kth = -(np.partition(-score, self.keep - 1, axis=1) if exact else np.sort(-score, axis=1))
+                least = np.maximum(least, kth[:, self.keep - 1])
+            query, at = np.nonzero(score >= least[:, None])
+            scores = score[query, at]
+        found = [query + start, np.array(scores, np.int64), keys[alive[at]], numbers[alive[at]]]
         touched = np.unique(found[0])
         mine = np.isin(self.best[0], touched)
         pool = [np.concatenate([old[mine], new]) for old, new in zip(self.best, found, strict=True)]
@@ -114,8 +123,7 @@ class Search:
         pool = [column[order] for column in pool]
         first = np.searchsorted(pool[0], pool[0])
         place = np.arange(len(pool[0])) - first
-        pool = [column[place < self.keep] for column in pool]
-        place = place[place < self.keep]
+        pool, place = [column[place < self.keep] for column in pool], place[place < self.keep]
         full = place == self.keep - 1
         self.least[pool[0][full]] = pool[1][full]
         self.best = [np.concatenate([old[~mine], new]) for old, new in zip(self.best, pool, strict=True)]
@@ -215,7 +223,8 @@ def exact_top_k(
     are null or hold a null or non-finite component, take no part; shorter
     vectors count as padded with zeros, empty ones as zero. Equal rows count
     once; rows of the query's own id are not its candidates. Ties go to the
-    smaller id. Other columns are not read. An empty table gives no rows.
+    smaller id. A score beyond 64 bits is an error. Other columns are not read.
+    An empty table gives no rows.
 
     Equal vectors are searched once: of each, only the k + 1 smallest ids can
     be in a result, and all its queries get the result of the vector.
