@@ -132,8 +132,9 @@ class Aligner:
         self.length_a = np.array([len(x) for x in self.bytes_a])
         self.length_b = np.array([len(x) for x in self.bytes_b])
         # Text of every id with what follows it: a comma, or the end of its side of a group.
-        self.words = [f"{i}{after}" for i in range(len(self.bytes_a)) for after in ",|"]
-        self.words += [f"{i}{after}" for i in range(len(self.bytes_b)) for after in ",;"]
+        words = [f"{i}{after}" for i in range(len(self.bytes_a)) for after in ",|"]
+        words += [f"{i}{after}" for i in range(len(self.bytes_b)) for after in ",;"]
+        self.words = np.array(words, object)
 
     def encode(self, texts: list[str | None]) -> Iterator[tuple[list[int], list[int]]]:
         """Ids of each text by both; none where a text is empty or the tokens do not give its bytes back."""
@@ -173,15 +174,17 @@ class Alignment:
     n_b: np.ndarray
     found: Overlaps
 
+    @functools.cached_property
     def links(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, a token, b token) of the tokens that end together, in order. Each closes a group."""
         both = self.found.ends_a & self.found.ends_b
         at_a, at_b = self.found.a[both], self.found.b[both]
-        return np.searchsorted(np.cumsum(self.n_a), at_a, side="right"), at_a, at_b
+        text = np.repeat(np.arange(len(self.n_a)), self.n_a)
+        return text[at_a], at_a, at_b
 
     def groups(self) -> Iterator[list[tuple[list[int], list[int]]]]:
         """The groups of every text, as (ids of a, ids of b)."""
-        text, at_a, at_b = self.links()
+        text, at_a, at_b = self.links
         a, b = self.a.tolist(), self.b.tolist()
         own: list[list] = [[] for _ in self.n_a]
         start_a = start_b = 0
@@ -190,23 +193,23 @@ class Alignment:
             start_a, start_b = end_a, end_b
         yield from own
 
-    def group_texts(self, words: list[str], first_b: int) -> list[str]:
+    def group_texts(self, words: np.ndarray, first_b: int) -> list[str]:
         """``a1,a2|b1;a3|b2,b3`` of every text; ``words`` as an Aligner has them."""
-        _, at_a, at_b = self.links()
+        _, at_a, at_b = self.links
         # All tokens in the order of groups, in each those of a and then those of b.
-        group_a = np.searchsorted(at_a, np.arange(len(self.a)))
-        group_b = np.searchsorted(at_b, np.arange(len(self.b)))
-        code = np.empty(len(self.a) + len(self.b), np.int64)
         last_a, last_b = np.zeros(len(self.a), np.int64), np.zeros(len(self.b), np.int64)
         last_a[at_a], last_b[at_b] = 1, 1
-        code[np.arange(len(self.a)) + np.append(0, at_b + 1)[group_a]] = self.a * 2 + last_a
-        code[np.arange(len(self.b)) + (at_a + 1)[group_b]] = self.b * 2 + last_b + first_b
-        codes, stops = code.tolist(), np.cumsum(self.n_a + self.n_b).tolist()
-        return ["".join([words[c] for c in codes[i:k]])[:-1] for i, k in zip([0, *stops], stops)]
+        before_b = np.repeat(np.append(0, at_b + 1)[: len(at_a)], np.diff(at_a, prepend=-1))
+        before_a = np.repeat(at_a + 1, np.diff(at_b, prepend=-1))
+        code = np.empty(len(self.a) + len(self.b), np.int64)
+        code[np.arange(len(self.a)) + before_b] = self.a * 2 + last_a
+        code[np.arange(len(self.b)) + before_a] = self.b * 2 + last_b + first_b
+        shown, stops = words[code], np.cumsum(self.n_a + self.n_b).tolist()
+        return ["".join(shown[i:k].tolist())[:-1] for i, k in zip([0, *stops], stops)]
 
     def pair_counts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, pair, links) of the different linked id pairs of each text; a pair is ``a << 32 | b``."""
-        text, at_a, at_b = self.links()
+        text, at_a, at_b = self.links
         size_a, size_b = self.a.max(initial=0) + 1, self.b.max(initial=0) + 1
         code = (text * size_a + self.a[at_a]) * size_b + self.b[at_b]
         code, n = np.unique(code, return_counts=True)
@@ -287,7 +290,7 @@ def alignment_counts(docs: DataFrame, path_a: str, path_b: str, text: str = "tex
             for start, end in chunks(texts):
                 found = own.align(texts[start:end])
                 shown = found.group_texts(own.words, 2 * len(own.bytes_a))
-                links = np.bincount(found.links()[0], minlength=end - start)
+                links = np.bincount(found.links[0], minlength=end - start)
                 at, pair, times = found.pair_counts()
                 offsets = pa.array(np.searchsorted(at, np.arange(end - start + 1)), pa.int32())
                 yield pa.RecordBatch.from_arrays(

@@ -67,7 +67,7 @@ class Search:
         self.vectors = queries.astype(float)
         self.norms = np.sqrt((self.vectors**2).sum(axis=1))
         self.bounds = [segment_statistics(self.vectors, n) for n in RESOLUTIONS]
-        # Best so far as rows (query, score, key, candidate), sorted by query; and each query's worst kept score.
+        # Best so far as columns query, score, key, candidate; and each query's worst kept score.
         self.best = [np.empty(0, np.int64) for _ in range(4)]
         self.least = np.full(len(queries), -np.inf)
         # Pairs whose bound was worked out at each resolution, and pairs scored.
