@@ -8,8 +8,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeledger.operators.flatten_json import Leaf, find_leaves, flatten_records
-from lakeledger.sinks.tables import write_csv
+from lakeledger.operators.flatten_json import Leaf, column_names, csv_lines, find_leaves, flatten_records
+from lakeledger.sinks.tables import write_csv, write_single_csv
 from lakeledger.sources.json import count_files, read_json_records
 
 
@@ -56,8 +56,13 @@ def flatten_json_to_csv(
     sep: str = "_",
     order: str = "first_seen",
     on_collision: str = "raise",
+    single_file: bool = False,
 ) -> FlattenResult:
-    """The shape of the input first, then one pass for the write."""
+    """The shape of the input first, then one pass for the write.
+
+    The result is a folder of part files, or with ``single_file`` one file with
+    one header and the records in the order of the input.
+    """
     files = count_files(spark, source, lines)
     if files == 0:
         return FlattenResult("NO_FILES", 0)
@@ -66,6 +71,11 @@ def flatten_json_to_csv(
     if shape.rows == 0:
         return FlattenResult("NO_RECORDS", files, skipped=shape.skipped)
     usable = records.filter(~F.col("is_broken"))
-    flat = flatten_records(usable, shape.leaves, sep, on_collision)
-    path = write_csv(flat, destination, run_ts)
-    return FlattenResult("OK", files, shape.rows, shape.skipped, tuple(flat.columns), path)
+    if single_file:
+        columns, _ = column_names(shape.leaves, sep, on_collision)
+        header, lines = csv_lines(usable, shape.leaves, sep, on_collision)
+        path = write_single_csv(header, lines, destination, run_ts)
+    else:
+        flat = flatten_records(usable, shape.leaves, sep, on_collision)
+        columns, path = flat.columns, write_csv(flat, destination, run_ts)
+    return FlattenResult("OK", files, shape.rows, shape.skipped, tuple(columns), path)

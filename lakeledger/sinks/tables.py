@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,6 +77,73 @@ def write_csv(df: DataFrame, destination: str, run_ts) -> str:
     return path
 
 
+# Bytes that are copied at a time where files have to be joined by copying.
+_COPY = 4 << 20
+
+
+def join_files(spark: SparkSession, folder: str, target: str, head: bytes = b"") -> None:
+    """One file of ``head`` and the part files of ``folder`` in their order; the folder goes.
+
+    The parts were written in parallel. A file system that can (HDFS) joins
+    them in place, without moving a byte; on others the driver streams them
+    through a buffer of fixed size, so only its bandwidth is needed, not its
+    memory. The target appears by a rename when it is complete, and an
+    existing one is never overwritten.
+    """
+    hadoop = spark._jvm.org.apache.hadoop
+    path = hadoop.fs.Path(target)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(path):
+        raise FileExistsError(f"ALREADY_EXISTS: {target}")
+    found = files.listStatus(hadoop.fs.Path(folder))
+    parts = sorted(
+        (s.getPath() for s in found if s.isFile() and s.getLen() and s.getPath().getName().startswith("part-")),
+        key=lambda p: p.getName(),
+    )
+    whole = hadoop.fs.Path(folder, "_joined")
+
+    def start():
+        out = files.create(whole, True)
+        out.write(bytearray(head))
+        return out
+
+    start().close()
+    try:
+        sources = spark.sparkContext._gateway.new_array(hadoop.fs.Path, len(parts))
+        for at, part in enumerate(parts):
+            sources[at] = part
+        if parts:
+            files.concat(whole, sources)
+    except UnsupportedOperationException:
+        out = start()
+        try:
+            for part in parts:
+                data = files.open(part)
+                try:
+                    hadoop.io.IOUtils.copyBytes(data, out, _COPY, False)
+                finally:
+                    data.close()
+        finally:
+            out.close()
+    if not files.rename(whole, path):
+        raise OSError(f"could not rename {whole.toString()} to {target}")
+    files.delete(hadoop.fs.Path(folder), True)
+
+
+def write_single_csv(header: str, lines: DataFrame, destination: str, run_ts) -> str:
+    """One CSV file named after the run, from rendered lines in the order of (file, block, position).
+
+    Lines are sorted by range and written in parallel; ``join_files`` puts the
+    header and the parts together.
+    """
+    path = f"{destination.rstrip('/')}/combined_{run_stamp(run_ts)}.csv"
+    folder = f"{destination.rstrip('/')}/_parts_{run_stamp(run_ts)}"
+    ordered = lines.orderBy("file", "block", "position").select("line")
+    ordered.write.mode("overwrite").text(folder)
+    join_files(lines.sparkSession, folder, path, f"{header}\n".encode())
+    return path
+
+
 def register_partitions(spark: SparkSession, table: str) -> None:
     """Make partitions that were written to a table's folder visible to its readers."""
     spark.catalog.recoverPartitions(table)

@@ -1,4 +1,5 @@
 import csv
+import json
 from datetime import datetime
 from pathlib import Path
 
@@ -6,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeledger.functions import flatten_columns
+from lakeledger.operators.flatten_json import csv_lines, find_leaves, flatten_records
 from lakeledger.plans.json_to_csv import flatten_json, flatten_json_to_csv
 from lakeledger.sources.json import read_json_records, read_json_typed
 
@@ -147,3 +149,58 @@ def test_flatten_columns(spark):
     with pytest.raises(ValueError, match="a_b"):
         flatten_columns(twice)
     assert flatten_columns(twice, on_collision="last").first()["a_b"] == 7
+
+
+SHAPES = {
+    "mixed.json": '[{"a":1},{"a":{"b":"{\\"c\\":0}"}},{"a":{"b":{"c":{"d":2.0},"e":[{"z":1,"y":2}]}}},{"a":null},{"e":{}}]',
+    "twice.json": '[{"p":{"q":1},"p_q":2},{"p":{"q":3}},{"p_q":4},{"p":{"q":5},"p_q":null},{"x":{"x":{"x":""}},"1:x":"é"}]',
+    "odd.json": '[{"k\'s":1,"k\\"d":[ ],"":{"":2}},{"s":"{not an object}","t":" {\\"u\\":1}","n":1.50,"m":1e3},{"d":1,"d":2}]',
+}
+
+
+def test_both_plans_give_the_same_rows(spark, tmp_path):
+    """An expression per column, or cells laid over the columns: every odd shape."""
+    records = read_json_records(spark, put(tmp_path / "in", SHAPES))
+    leaves = find_leaves(records)
+    narrow, wide = (flatten_records(records, leaves, on_collision="last", narrow=n) for n in (1000, 0))
+    assert narrow.columns == wide.columns
+    assert sorted(map(repr, narrow.collect())) == sorted(map(repr, wide.collect()))
+
+
+def test_wide_plan_has_no_expression_per_column(spark, tmp_path):
+    def nodes(columns):
+        source = put(tmp_path / str(columns), {"a.json": str([{f"k{i}": {"v": i}} for i in range(columns)]).replace("'", '"')})
+        records = read_json_records(spark, source)
+        header, lines = csv_lines(records, find_leaves(records))
+        assert header.count(",") == columns - 1
+        text = lines._jdf.queryExecution().optimizedPlan().toString()
+        return text.count("lambda"), text.count("from_json")
+
+    assert nodes(3) == nodes(400)
+
+
+def test_single_csv(spark, tmp_path):
+    """One file, in the order of the input, as Python's reader sees it; parts are written by several tasks."""
+    rows = [{"n": i, "t": {"v": ["", 'a,"b"', "two\nlines", " blank "][i % 4]}, **({"o": None} if i % 3 else {})} for i in range(500)]
+    files = {f"{k}.jsonl": "\n".join(json.dumps(r) for r in rows[k * 100 : k * 100 + 100]) for k in range(5)}
+    source = put(tmp_path / "in", files)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = flatten_json_to_csv(spark, source, str(tmp_path / "out"), RUN, lines=True, single_file=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert got.path.endswith("combined_20260511T010203Z.csv") and Path(got.path).is_file()
+    with open(got.path, newline="") as handle:
+        found = list(csv.DictReader(handle))
+    assert found == [{"n": str(r["n"]), "t_v": r["t"]["v"], "o": ""} for r in rows]
+    assert [p.name for p in (tmp_path / "out").iterdir() if not p.name.startswith(".")] == [Path(got.path).name]
+    with pytest.raises(FileExistsError):
+        flatten_json_to_csv(spark, source, str(tmp_path / "out"), RUN, lines=True, single_file=True)
+
+
+def test_single_csv_of_one_blank_column(spark, tmp_path):
+    source = put(tmp_path / "in", {"a.json": '[{"a":null},{"a":"x"},{"a":""}]'})
+    got = flatten_json_to_csv(spark, source, str(tmp_path / "out"), RUN, single_file=True)
+    with open(got.path, newline="") as handle:
+        assert [r["a"] for r in csv.DictReader(handle)] == ["", "x", ""]

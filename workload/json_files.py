@@ -76,6 +76,57 @@ def flatten_lines_to_csv(spark, sf_dir):
     return spark.read.option("header", "true").option("escape", '"').csv(result.path)
 
 
+@query(
+    "flatten_single_csv",
+    """
+SELECT o_orderkey::VARCHAR AS key, o_orderpriority AS info_priority,
+       'say "' || o_orderstatus || '", ' || chr(10) || 'ok' AS info_note,
+       CASE WHEN o_orderstatus = 'F' THEN o_custkey::VARCHAR END AS customer, 1 AS files
+FROM orders""",
+)
+def flatten_single_csv(spark, sf_dir):
+    """The whole job into one CSV file with one header; quotes, commas and line ends inside cells."""
+    path, out = scratch_path(spark, "order-lines"), scratch_path(spark, "single-csv")
+    note = F.concat(F.lit('say "'), "o_orderstatus", F.lit('", \nok'))
+    table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("key"),
+        F.struct(F.col("o_orderpriority").alias("priority"), note.alias("note")).alias("info"),
+        F.when(F.col("o_orderstatus") == "F", F.col("o_custkey")).alias("customer"),
+    ).repartition(8, "key").write.json(path)
+    result = flatten_json_to_csv(spark, path, out, RUN, lines=True, single_file=True)
+    read = spark.read.option("header", "true").option("escape", '"').option("multiLine", "true").csv(result.path)
+    files = len(read.inputFiles())
+    return read.withColumn("files", F.lit(files))
+
+
+@query(
+    "flatten_no_input",
+    """
+SELECT * FROM (VALUES ('no json here', 'NO_FILES', 0, 0::BIGINT, 0::BIGINT)) v(input, status, files, skipped, orders)
+UNION ALL
+SELECT 'broken files', 'NO_RECORDS', 4, 4, count(*) FROM orders WHERE o_orderkey % 2 = 0""",
+)
+def flatten_no_input(spark, sf_dir):
+    """What the job says of a folder without JSON files, and of one whose files are all cut off."""
+    orders = table(spark, sf_dir, "orders")
+    text, broken = scratch_path(spark, "no-json"), scratch_path(spark, "all-broken")
+    orders.select(F.to_json(F.struct("o_orderkey")).alias("value")).write.text(text)
+    # Four arrays of different lengths, none of them closed.
+    cut = orders.where("o_orderkey % 2 = 0").withColumn("part", F.col("o_orderkey") % 8)
+    counted = cut.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    value = F.concat(F.lit("["), F.repeat(F.lit("1,"), F.col("n").cast("int")), F.lit('{"o_orderkey":'))
+    counted.select("part", value.alias("value")).write.partitionBy("part").options(
+        header="false", sep="\u0001", quote="\u0002", extension="json"
+    ).csv(broken)
+    rows = []
+    for name, path in (("no json here", text), ("broken files", broken)):
+        found = flatten_json_to_csv(spark, path, scratch_path(spark, "none"), RUN)
+        rows.append((name, found.status, found.files, found.skipped))
+    said = spark.createDataFrame(rows, "input string, status string, files int, skipped bigint")
+    lengths = counted.agg(F.sum("n").alias("orders")).withColumn("input", F.lit("broken files"))
+    return said.join(lengths, "input", "left").withColumn("orders", F.coalesce("orders", F.lit(0)))
+
+
 def _broken_lines(spark, sf_dir) -> str:
     """Every order as a JSON line; those of one status are cut off."""
     path = scratch_path(spark, "broken-lines")
