@@ -2,8 +2,8 @@
 
 All surveys and dates go through the same set-based plan, and no record id
 reaches the driver; only the configuration and the dates to work on (control
-data) do. The number of Spark jobs does not grow with the dates. Per survey
-there is one small job per layer, which looks at the schema of what is there.
+data) do. The number of Spark jobs grows neither with the surveys nor with the
+dates.
 """
 
 from __future__ import annotations
@@ -34,11 +34,16 @@ from lakeledger.sinks.reports import write_anomalies, write_ledger, write_report
 from lakeledger.sinks.tables import overwrite_table, register_partitions
 from lakeledger.sources.json import read_control_dates
 from lakeledger.sources.layers import (
+    NO_COLUMN,
+    PARTITION,
     date_folders,
+    folder_key,
     latest_event_dates,
     read_layer,
+    read_layers,
     read_ledger,
     read_quarantine,
+    read_quarantines,
     read_raw_surveys,
 )
 
@@ -231,10 +236,6 @@ def _message(error: Exception) -> str:
     return f"{type(error).__name__}: {error}"
 
 
-def _union(parts: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), parts)
-
-
 def _named(df: DataFrame, config: dict) -> DataFrame:
     return df.withColumn("survey_name", F.lit(config["survey_name"]))
 
@@ -284,20 +285,57 @@ class _Layers:
     sentiment: DataFrame
     quarantine: DataFrame
 
+    def union(self, other: _Layers) -> _Layers:
+        return _Layers(
+            self.curated.unionByName(other.curated),
+            self.sentiment.unionByName(other.sentiment),
+            self.quarantine.unionByName(other.quarantine),
+        )
+
+
+def _folders(paths: Paths, config: dict) -> dict[str, str]:
+    """Folder of each layer that a survey has."""
+    found = {"curated": f"{paths.curated}/{config['curated_folder']}"}
+    if config["sentiment_pipeline_active"]:
+        found["sentiment"] = f"{paths.sentiment}/{config['sentiment_folder']}"
+        found["quarantine"] = f"{paths.quarantine}/{config['quarantine_folder']}"
+    return found
+
+
+def _days_of(items: list[tuple[str, str]]) -> dict[str, list[str]]:
+    """Survey -> its own dates: in live mode they differ from survey to survey."""
+    found: dict[str, set[str]] = {}
+    for day, survey in items:
+        found.setdefault(survey, set()).add(day)
+    return {survey: sorted(days) for survey, days in found.items()}
+
 
-def _survey_layers(
+def _common_layers(
+    spark: SparkSession, paths: Paths, configs: list[dict], items: list[tuple[str, str]], options: Options
+) -> _Layers:
+    """Layers of all surveys of ``items``: one scan for each kind of layer."""
+    days = _days_of(items)
+    folders: dict[str, dict[str, str]] = {"curated": {}, "sentiment": {}, "quarantine": {}}
+    for config in configs:
+        if config["survey_name"] in days:
+            for kind, folder in _folders(paths, config).items():
+                folders[kind][config["survey_name"]] = folder
+    return _Layers(
+        read_layers(spark, folders["curated"], days),
+        read_layers(spark, folders["sentiment"], days),
+        read_quarantines(spark, folders["quarantine"], days, options.quarantine_fmt),
+    )
+
+
+def _own_layers(
     spark: SparkSession, paths: Paths, config: dict, dates: list[str], options: Options
 ) -> _Layers:
-    """Layers of one survey. Reading the schema of what is there finds a bad survey early."""
-    curated = read_layer(spark, f"{paths.curated}/{config['curated_folder']}", dates)
+    """Layers of one survey by the schemas of its files: for ids that are no text, and to find out what is wrong."""
+    folders = _folders(paths, config)
+    curated = read_layer(spark, folders["curated"], dates)
     if config["sentiment_pipeline_active"]:
-        sentiment = read_layer(spark, f"{paths.sentiment}/{config['sentiment_folder']}", dates)
-        quarantine = read_quarantine(
-            spark,
-            f"{paths.quarantine}/{config['quarantine_folder']}",
-            dates,
-            options.quarantine_fmt,
-        )
+        sentiment = read_layer(spark, folders["sentiment"], dates)
+        quarantine = read_quarantine(spark, folders["quarantine"], dates, options.quarantine_fmt)
     else:
         sentiment = curated.limit(0)
         quarantine = sentiment.withColumn("removal_reason", F.lit(None).cast("string"))
@@ -308,7 +346,7 @@ def _reconcile_and_write(
     spark: SparkSession,
     paths: Paths,
     configs: list[dict],
-    layers: dict[str, _Layers],
+    layers: _Layers,
     items: list[tuple[str, str]],
     raw_per_survey: DataFrame,
     generated_at: str,
@@ -320,29 +358,20 @@ def _reconcile_and_write(
         [(d, *[by_name[s].get(n) for n in SURVEY_CONFIG.names]) for d, s in items],
         f"event_date string, {', '.join(f'{c.name} {c.type}' for c in SURVEY_CONFIG.columns)}",
     )
-    names = {s for _, s in items}
-    active = [s for s in names if by_name[s]["sentiment_pipeline_active"]]
-    curated = _union([layers[s].curated for s in sorted(names)])
-    sentiment = _union([layers[s].sentiment for s in sorted(names)])
-    if active:
-        missing = missing_records(
-            _union([layers[s].curated for s in sorted(active)]),
-            _union([layers[s].sentiment for s in sorted(active)]),
-            _union([layers[s].quarantine for s in sorted(active)]),
-        )
-    else:
-        empty = curated.limit(0)
-        missing = missing_records(
-            empty, empty, empty.withColumn("removal_reason", F.lit(None).cast("string"))
-        )
+    active = sorted({s for _, s in items if by_name[s]["sentiment_pipeline_active"]})
+    missing = missing_records(
+        layers.curated.filter(F.col("survey_name").isin(active)) if active else layers.curated.limit(0),
+        layers.sentiment,
+        layers.quarantine,
+    )
     # Summary, anomalies and ledger all need it: written once, read three times.
     staged = f"{staging}/missing"
     overwrite_table(missing, staged)
     result = reconcile(
         work,
         raw_per_survey,
-        curated,
-        sentiment,
+        layers.curated,
+        layers.sentiment,
         spark.read.schema(missing.schema).parquet(staged),
         generated_at,
         reasons_as=options.reasons_as,
@@ -358,6 +387,50 @@ def _reconcile_and_write(
     write_ledger(summary, paths.ledger, paths.report)
 
 
+def _bad_surveys(
+    spark: SparkSession,
+    paths: Paths,
+    configs: list[dict],
+    items: list[tuple[str, str]],
+    options: Options,
+    error: Exception,
+    own: dict[str, _Layers],
+) -> dict[str, str]:
+    """Survey -> message of those that made the common job fail; never none of all that are left.
+
+    Every survey's schemas are looked at: a layer without its columns fails its
+    survey. The error names the file that could not be read: one that lacks the
+    id column fails its survey; if the schemas of that survey are sound, it goes
+    into ``own`` and is read by them from now on (ids that are no text), and if
+    it is there already, it has failed. An error that points at no survey has
+    failed them all.
+    """
+    days, bad = _days_of(items), {}
+    found: dict[str, _Layers] = {}
+    for config in configs:
+        survey = config["survey_name"]
+        if survey in days and survey not in own:
+            try:
+                found[survey] = _own_layers(spark, paths, config, days[survey], options)
+            except Exception as reason:  # noqa: BLE001 - any bad survey is logged, the rest goes on
+                bad[survey] = _message(reason)
+    told = str(error)
+    named = [
+        c["survey_name"]
+        for c in configs
+        if c["survey_name"] in days
+        and any(f"{folder_key(spark, folder)}/{PARTITION}=" in told for folder in _folders(paths, c).values())
+    ]
+    for survey in named:
+        if survey in own or (NO_COLUMN in told and survey not in bad):
+            bad[survey] = _message(error)
+        elif survey in found:
+            own[survey] = found[survey]
+    if not bad and not any(survey in found for survey in named):
+        return dict.fromkeys(days, _message(error))
+    return bad
+
+
 def run_reconciliation(
     spark: SparkSession,
     paths: Paths,
@@ -373,9 +446,12 @@ def run_reconciliation(
     The dates are the given ones, else those of the control file, else (live
     mode) the latest date of each survey.
 
-    A date with an unreadable raw file and a survey with an unreadable layer
-    fail on their own; if the common job still fails, it is repeated survey by
-    survey. With any failure the run raises at the end, after writing the rest.
+    One scan per kind of layer serves all surveys, so the number of Spark jobs
+    depends neither on surveys nor on dates. A date with an unreadable raw file
+    and a survey with an unreadable layer fail on their own: when the common
+    job fails, its error and the schemas tell which surveys are bad, and it
+    runs again without them. With any failure the run raises at the end, after
+    writing the rest.
     """
     configs = select_surveys(configs, surveys)
     log: list[dict] = []
@@ -409,51 +485,32 @@ def run_reconciliation(
             note(item, FAILED, "unreadable raw file")
         items = [i for i in items if i[0] not in broken]
 
-    layers: dict[str, _Layers] = {}
-    for config in configs:
-        name = config["survey_name"]
-        own = [i for i in items if i[1] == name]
-        if not own:
-            continue
-        try:
-            # Its own dates: in live mode they differ from survey to survey.
-            own_days = sorted({d for d, _ in own})
-            layers[name] = _survey_layers(spark, paths, config, own_days, options)
-        except Exception as error:  # noqa: BLE001 - any bad survey is logged, the rest goes on
-            for item in own:
-                note(item, FAILED, _message(error))
-    items = [i for i in items if i[1] in layers]
-
     if items:
         per_survey = per_survey.filter("not is_broken").drop("is_broken")
-
-        def attempt(part: list[tuple[str, str]]) -> None:
+    own: dict[str, _Layers] = {}
+    while items:
+        try:
+            common = _common_layers(spark, paths, configs, [i for i in items if i[1] not in own], options)
             _reconcile_and_write(
                 spark,
                 paths,
                 configs,
-                layers,
-                part,
+                reduce(_Layers.union, own.values(), common),
+                items,
                 per_survey,
                 generated_at.isoformat(),
                 options,
                 staging,
             )
-
-        try:
-            attempt(items)
             for item in items:
                 note(item, RECONCILED)
-        except Exception:  # noqa: BLE001 - find out which survey it was
-            for name in sorted({s for _, s in items}):
-                own = [i for i in items if i[1] == name]
-                try:
-                    attempt(own)
-                    for item in own:
-                        note(item, RECONCILED)
-                except Exception as error:  # noqa: BLE001
-                    for item in own:
-                        note(item, FAILED, _message(error))
+            break
+        except Exception as error:  # noqa: BLE001 - find out which surveys it was
+            bad = _bad_surveys(spark, paths, configs, items, options, error, own)
+            for item in [i for i in items if i[1] in bad]:
+                note(item, FAILED, bad[item[1]])
+            items = [i for i in items if i[1] not in bad]
+            own = {survey: layers for survey, layers in own.items() if survey not in bad}
 
     if options.report_table and any(row["status"] == RECONCILED for row in log):
         register_partitions(spark, options.report_table)

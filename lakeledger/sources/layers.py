@@ -6,11 +6,15 @@ cannot be read is an error.
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeledger.contracts import LAYER, LEDGER, QUARANTINE, SURVEY_CONFIG, Contract
 
@@ -88,6 +92,132 @@ def read_quarantine(
     return _as_text(df, QUARANTINE, dates)
 
 
+# What stands for the id in files that have no such column.
+_ABSENT = "no such column 8d1c4f0a6e"
+NO_COLUMN = "no column contact_record_id in "
+
+
+def folder_key(spark: SparkSession, folder: str) -> str:
+    """A folder as the paths of its files begin, without scheme and host."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.makeQualified(path).toUri().getRawPath()
+
+
+def _by_survey(
+    spark: SparkSession, files: DataFrame, folders: dict[str, str], columns: Iterable[str]
+) -> DataFrame:
+    """(survey_name, event_date, *columns) of rows with their ``file``; a folder may serve several surveys.
+
+    The survey comes from the folder above the date, by a join with the
+    configuration, which is an argument of the job and broadcast.
+    """
+    keys = [(folder_key(spark, folder), survey) for survey, folder in folders.items()]
+    surveys = spark.createDataFrame(keys, "_folder string, survey_name string")
+    parts = rf"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/]*)?(/.*?)/{PARTITION}=([^/]*)/"
+    placed = files.withColumns(
+        {
+            "_folder": F.regexp_extract("file", parts, 1),
+            PARTITION: F.regexp_extract("file", parts, 2),
+        }
+    )
+    return placed.join(F.broadcast(surveys), "_folder").select("survey_name", PARTITION, *columns)
+
+
+def _all_wanted(spark: SparkSession, folders: dict[str, str], dates: dict[str, list[str]]) -> list[str]:
+    return sorted({path for survey, folder in folders.items() for path in _wanted(spark, folder, dates[survey])})
+
+
+def read_layers(
+    spark: SparkSession, folders: dict[str, str], dates: dict[str, list[str]]
+) -> DataFrame:
+    """(survey_name, event_date, contact_record_id) of the Parquet layers of all surveys, their own dates each.
+
+    One scan with a given schema, whatever the number of surveys: no file is
+    looked at before. A file without the id column, or with one that is no
+    text, fails the scan with an error that names the file.
+    """
+    named = ("contact_record_id",)
+    empty = spark.createDataFrame([], f"survey_name string, {PARTITION} string, contact_record_id string")
+    paths = _all_wanted(spark, folders, dates)
+    if not paths:
+        return empty
+    # Spark fills the column with this default where a file does not have it.
+    default = {key: f"'{_ABSENT}'" for key in ("EXISTS_DEFAULT", "CURRENT_DEFAULT")}
+    schema = T.StructType([T.StructField("contact_record_id", T.StringType(), True, default)])
+    rows = (
+        spark.read.schema(schema)
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.parquet")
+        .parquet(*paths)
+        .select(*named, F.col("_metadata.file_path").alias("file"))
+    )
+    no_column = F.raise_error(F.concat(F.lit(NO_COLUMN), F.col("file")))
+    # A filter, so that counts look at the column as well.
+    checked = rows.filter(
+        F.when(F.col("contact_record_id") == _ABSENT, no_column.cast("boolean")).otherwise(True)
+    )
+    plain = checked.select(F.col("contact_record_id").cast("string").alias("contact_record_id"), "file")
+    return _by_survey(spark, plain, folders, named)
+
+
+def read_quarantines(
+    spark: SparkSession, folders: dict[str, str], dates: dict[str, list[str]], fmt: str = "csv"
+) -> DataFrame:
+    """(survey_name, event_date, contact_record_id, removal_reason) of the quarantines of all surveys.
+
+    CSV files are grouped by their header, which one job reads from all of
+    them, and each group is read with the columns in its order.
+    """
+    columns = ("contact_record_id", "removal_reason")
+    schema = ", ".join(f"{c} string" for c in ("survey_name", PARTITION, *columns))
+    paths = _all_wanted(spark, folders, dates)
+    if not paths:
+        return spark.createDataFrame([], schema)
+    found: list[DataFrame] = []
+    if fmt == "parquet":
+        found.append(
+            spark.read.schema(", ".join(f"{c} string" for c in columns))
+            .option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", "*.parquet")
+            .parquet(*paths)
+            .select(*columns, F.col("_metadata.file_path").alias("file"))
+        )
+    elif fmt == "csv":
+        for header, files in _headers(spark, paths).items():
+            names = next(csv.reader([header]), [])
+            lacking = [c for c in columns if c not in names]
+            if lacking:
+                raise ValueError(f"no column {lacking[0]} in {files[0]}")
+            # Names that repeat or are blank are of no interest, only their places.
+            places = [n if n in columns and n not in names[:at] else f"_{at}" for at, n in enumerate(names)]
+            found.append(
+                spark.read.schema(", ".join(f"`{n}` string" for n in places))
+                .option("header", "true")
+                .csv([unquote(f) for f in files])
+                .select(*columns, F.col("_metadata.file_path").alias("file"))
+            )
+    else:
+        raise ValueError("fmt is 'csv' or 'parquet'")
+    if not found:
+        return spark.createDataFrame([], schema)
+    rows = reduce(lambda a, b: a.unionByName(b), found)
+    return _by_survey(spark, rows, folders, columns)
+
+
+def _headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+    """First line of each file that is not blank -> files; one job, a row per file of the wanted dates."""
+    lines = spark.read.option("recursiveFileLookup", "true").text(paths)
+    block = F.col("_metadata.file_block_start").alias("block")
+    numbered = lines.select(F.col("_metadata.file_path").alias("file"), block, F.monotonically_increasing_id().alias("at"), "value")
+    filled = numbered.filter(F.length(F.trim("value")) > 0)
+    firsts = filled.groupBy("file").agg(F.min(F.struct("block", "at", "value")).alias("first"))
+    found: dict[str, list[str]] = {}
+    for row in firsts.select("file", "first.value").collect():
+        found.setdefault(row["value"].removeprefix("\ufeff"), []).append(row["file"])
+    return found
+
+
 def read_raw_surveys(
     spark: SparkSession, folder: str, dates: Iterable[str] | None = None
 ) -> DataFrame:

@@ -3,6 +3,7 @@ from datetime import datetime, timedelta, timezone
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from lakeledger.functions import run_stamp
 from lakeledger.plans import reconcile as reconcile_module
@@ -356,25 +357,99 @@ def test_dates_of_nested_folders(spark, folder):
 def test_surveys_read_their_own_dates_only(spark, paths, monkeypatch):
     ids(spark, f"{paths.sentiment}/phone/event_date=2026-05-09", ["r0"])
     ids(spark, f"{paths.curated}/survey_mail/event_date=2026-05-12", ["m3"])
-    asked = {}
-    read = reconcile_module.read_layer
+    asked = []
+    read = reconcile_module.read_layers
     monkeypatch.setattr(
-        reconcile_module, "read_layer",
-        lambda spark, path, dates: asked.setdefault(path.rsplit("/", 1)[1], dates) and read(spark, path, dates),
+        reconcile_module, "read_layers",
+        lambda spark, folders, dates: asked.append((sorted(folders), dates)) or read(spark, folders, dates),
     )
     run_reconciliation(spark, paths, CONFIGS, NOW)
-    assert asked == {"survey_phone": [DAY], "phone": [DAY], "survey_mail": ["2026-05-12"]}
+    days = {"PHONE": [DAY], "MAIL": ["2026-05-12"]}
+    assert asked == [(["MAIL", "PHONE"], days), (["PHONE"], days)]
 
 
-def test_error_without_a_message(spark, paths, monkeypatch):
+def test_error_that_points_at_no_survey(spark, paths, monkeypatch):
     def fail(*_):
         raise ValueError
 
-    monkeypatch.setattr(reconcile_module, "read_quarantine", fail)
+    monkeypatch.setattr(reconcile_module, "write_report", fail)
     with pytest.raises(ReconciliationError) as caught:
         run_reconciliation(spark, paths, CONFIGS, NOW, dates=[DAY])
     messages = {r["survey_name"]: r["message"] for r in caught.value.run_log}
-    assert messages == {"PHONE": "ValueError: ", "WEB": "ValueError: ", "MAIL": ""}
+    assert messages == {"PHONE": "ValueError: ", "WEB": "ValueError: ", "MAIL": "ValueError: "}
+
+
+def counted(monkeypatch):
+    """How often the common job runs."""
+    runs = []
+    run = reconcile_module._reconcile_and_write
+    monkeypatch.setattr(reconcile_module, "_reconcile_and_write", lambda *args: runs.append(1) or run(*args))
+    return runs
+
+
+@pytest.mark.parametrize("kind", ["cut", "no column", "late file without column", "csv header"])
+def test_a_bad_survey_costs_one_more_run(spark, paths, monkeypatch, kind):
+    ids(spark, f"{paths.curated}/survey_web/event_date={DAY}", ["w1", "w2"])
+    if kind == "cut":
+        whole = next(Path(f"{paths.curated}/survey_web/event_date={DAY}").glob("*.parquet"))
+        whole.write_bytes(whole.read_bytes()[:-20])
+        (whole.parent / f".{whole.name}.crc").unlink()
+    elif kind == "no column":
+        spark.range(3).write.mode("overwrite").parquet(f"{paths.curated}/survey_web/event_date={DAY}")
+    elif kind == "late file without column":
+        spark.range(3).coalesce(1).write.parquet(f"{paths.curated}/survey_web/event_date={DAY}/zz")
+    else:
+        put(f"{paths.quarantine}/web_quarantine/event_date={DAY}/q.csv", "id,why\nw1,X\n")
+    runs = counted(monkeypatch)
+    with pytest.raises(ReconciliationError) as caught:
+        run_reconciliation(spark, paths, CONFIGS, NOW, dates=[DAY])
+    assert {(r["survey_name"], r["status"]) for r in caught.value.run_log} == {
+        ("PHONE", "reconciled"), ("MAIL", "reconciled"), ("WEB", "failed"),
+    }
+    assert len(runs) <= (3 if kind == "late file without column" else 2)
+    assert report_rows(paths.report)[(DAY, "PHONE")]["unaccounted_count"] == 1
+
+
+def test_ids_that_are_numbers(spark, paths, monkeypatch):
+    """Such a survey is read by its own schema, and still counts."""
+    spark.range(3).select("id", F.col("id").alias("contact_record_id")).write.parquet(f"{paths.curated}/survey_web/event_date={DAY}")
+    put(f"{paths.quarantine}/web_quarantine/event_date={DAY}/q.csv", '"x",removal_reason,"contact_record_id"\n7,WHY,2\n')
+    runs = counted(monkeypatch)
+    run_reconciliation(spark, paths, CONFIGS, NOW, dates=[DAY])
+    assert len(runs) == 2
+    web = report_rows(paths.report)[(DAY, "WEB")]
+    assert (web["curated_count"], web["reason_breakdown"]) == (3, "UNACCOUNTED: 2, WHY: 1")
+
+
+def test_number_of_jobs_does_not_depend_on_surveys(spark, folder):
+    """One survey or five, one date or three: the same number of Spark jobs."""
+
+    def jobs(surveys, days):
+        p = Paths(*[f"{folder}/{surveys}-{days}/{n}" for n in Paths.__annotations__])
+        configs = [
+            {**CONFIGS[0], "survey_name": f"S{k}", "raw_survey_name": f"s{k}", "curated_folder": f"c {k}",
+             "sentiment_folder": f"s{k}", "quarantine_folder": f"q{k}"}
+            for k in range(surveys)
+        ]
+        dates = [f"2026-05-{11 + d}" for d in range(days)]
+        for day in dates:
+            put(f"{p.raw}/event_date={day}/a.json", json.dumps([raw_record(f"s{k}", f"{k}", day) for k in range(surveys)]))
+            for k in range(surveys):
+                ids(spark, f"{p.curated}/c {k}/event_date={day}", [f"{k}", f"{k}-b", f"{k}-c"])
+                ids(spark, f"{p.sentiment}/s{k}/event_date={day}", [f"{k}"])
+                put(f"{p.quarantine}/q{k}/event_date={day}/q.csv", f"contact_record_id,removal_reason\n{k}-b,R\n")
+        group = f"{surveys}-{days}"
+        spark.sparkContext.setJobGroup(group, "")
+        try:
+            log = run_reconciliation(spark, p, configs, NOW, dates=dates)
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert len(log) == surveys * days and {r["status"] for r in log} == {"reconciled"}
+        assert {tuple(r[c] for c in ("raw_count", "curated_count", "reason_breakdown")) for r in report_rows(p.report).values()} == {(1, 3, "R: 1, UNACCOUNTED: 1")}
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    few = jobs(1, 1)
+    assert jobs(5, 1) == few == jobs(5, 3)
 
 
 def test_staging_is_overwritten(spark, paths):
