@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeledger.operators.joins import anti_join
@@ -15,6 +15,63 @@ def of_version(final: DataFrame, run_version, version: str = "updated_on") -> Da
     return final.filter(F.col(version) == F.lit(run_version).cast("timestamp_ntz"))
 
 
+# Bits of a key filter. Broadcast as bitmaps of 4 KB: 8 MB at most, whatever the batch.
+FILTER_BITS = 1 << 26
+
+
+def _bit(keys: Sequence[str], bits: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(bits)) + 1
+
+
+def key_filter(batch: DataFrame, keys: Sequence[str], bits: int = FILTER_BITS) -> DataFrame:
+    """(bucket, bitmap): a bit for the hash of every key of ``batch``; bits / 32,768 rows at most."""
+    marked = batch.dropna(subset=list(keys)).select(_bit(keys, bits).alias("_bit"))
+    return marked.groupBy(F.bitmap_bucket_number("_bit").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_bit")).alias("_bitmap")
+    )
+
+
+def maybe_in(rows: DataFrame, batch: DataFrame, keys: Sequence[str], bits: int = FILTER_BITS) -> DataFrame:
+    """Rows whose key may be in ``batch``: all whose key is, and few others. ``rows`` are not shuffled.
+
+    The share of others is that of the bits in use, a seventh for ten million
+    keys; a batch that fills the filter lets everything pass. A null key is in
+    no batch.
+    """
+    at = F.bitmap_bit_position(F.col("_bit"))
+    octet = F.col("_bitmap").substr(F.floor(at / 8).cast("int") + 1, F.lit(1))
+    value = F.conv(F.hex(octet), 16, 10).cast("bigint")
+    return (
+        rows.dropna(subset=list(keys))
+        .withColumn("_bit", _bit(keys, bits))
+        .withColumn("_bucket", F.bitmap_bucket_number("_bit"))
+        .join(F.broadcast(key_filter(batch, keys, bits)), "_bucket")
+        .filter(F.getbit(value, (at % 8).cast("int")) == 1)
+        .select(rows.columns)
+    )
+
+
+def of_batch(
+    final: DataFrame,
+    batch: DataFrame,
+    primary_key: Sequence[str],
+    version: str = "updated_on",
+    bits: int = FILTER_BITS,
+) -> DataFrame:
+    """Stored rows that rows of ``batch`` could equal in key and version, for runs of unknown version.
+
+    The span of the batch's versions is pushed into the scan, whose statistics
+    skip older and newer files; a filter of the batch's keys then leaves about
+    the rows that match, so the final table is never shuffled as a whole. The
+    keys of the batch are read twice more for it.
+    """
+    span = batch.agg(F.min(version).alias("first"), F.max(version).alias("last")).first()
+    if span["first"] is None:
+        return final.limit(0)
+    inside = final.filter(F.col(version).between(F.lit(span["first"]), F.lit(span["last"])))
+    return maybe_in(inside, batch, [*primary_key, version], bits)
+
+
 def dedup_batch(
     work: DataFrame, primary_key: Sequence[str], version: str = "updated_on"
 ) -> DataFrame:

@@ -8,10 +8,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from lakeledger.contracts import DOCUMENT_CONTRACTS, RAW, Contract, enforce, mark_broken
+from lakeledger.contracts import DOCUMENT_CONTRACTS, RAW, Contract, conform, enforce, mark_broken
 from lakeledger.functions import run_stamp, run_time, trim_text_columns, utc
 from lakeledger.operators.documents import inquiries, shred_documents
-from lakeledger.operators.versions import dedup_batch, of_version, unseen_rows
+from lakeledger.operators.versions import dedup_batch, of_batch, of_version, unseen_rows
 from lakeledger.sinks.tables import append_table, overwrite_table
 from lakeledger.sources.json import read_documents
 
@@ -53,6 +53,8 @@ def load_versioned(
     run that stopped half-way is completed by running it again. One writer per
     target at a time. ``run_version`` is the one version that all rows of this
     run carry, when it is known; only stored rows of that version are read.
+    Otherwise the span of the batch's versions and a filter of its keys keep
+    the rest of the target out of the join (``of_batch``).
     """
     trimmed = trim_text_columns(work)
     seen = Observation()
@@ -70,6 +72,8 @@ def load_versioned(
     # Usually nothing of this run is stored yet: then there is nothing to join
     # with, and the new rows need no shuffle.
     if not final.limit(1).isEmpty():
+        if run_version is None:
+            final = of_batch(final, conform(trimmed, contract), contract.primary_key)
         fresh = unseen_rows(fresh, final, contract.primary_key)
     if dedup_within_batch:
         fresh = dedup_batch(fresh, contract.primary_key)

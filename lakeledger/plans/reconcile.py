@@ -30,7 +30,7 @@ from lakeledger.operators.layers import (
 )
 from lakeledger.operators.raw_counts import raw_counts_with_broken
 from lakeledger.session import scratch_path
-from lakeledger.sinks.reports import write_anomalies, write_ledger, write_report
+from lakeledger.sinks.reports import REPORT_KEYS, write_anomalies, write_ledger, write_report
 from lakeledger.sinks.tables import overwrite_table, register_partitions
 from lakeledger.sources.json import read_control_dates
 from lakeledger.sources.layers import (
@@ -270,10 +270,10 @@ def resolve_work(
     else:
         day_rows = spark.createDataFrame([(d,) for d in sorted(set(dates))], "event_date string")
         wanted = dates_by_survey(day_rows, configs)
+    every = [(r[0], r[1]) for r in wanted.select("event_date", "survey_name").collect()]
     todo = wanted.filter(F.col("event_date").isNotNull())
     if dates is None or options.skip_done_on_override:
-        todo = skip_done(todo, read_ledger(spark, paths.ledger))
-    every = [(r[0], r[1]) for r in wanted.select("event_date", "survey_name").collect()]
+        todo = skip_done(todo, read_ledger(spark, paths.ledger, {d for d, _ in every if d is not None}))
     do = [(r[0], r[1]) for r in todo.select("event_date", "survey_name").collect()]
     done = set(do)
     return do, [item for item in every if item not in done]
@@ -512,8 +512,9 @@ def run_reconciliation(
             items = [i for i in items if i[1] not in bad]
             own = {survey: layers for survey, layers in own.items() if survey not in bad}
 
-    if options.report_table and any(row["status"] == RECONCILED for row in log):
-        register_partitions(spark, options.report_table)
+    if options.report_table:
+        written = [{k: r[k] for k in REPORT_KEYS} for r in log if r["status"] == RECONCILED]
+        register_partitions(spark, options.report_table, written)
     failures = sum(1 for row in log if row["status"] == FAILED)
     if failures:
         raise ReconciliationError(f"{failures} reconciliation(s) failed", log)

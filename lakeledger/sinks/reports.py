@@ -5,13 +5,18 @@ The partition columns are in the path only, never in the body.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import time
+import uuid
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeledger.contracts import LEDGER, conform
 from lakeledger.operators.layers import GROUP, ID
-from lakeledger.sinks.tables import write_partitions
-from lakeledger.sources.layers import read_ledger
+from lakeledger.sinks.tables import delete_files, move_file, write_partitions
+from lakeledger.sources.layers import COMMITTED, PARTITION, data_files, date_folders, newest_entries
 
 REPORT_KEYS = ("event_date", "survey_name")
 
@@ -65,15 +70,47 @@ def ledger_rows(summary: DataFrame, report_path: str) -> DataFrame:
 
 
 def write_ledger(summary: DataFrame, path: str, report_path: str) -> None:
-    """Upsert by (date, survey). Written last.
+    """Upsert by (date, survey), also by several writers at once. Written last.
 
-    A folder holds one date: its other rows are read and written again with
-    the new ones. The old folders are replaced when the job commits, after all
-    has been read. One writer at a time.
+    A run adds entries and replaces none: they are staged in a folder of the
+    run, which readers don't see, and each file is moved under a name of its
+    own into the folder of its date, where the newest commit of a key counts
+    (``read_ledger``). The dates of the run are then compacted. Only their
+    folders are read.
     """
-    rows = ledger_rows(summary, report_path)
-    old = read_ledger(summary.sparkSession, path)
-    others = old.join(rows.select("event_date").distinct(), "event_date", "left_semi").join(
-        rows.select("event_date", "survey_type"), ["event_date", "survey_type"], "left_anti"
-    )
-    write_partitions(conform(others, LEDGER).unionByName(rows), path, ("event_date",), row_per_key=True)
+    spark = summary.sparkSession
+    commit = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
+    rows = ledger_rows(summary, report_path).withColumn(COMMITTED, F.lit(commit))
+    dates = _publish(spark, rows, path, commit)
+    compact_ledger(spark, path, dates)
+
+
+def compact_ledger(spark: SparkSession, path: str, dates: Iterable[str]) -> None:
+    """One row per key in the folders of these dates.
+
+    The files that are there are read, their newest entries published in new
+    files, and then exactly those files deleted that were read. Entries keep
+    the time of their commit. So whatever another writer adds meanwhile stays
+    and counts, two compactions at once leave equal entries twice at most, and
+    one that stops half-way has lost nothing.
+    """
+    found = [data_files(spark, f"{path}/{PARTITION}={d}") for d in sorted(set(dates))]
+    old = [file for files in found if len(files) > 1 for file in files]
+    if not old:
+        return
+    schema = T.StructType([*LEDGER.schema.fields, T.StructField(COMMITTED, T.StringType())])
+    entries = spark.read.schema(schema).option("basePath", path).parquet(*old)
+    _publish(spark, newest_entries(entries), path, f"{time.time_ns():020d}-{uuid.uuid4().hex}")
+    delete_files(spark, old)
+
+
+def _publish(spark: SparkSession, rows: DataFrame, path: str, name: str) -> list[str]:
+    """Write ``rows`` aside and move the files into the folders of their dates, which are returned."""
+    staged = f"{path}/_staging-{name}"
+    write_partitions(rows, staged, (PARTITION,), row_per_key=True)
+    dates = date_folders(spark, staged)
+    for date in dates:
+        for number, file in enumerate(data_files(spark, f"{staged}/{PARTITION}={date}")):
+            move_file(spark, file, f"{path}/{PARTITION}={date}/{name}-{number}.parquet")
+    delete_files(spark, [staged])
+    return dates

@@ -77,6 +77,23 @@ def write_csv(df: DataFrame, destination: str, run_ts) -> str:
     return path
 
 
+def move_file(spark: SparkSession, source: str, target: str) -> None:
+    """Move one file to a place where nothing is yet; its folder is made if it has to be."""
+    hadoop = spark._jvm.org.apache.hadoop
+    path = hadoop.fs.Path(target)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path.getParent())
+    if files.exists(path) or not files.rename(hadoop.fs.Path(source), path):
+        raise FileExistsError(f"could not move {source} to {target}")
+
+
+def delete_files(spark: SparkSession, paths: Sequence[str]) -> None:
+    """Delete files or folders; what is gone already is no error."""
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 # Bytes that are copied at a time where files have to be joined by copying.
 _COPY = 4 << 20
 
@@ -144,6 +161,29 @@ def write_single_csv(header: str, lines: DataFrame, destination: str, run_ts) ->
     return path
 
 
-def register_partitions(spark: SparkSession, table: str) -> None:
-    """Make partitions that were written to a table's folder visible to its readers."""
-    spark.catalog.recoverPartitions(table)
+# Partitions that one statement adds.
+_ADDED = 100
+
+
+def register_partitions(
+    spark: SparkSession, table: str, partitions: Sequence[dict[str, str]] | None = None
+) -> None:
+    """Make partitions that were written to a table's folder visible to its readers.
+
+    ``partitions`` names those of the run, each as column to value; they are
+    added by name, and nothing else of the table is looked at. Without names
+    the whole folder is searched.
+    """
+    if partitions is None:
+        spark.catalog.recoverPartitions(table)
+        return
+
+    def text(value: str) -> str:
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    specs = [
+        f"PARTITION ({', '.join(f'`{column}` = {text(value)}' for column, value in key.items())})"
+        for key in partitions
+    ]
+    for start in range(0, len(specs), _ADDED):
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(specs[start : start + _ADDED])}")

@@ -25,6 +25,8 @@ RAW_FIELDS = {
     "Invitation Date": "invitation_date",
 }
 PARTITION = "event_date"
+# Column of the ledger's files that orders the entries of one key.
+COMMITTED = "committed_at"
 
 
 def survey_config(spark: SparkSession, configs: list[dict]) -> DataFrame:
@@ -249,13 +251,33 @@ def read_raw_surveys(
     )
 
 
-def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """Finished work, one row per date and survey; empty before the first run."""
+def ledger_entries(spark: SparkSession, path: str, dates: Iterable[str] | None = None) -> DataFrame:
+    """Every entry of the ledger with the time of its commit; of the folders of the given dates only."""
+    schema = T.StructType([*LEDGER.schema.fields, T.StructField(COMMITTED, T.StringType())])
+    paths = _wanted(spark, path, dates)
+    if not paths:
+        return spark.createDataFrame([], schema)
     return _load_or_empty(
-        spark, lambda: spark.read.schema(LEDGER.schema).parquet(path), LEDGER.schema
+        spark, lambda: spark.read.schema(schema).option("basePath", path).parquet(*paths), schema
     )
 
 
+def newest_entries(entries: DataFrame) -> DataFrame:
+    """The entry of last commit per date and survey, ``COMMITTED`` included."""
+    keys = ("event_date", "survey_type")
+    rest = [c for c in LEDGER.names if c not in keys]
+    newest = entries.groupBy(*keys).agg(F.max(F.struct(COMMITTED, *rest)).alias("_entry"))
+    return newest.select(*keys, "_entry.*").select(*LEDGER.names, COMMITTED)
+
+
+def read_ledger(spark: SparkSession, path: str, dates: Iterable[str] | None = None) -> DataFrame:
+    """Finished work, one row per date and survey; empty before the first run.
+
+    With ``dates`` only their folders are listed and read.
+    """
+    return newest_entries(ledger_entries(spark, path, dates)).drop(COMMITTED)
+
+
 def child_folders(spark: SparkSession, folder: str) -> list[str]:
     """Names of the folders one level below, whatever lies in them; none if there is no such folder."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
@@ -265,6 +287,16 @@ def child_folders(spark: SparkSession, folder: str) -> list[str]:
     return sorted(s.getPath().getName() for s in files.listStatus(path) if s.isDirectory())
 
 
+def data_files(spark: SparkSession, folder: str) -> list[str]:
+    """Files of one folder that a reader takes; none if there is no such folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return []
+    names = [s.getPath().getName() for s in files.listStatus(path) if s.isFile()]
+    return [f"{folder}/{name}" for name in sorted(names) if name[0] not in "._"]
+
+
 def date_folders(spark: SparkSession, folder: str) -> list[str]:
     """Dates of a layer, sorted, from one listing of its folder: no file is looked at."""
     start = f"{PARTITION}="

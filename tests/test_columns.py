@@ -28,8 +28,8 @@ def test_labels(spark):
         "Delivery-Thankyou": "Delivery",
         "RefundRequestThankYou": "RefundRequest",
         "NewAddress-ThankYou": "NewAddress",
-        "ChangeRatePlan": "ChangeRatePlan",
-        "Rate Comparison": "Rate Comparison",
+        "MeterReading": "MeterReading",
+        "Parcel Tracking": "Parcel Tracking",
         "A - Thank You ": "A ",
         "ThankYou": "",
         None: None,

@@ -1,4 +1,5 @@
 import json
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta, timezone
 from pathlib import Path
 
@@ -17,12 +18,15 @@ from lakeledger.plans.reconcile import (
 )
 from lakeledger.operators.layers import missing_ids, missing_records, reason_counts
 from lakeledger.operators.raw_counts import raw_counts
-from lakeledger.sinks.reports import write_anomalies
+from lakeledger.contracts import LEDGER
+from lakeledger.sinks import reports
+from lakeledger.sinks.reports import compact_ledger, write_anomalies, write_ledger
 from lakeledger.sources.json import read_control_dates
 from lakeledger.sources.layers import (
     list_event_dates,
     partition_has_data,
     read_layer,
+    read_ledger,
     read_quarantine,
     read_raw_surveys,
     survey_config,
@@ -480,3 +484,66 @@ def test_run_stamps_are_utc():
     zoned = datetime(2026, 1, 1, tzinfo=timezone(timedelta(hours=5)))
     assert run_stamp(zoned) == "20251231T190000Z"
     assert run_stamp(datetime(2026, 1, 1)) == "20260101T000000Z"
+
+
+def ledger_summary(spark, rows, stamp):
+    """Summary rows (day, survey, raw count)."""
+    columns = "event_date string, survey_name string, raw_count bigint"
+    found = spark.createDataFrame(rows, columns)
+    for c in LEDGER.columns:
+        if c.name not in (*found.columns, "survey_type", "report_path"):
+            found = found.withColumn(c.name, F.lit(stamp if c.name == "generated_at" else None).cast(c.type))
+    return found
+
+
+def ledger_of(spark, path, dates=None):
+    return {(r["event_date"], r["survey_type"]): r["raw_count"] for r in read_ledger(spark, path, dates).collect()}
+
+
+def test_two_ledger_writers_lose_nothing(spark, folder):
+    """Both write the same date at the same time, again and again."""
+    path = f"{folder}/ledger"
+
+    def write(who):
+        for n in range(3):
+            write_ledger(ledger_summary(spark, [(DAY, who, n), (DAY, f"{who}{n}", n)], "now"), path, "report")
+
+    with ThreadPoolExecutor(2) as pool:
+        for done in [pool.submit(write, "A"), pool.submit(write, "B")]:
+            done.result()
+    assert ledger_of(spark, path) == {(DAY, k): n for w in "AB" for k, n in [(w, 2), *[(f"{w}{n}", n) for n in range(3)]]}
+    compact_ledger(spark, path, [DAY])
+    assert spark.read.parquet(path).count() == 8
+    assert [p.name for p in Path(path).iterdir()] == [f"event_date={DAY}"]
+
+
+def test_entry_added_during_a_compaction(spark, folder, monkeypatch):
+    """It stays, and counts against older entries that the compaction has written after it."""
+    path = f"{folder}/ledger"
+    monkeypatch.setattr(reports, "compact_ledger", lambda *_: None)
+    write_ledger(ledger_summary(spark, [(DAY, "A", 1), (DAY, "B", 1)], "z"), path, "report")
+    write_ledger(ledger_summary(spark, [(DAY, "B", 2)], "a"), path, "report")
+    read = reports.newest_entries
+
+    def meanwhile(entries):
+        write_ledger(ledger_summary(spark, [(DAY, "A", 3)], "a"), path, "report")
+        return read(entries)
+
+    monkeypatch.setattr(reports, "newest_entries", meanwhile)
+    compact_ledger(spark, path, [DAY])
+    assert ledger_of(spark, path) == {(DAY, "A"): 3, (DAY, "B"): 2}
+
+
+def test_ledger_reads_the_wanted_dates_only(spark, folder):
+    path = f"{folder}/ledger"
+    days = [f"2026-01-{d:02}" for d in range(1, 21)]
+    write_ledger(ledger_summary(spark, [(d, "A", 1) for d in days], "now"), path, "report")
+    found = read_ledger(spark, path, ["2026-01-03", "2026-01-04", "2027-01-01"])
+    assert {f.split("event_date=")[1][:10] for f in found.inputFiles()} == {"2026-01-03", "2026-01-04"}
+    assert ledger_of(spark, path, ["2026-01-03"]) == {("2026-01-03", "A"): 1}
+    assert read_ledger(spark, f"{folder}/nothing", ["2026-01-03"]).count() == 0
+    # A table of the time before entries had a commit time.
+    old = spark.read.parquet(path).drop("committed_at").filter("event_date = '2026-01-05'").withColumn("raw_count", F.lit(9).cast("bigint"))
+    rows = spark.createDataFrame(old.collect(), old.schema)
+    rows.write.partitionBy("event_date").mode("append").parquet(path)
+    assert ledger_of(spark, path, ["2026-01-05"]) == {("2026-01-05", "A"): 1}

@@ -16,6 +16,7 @@ from lakeledger.contracts import (
 )
 from lakeledger.functions import run_time
 from lakeledger.operators.quality import date_coverage, key_duplicates, key_orphans, populated_share
+from lakeledger.operators.versions import of_batch, unseen_rows
 from lakeledger.operators.survey_counts import daily_counts, survey_summary
 from lakeledger.plans.program_report import (
     PROGRAM_REPORT,
@@ -260,3 +261,46 @@ def test_quality_reports(spark):
     assert [tuple(r) for r in key_duplicates(keys, ["k"]).collect()] == [(1, 2)]
     parents = spark.createDataFrame([(2,), (2,)], "p int")
     assert [tuple(r) for r in key_orphans(keys, parents, ["k"], ["p"]).collect()] == [(1, 2)]
+
+
+def test_key_filter_leaves_what_may_match(spark):
+    """Every stored row of the batch, hardly another, and no shuffle of the stored rows before the filter."""
+    final = spark.range(20_000).select(
+        F.col("id").alias("k"), F.when(F.col("id") % 7 > 0, F.col("id").cast("string")).alias("s"),
+        F.timestamp_add("MINUTE", F.col("id").cast("int"), F.lit("2026-01-01").cast("timestamp_ntz")).alias("updated_on"),
+    )
+    batch = final.filter("k % 100 = 3").unionByName(final.filter("k < 20").withColumn("k", F.lit(None).cast("bigint")))
+    keys = ["k", "s"]
+    want = {r["k"] for r in final.filter("k % 100 = 3 and s is not null").collect()}
+    found = [r["k"] for r in of_batch(final, batch, keys).collect()]
+    assert want <= set(found) and len(found) == len(set(found)) <= len(want) + 2
+    # A filter that is far too small lets more pass, and never fewer.
+    assert want <= {r["k"] for r in of_batch(final, batch, keys, bits=64).collect()}
+    assert of_batch(final, batch.limit(0), keys).count() == 0
+    plan = unseen_rows(batch, of_batch(final, batch, keys), keys)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("BroadcastHashJoin") >= 1
+    # The span of versions is in the plan as constants.
+    assert "2026-01-01 00:00:00" in plan
+    all_rows = final.unionByName(final.filter("k % 100 = 3").withColumn("updated_on", F.lit("2027-01-01").cast("timestamp_ntz")))
+    left = unseen_rows(all_rows, of_batch(final, all_rows, keys), keys)
+    assert left.count() == 200 + final.filter("s is null").count()
+
+
+def test_only_the_partitions_of_a_run_are_registered(spark, folder, monkeypatch):
+    """A thousand old partitions that the table doesn't know stay unknown; those named are added once."""
+    table = "report_of_runs"
+    spark.sql(f"CREATE TABLE {table} (n int, event_date string, survey_name string) USING json PARTITIONED BY (event_date, survey_name) LOCATION '{folder}/report'")
+    try:
+        for day in range(1000):
+            (Path(folder) / "report" / f"event_date=1990-{day}" / "survey_name=OLD").mkdir(parents=True)
+        new = [("2026-05-11", "A'B"), ("2026-05-12", "C=D")]
+        rows = spark.createDataFrame([(1, *key) for key in new], "n int, event_date string, survey_name string")
+        rows.write.partitionBy("event_date", "survey_name").mode("append").json(f"{folder}/report")
+        monkeypatch.setattr(type(spark.catalog), "recoverPartitions", None)
+        for _ in range(2):
+            register_partitions(spark, table, [{"event_date": d, "survey_name": s} for d, s in new])
+        assert spark.sql(f"SHOW PARTITIONS {table}").count() == 2
+        assert {(r["event_date"], r["survey_name"]) for r in spark.table(table).collect()} == set(new)
+        register_partitions(spark, table, [])
+    finally:
+        spark.sql(f"DROP TABLE {table}")

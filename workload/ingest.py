@@ -13,6 +13,7 @@ from lakeledger.contracts import (
     Contract,
     split_rejects,
     violation_counts,
+    with_load_ts,
 )
 from lakeledger.functions import run_time, trim_text_columns
 from lakeledger.operators.documents import (
@@ -507,6 +508,52 @@ def final_after_two_runs(spark, sf_dir):
     return spark.read.parquet(target)
 
 
+LINES = Contract(
+    "lines_final",
+    (
+        ColumnSpec("l_orderkey", "bigint", nullable=False),
+        ColumnSpec("l_linenumber", "bigint", nullable=False),
+        ColumnSpec("l_quantity", "double"),
+        ColumnSpec("updated_on", "timestamp_ntz", nullable=False),
+        ColumnSpec("load_ts", "timestamp_ntz", nullable=False),
+    ),
+    primary_key=("l_orderkey", "l_linenumber"),
+)
+
+
+@query(
+    "versioned_append_unknown_version",
+    """
+WITH l AS (
+  SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_quantity, l_shipdate AS updated_on, l_linestatus
+  FROM lineitem
+), f AS (SELECT * FROM l WHERE l_linestatus = 'F'),
+b AS (
+  SELECT * REPLACE (updated_on + INTERVAL 1 DAY AS updated_on) FROM f
+  UNION ALL SELECT * FROM l WHERE l_linestatus <> 'F' AND updated_on >= TIMESTAMP '1997-01-01'
+)
+SELECT * EXCLUDE (l_linestatus), TIMESTAMP '2026-01-01' AS load_ts FROM f
+UNION ALL
+SELECT * EXCLUDE (l_linestatus), TIMESTAMP '2026-01-02' FROM b
+WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.l_orderkey = b.l_orderkey
+                  AND f.l_linenumber = b.l_linenumber AND f.updated_on = b.updated_on)""",
+)
+def versioned_append_unknown_version(spark, sf_dir):
+    """Batches whose rows carry many versions; the second holds stored rows, later versions of them and new rows.
+
+    The load time is the column's default: batches that lack it get that of
+    their run.
+    """
+    lines = table(spark, sf_dir, "lineitem").withColumn("updated_on", F.col("l_shipdate").cast("timestamp_ntz"))
+    first = lines.filter("l_linestatus = 'F'")
+    later = first.withColumn("updated_on", F.col("updated_on") + F.expr("interval 1 day"))
+    second = first.unionByName(later).unionByName(lines.filter("l_linestatus <> 'F' and l_shipdate >= '1997-01-01'"))
+    target = scratch_path(spark, "lines-final")
+    for day, batch in ((1, first), (2, second), (2, second)):
+        load_versioned(spark, with_load_ts(batch, run_time(datetime(2026, 1, day))), target, LINES)
+    return spark.read.parquet(target)
+
+
 @query(
     "latest_version",
     """

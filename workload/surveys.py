@@ -39,7 +39,7 @@ from lakeledger.plans.reconcile import (
 from lakeledger.plans.survey_counts import write_daily_counts
 from lakeledger.session import scratch_path
 from lakeledger.sinks.reports import write_anomalies, write_ledger, write_report
-from lakeledger.sinks.tables import write_partitions, write_staged
+from lakeledger.sinks.tables import overwrite_table, write_partitions, write_staged
 from lakeledger.sources.json import read_control_dates
 from lakeledger.sources.layers import (
     child_folders,
@@ -48,6 +48,7 @@ from lakeledger.sources.layers import (
     list_event_dates,
     partition_has_data,
     read_layer,
+    read_ledger,
     survey_config,
 )
 from workload.base import day_text, query, table
@@ -442,10 +443,12 @@ def reconcile_live_job(spark, sf_dir):
     try:
         options = Options(quarantine_fmt="parquet", report_table=report)
         run_reconciliation(spark, paths, CONFIGS, NOW, options=options)
-        rows = spark.table(report).collect()
+        # Kept before the table goes.
+        kept = f"{paths.work}-shown"
+        overwrite_table(spark.table(report), kept)
     finally:
         spark.sql(f"DROP TABLE {report}")
-    return spark.createDataFrame(rows, REPORT_SCHEMA)
+    return spark.read.schema(REPORT_SCHEMA).parquet(kept)
 
 
 @query(
@@ -695,11 +698,9 @@ def ledger_upsert(spark, sf_dir):
     write_ledger(summary, path, "report")
     again = summary.filter("pipeline_status = 'ACTIVE'")
     write_ledger(again.withColumn("generated_at", F.lit("second")), path, "report/")
-    schema = (
-        "raw_count bigint, curated_count bigint, pipeline_status string, report_path string,"
-        " generated_at string, event_date string, survey_type string"
+    return read_ledger(spark, path).select(
+        "raw_count", "curated_count", "pipeline_status", "report_path", "generated_at", "event_date", "survey_type"
     )
-    return spark.read.schema(schema).parquet(path)
 
 
 @query(
