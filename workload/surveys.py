@@ -362,13 +362,15 @@ def _write_layers(spark, sf_dir, paths: Paths, nested: bool = False) -> None:
         keys = (*keys, "half")
         curated = curated.withColumn("half", F.floor(F.hour("ts") / 12))
     layer = ["contact_record_id", *keys]
-    write_partitions(curated.select(*layer), paths.curated, keys)
-    write_partitions(scored(curated).select(*layer), paths.sentiment, keys)
+    # Hundreds of small partitions: their files are opened by all tasks, not by one.
+    write_partitions(curated.select(*layer), paths.curated, keys, row_per_key=True)
+    write_partitions(scored(curated).select(*layer), paths.sentiment, keys, row_per_key=True)
     write_partitions(
         removed(curated).select("removal_reason", *layer),
         paths.quarantine,
         keys,
-        *(("parquet",) if nested else ("csv",)),
+        "parquet" if nested else "csv",
+        row_per_key=True,
         **({} if nested else {"header": "true"}),
     )
     # Raw deliveries are JSON arrays: a file per date and hash group. Even a date
