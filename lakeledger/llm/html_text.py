@@ -2,10 +2,9 @@
 
 The subtree of every element is hashed by its tags and text. Hashes are counted
 per host in Spark; subtrees that recur on several pages of their host are the
-site's template and are deleted. In what a page marks as its article, small
-blocks are template where they recur in different articles; copies of an
-article recur as well, but with the same article around. What elements say
-themselves not to be text of the article goes too.
+site's template and are deleted. What a page marks as its article is its text
+whole, whatever recurs in it: sentences and copies of articles recur as well.
+What elements say themselves not to be text of the article goes too.
 """
 
 from __future__ import annotations
@@ -21,7 +20,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeledger.llm.common import durable
-from lakeledger.llm.passage_dedup import rolling, word_hashes
 
 # Elements without content, and elements whose content is no markup (fixed values of HTML).
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -59,12 +57,8 @@ MODIFIERS = frozenset("no not without with has have hide hides show shows is".sp
 # What of NOT_WORDS and NOT_TEXT an article may use for its own head.
 IN_ARTICLE = frozenset(("header", "banner", "masthead"))
 
-# Blocks in a main element that may be template: of so many words at most, and no title, cell, item or code.
-SMALL = 30
-COUNTED_INSIDE = BLOCKS - frozenset("h1 h2 h3 h4 h5 h6 hr caption figcaption dd dt li pre tbody td tfoot th thead tr".split())
-# Mark of digests in main elements: their lowest bit, which other digests don't have.
-INSIDE = 1
-WIDTH = 5
+# Digests of pages to be cleaned up to which they are broadcast (some 20 MB); beyond, the pages are shuffled to them.
+BROADCAST_DIGESTS = 1_000_000
 
 _TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)"
@@ -157,7 +151,7 @@ def hash_subtrees(root: Node) -> None:
             own = xxhash.xxh64(node.tag)
             for part in node.parts:
                 own.update(part.digest.to_bytes(8, "little") if isinstance(part, Node) else " ".join(part.split()))
-            node.digest = own.intdigest() & ~INSIDE
+            node.digest = own.intdigest()
 
 
 def says_no(node: Node, inside: bool) -> bool:
@@ -232,52 +226,35 @@ def find_main(root: Node) -> None:
                 x.has_main = True
 
 
-def candidates(root: Node) -> tuple[set[int], int, int]:
-    """Digests of the subtrees that may be template, and two digests of the main elements' text: exact, and a MinHash.
+def candidates(root: Node) -> set[int]:
+    """Digests of the subtrees with text that may be template: all outside main elements that hold none.
 
-    Outside main elements that is every subtree with text. In them it is small
-    blocks, their digests marked by ``INSIDE``. What holds a main element is
-    none of them.
+    Sets ``has_main`` of the root.
     """
     hash_subtrees(root)
     find_main(root)
     found: set[int] = set()
-    texts: list[str] = []
-    mains: list[Node] = []
-    # Number of words of each subtree, up to one more than SMALL.
-    sizes: dict[int, int] = {}
-    for node, enters, inside in walk(root):
+    filled: dict[int, bool] = {}
+    for node, enters, _ in walk(root):
         if not enters:
-            own = sum(sizes[id(x)] if isinstance(x, Node) else len(x.split(None, SMALL + 1)) for x in node.parts)
-            sizes[id(node)] = 0 if node.tag in RAW else min(SMALL + 1, own)
-    stack = [(root, False)]
+            own = any(filled[id(x)] if isinstance(x, Node) else x.strip() for x in node.parts)
+            filled[id(node)] = bool(own) and node.tag not in RAW
+    stack = [root]
     while stack:
-        node, inside = stack.pop()
-        size = sizes[id(node)]
-        if not size:
+        node = stack.pop()
+        if not filled[id(node)] or node.tag in MAIN and node.has_main:
             continue
-        if node.tag in MAIN and node.has_main and not inside:
-            mains.append(node)
-            inside = True
-        elif not node.has_main and node.tag not in ("#root", "html", "body"):
-            if not inside:
-                found.add(node.digest)
-            elif size <= SMALL and node.tag in COUNTED_INSIDE:
-                found.add(node.digest ^ INSIDE)
-        stack += [(x, inside) for x in node.parts if isinstance(x, Node)]
-    exact = 0
-    for node in mains:
-        exact = xxhash.xxh64_intdigest(exact.to_bytes(8, "little") + node.digest.to_bytes(8, "little"))
-        texts.append(_text(node, set(), True, False))
-    shingles = rolling(word_hashes(" ".join(texts).lower().encode().split()), WIDTH)
-    return found, exact, int(shingles.min()) if len(shingles) else exact
+        if not node.has_main and node.tag not in ("#root", "html", "body"):
+            found.add(node.digest)
+        stack += [x for x in node.parts if isinstance(x, Node)]
+    return found
 
 
 def extract(root: Node, template: set[int]) -> str:
     """Text blocks of the page in order, one per line, without template and other elements that are no text.
 
-    Of a page with main elements only those count. ``template`` has digests,
-    so the tree must be hashed where it is not empty.
+    Of a page with main elements only those count, and all of them.
+    ``template`` has digests, so the tree is hashed where it is not empty.
     """
     if template:
         hash_subtrees(root)
@@ -298,7 +275,7 @@ def _text(root: Node, template: set[int], within: bool, has_main: bool) -> str:
                 blocks[-1].append(part)
         elif part.tag == "br":
             blocks[-1].append(" ")
-        elif not part.has_main and (says_no(part, inside) or part.digest ^ (INSIDE if inside else 0) in template):
+        elif not part.has_main and (says_no(part, inside) or not inside and part.digest in template):
             continue
         else:
             own = inside or part.tag in MAIN and (part.has_main or not has_main)
@@ -315,14 +292,18 @@ def _signed(x: int) -> int:
 
 
 def subtree_hashes(source: Column) -> Column:
-    """What ``candidates`` finds of a page."""
+    """What ``candidates`` finds of a page, and whether it has main elements."""
 
-    @F.arrow_udf("digests array<long>, exact long, around long")
+    @F.arrow_udf("digests array<long>, has_main boolean")
     def of_pages(pages: pa.Array) -> pa.Array:
-        found = [candidates(parse(p.as_py() or "")) for p in pages]
-        digests = pa.array([[_signed(h) for h in x[0]] for x in found], pa.list_(pa.int64()))
-        others = [pa.array([_signed(x[i]) for x in found], pa.int64()) for i in (1, 2)]
-        return pa.StructArray.from_arrays([digests, *others], ["digests", "exact", "around"])
+        digests, mains = [], []
+        for page in pages:
+            root = parse(page.as_py() or "")
+            digests.append([_signed(h) for h in candidates(root)])
+            mains.append(root.has_main)
+        return pa.StructArray.from_arrays(
+            [pa.array(digests, pa.list_(pa.int64())), pa.array(mains, pa.bool_())], ["digests", "has_main"]
+        )
 
     return of_pages(source)
 
@@ -352,38 +333,41 @@ def extract_pages(
     """``pages`` with the column main_text added (one of that name is replaced).
 
     A subtree is template where at least ``least_pages`` pages of its host
-    hold it. In main elements it must stand in as many different ones, and
-    these must be half at least of those it stands in, near copies being one.
-    Null and empty pages have empty text. Pages of one id are one page for the
-    counts and each get their text; null ids and urls are values like others
-    (a null url has the host ''). An empty table gives an empty result.
+    hold it outside their main elements. It is deleted from pages without main
+    elements; of the others the main elements are the text, whole. Null and
+    empty pages have empty text. Pages of one id are one page for the counts
+    and each get their text; null ids and urls are values like others (a null
+    url has the host ''). Pages of any length are parsed as a whole, each by
+    one task, and a host of any size is only counted. An empty table gives an
+    empty result.
+
+    Counts are summed before the shuffle. Pages meet their template digests by
+    a broadcast up to BROADCAST_DIGESTS of them, beyond by a shuffle with the
+    same rows.
     """
     hosts = pages.select(F.col(page_id).alias("id"), host_of(url).alias("host"), F.col(source).alias("page"))
     told = durable(hosts.select("host", "id", subtree_hashes(F.col("page")).alias("told")))
-    seen = told.select("host", "id", "told.exact", "told.around", F.explode("told.digests").alias("digest"))
-    # Counts are summed before the shuffle. Only what recurs is then looked at page by page.
-    often = durable(
-        seen.groupBy(F.col("host").alias("t_host"), F.col("digest").alias("t_digest"))
-        .agg(F.count("*").alias("n")).where(F.col("n") >= least_pages).select("t_host", "t_digest")
+    # Rows of an id that repeats count its different digests once; all others are counted as they are.
+    again = told.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("id").alias("again_id"))
+    marked = told.join(again, told["id"].eqNullSafe(F.col("again_id")), "left_semi")
+    rest = told.join(again, told["id"].eqNullSafe(F.col("again_id")), "left_anti")
+    digest = F.explode("told.digests").alias("digest")
+    once = marked.select("host", digest, "id").distinct().select("host", "digest")
+    counts = rest.select("host", digest).unionByName(once).groupBy("host", "digest").agg(F.count("*").alias("n"))
+    template = durable(
+        counts.where(F.col("n") >= least_pages).select(F.col("host").alias("t_host"), F.col("digest").alias("t_digest"))
     )
+    # Only pages without main elements are cleaned.
+    seen = told.where(~F.col("told.has_main")).select("host", "id", digest)
     same = (F.col("host") == F.col("t_host")) & (F.col("digest") == F.col("t_digest"))
-    kept = durable(seen.join(often, same, "left_semi"))
-    by_id = kept.select("host", "digest", "id").distinct().groupBy("host", "digest").agg(F.count("*").alias("n_pages"))
-    # Different main elements around a subtree, and their number without near copies.
-    by_exact = kept.groupBy("host", "digest", "exact").agg(F.min("around").alias("around"))
-    by_around = by_exact.groupBy("host", "digest", "around").agg(F.count("*").alias("n"))
-    arounds = by_around.groupBy(F.col("host").alias("a_host"), F.col("digest").alias("a_digest")).agg(
-        F.count("*").alias("n_around"), F.sum("n").alias("n_exact")
-    )
-    # The lowest bit of a digest tells whether it stands in a main element.
-    inside = F.col("digest").bitwiseAND(F.lit(1)) == 1
-    template = durable(
-        by_id.join(arounds, (F.col("host") == F.col("a_host")) & (F.col("digest") == F.col("a_digest")))
-        .where(F.col("n_pages") >= least_pages)
-        .where(~inside | (F.col("n_around") >= least_pages) & (F.col("n_around") * 2 >= F.col("n_exact")))
-        .select(F.col("host").alias("t_host"), F.col("digest").alias("t_digest"))
+    held = durable(
+        seen.join(template, same, "left_semi").groupBy(F.col("id").alias("held_id")).agg(F.collect_set("digest").alias("held_digests"))
     )
-    held = kept.join(template, same, "left_semi").groupBy(F.col("id").alias("held_id")).agg(F.collect_set("digest").alias("held_digests"))
+    n = held.agg(F.sum(F.size("held_digests"))).first()[0] or 0
+    if n <= BROADCAST_DIGESTS:
+        held = F.broadcast(held)
     names = [c for c in pages.columns if c != "main_text"]
-    joined = pages.join(held, pages[page_id].eqNullSafe(F.col("held_id")), "left")
-    return joined.select(*(pages[c] for c in names), main_text(pages[source], F.col("held_digests")).alias("main_text"))
+    found = F.struct(*[pages[c] for c in names]).alias("kept")
+    named = pages.select(found, pages[page_id].alias("page_key"), pages[source].alias("page_source"))
+    joined = named.join(held, F.col("page_key").eqNullSafe(F.col("held_id")), "left")
+    return joined.select("kept.*", main_text(F.col("page_source"), F.col("held_digests")).alias("main_text"))

@@ -18,7 +18,7 @@ def plain(page):
     return "\n".join(x for x in parts if x)
 
 
-@pytest.mark.parametrize("sf", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
+@pytest.mark.parametrize("sf", ["/root/testdata/sf0.001", "/root/testdata/sf0.01", "/root/testdata/sf0.1"])
 def test_query(spark, sf):
     want = {i: (u, plain(p)) for i, u, p in h.rows_of("pages", "page_id, url, html", sf)}
     rows = QUERIES["op7_html_extraction"](spark, sf).collect()
@@ -83,17 +83,27 @@ def test_template_by_recurrence(spark):
     assert html_text.extract_pages(df.where("false")).count() == 0
 
 
-def test_template_inside_articles(spark):
-    def page(k, body, note="<p>Share this with a friend</p>"):
+@pytest.mark.parametrize("most", [0, 10**6])
+def test_articles_are_whole(spark, monkeypatch, most):
+    """What recurs in articles stays; pages of a host without main elements lose what recurs; clashing columns."""
+    monkeypatch.setattr(html_text, "BROADCAST_DIGESTS", most)
+
+    def page(k, body, note="<p>A sentence that closes every article</p>"):
         return f"<html><body><p>Top</p><article><h1>Title</h1><p>{body}</p>{note}</article></body></html>"
 
     words = lambda k: " ".join(f"w{k}x{i}" for i in range(40))
     rows = [(k, f"http://a.example/{k}", page(k, words(k))) for k in range(6)]
-    # One article six times, each time with another word changed, and what recurs on few pages of a large host.
-    copies = [words(90).replace(f"w90x{3 + k} ", f"changed{k} ") for k in range(6)]
-    rows += [(10 + k, f"http://b.example/{k}", page(k, copies[k], "<p>Short last words</p>")) for k in range(6)]
+    # On the same host a page without an article: its top is template by the other pages.
+    rows += [(7, "http://a.example/7", f"<body><p>Top</p><div>{words(7)}</div></body>")]
+    # What recurs on few pages of a large host, and a repeated id that counts once.
     rows += [(100 + k, f"http://c.example/{k}", f"<div>{words(k)}</div>" + "<div>five of sixty</div>" * (k < 5)) for k in range(60)]
-    found = html_text.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string"))
-    want = {k: f"Title\n{words(k)}" for k in range(6)} | {100 + k: words(k) for k in range(60)}
-    want |= {10 + k: f"Title\n{copies[k]}\nShort last words" for k in range(6)}
-    assert {r["page_id"]: r["main_text"] for r in found.collect()} == want
+    rows += [(200, "http://d.example/", "<div>said five times by one page</div><div>own</div>")] * 5
+    rows += [(300, "http://e.example/", "<p>" + "long page " * 200_000 + "</p>")]
+    clash = ["id", "host", "held_id", "held_digests", "told", "digest", "kept", "page_key"]
+    df = spark.createDataFrame([(*r, *clash) for r in rows], "page_id long, url string, html string, " + ", ".join(f"{c} string" for c in clash))
+    found = html_text.extract_pages(df)
+    assert found.columns == [*df.columns, "main_text"]
+    want = {k: f"Title\n{words(k)}\nA sentence that closes every article" for k in range(6)} | {7: words(7)}
+    want |= {100 + k: words(k) for k in range(60)} | {200: "said five times by one page\nown"}
+    want |= {300: ("long page " * 200_000).strip()}
+    assert {r["page_id"]: r["main_text"] for r in found.collect()} == want and found.count() == len(rows)
