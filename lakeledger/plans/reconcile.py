@@ -29,6 +29,7 @@ from lakeledger.operators.layers import (
     unexplained_records,
 )
 from lakeledger.operators.raw_counts import raw_counts_with_broken
+from lakeledger.plans.deliveries import delivery_counts, take_in
 from lakeledger.session import scratch_path
 from lakeledger.sinks.reports import REPORT_KEYS, write_anomalies, write_ledger, write_report
 from lakeledger.sinks.tables import overwrite_table, register_partitions
@@ -212,6 +213,8 @@ class Options:
     skip_done_on_override: bool = True
     # Any white space around survey names is cut, not blanks only.
     all_whitespace: bool = False
+    # Folder of what raw deliveries have said: files are then parsed in one run only.
+    raw_state: str | None = None
     # Table over the report folder: the partitions of a run are made visible in it.
     report_table: str | None = None
 
@@ -469,24 +472,26 @@ def run_reconciliation(
         note(item, SKIPPED)
     days = sorted({d for d, _ in items})
 
-    if items:
+    counted = f"{staging}/raw-counts"
+    if items and options.raw_state:
+        _, broken = take_in(spark, paths.raw, options.raw_state, days, options.all_whitespace)
+        counts = delivery_counts(spark, options.raw_state, days, options.dedup)
+        overwrite_table(counts, counted)
+        per_survey = spark.read.schema(counts.schema).parquet(counted)
+    elif items:
         # One pass over the raw files gives one small row per survey and date.
-        counted = f"{staging}/raw-counts"
         raw = raw_counts_with_broken(
             read_raw_surveys(spark, paths.raw, days), options.dedup, options.all_whitespace
         )
         overwrite_table(raw, counted)
-        per_survey = spark.read.schema(raw.schema).parquet(counted)
-        broken = [
-            r["event_date"]
-            for r in per_survey.filter("is_broken").select("event_date").distinct().collect()
-        ]
+        marked = spark.read.schema(raw.schema).parquet(counted)
+        broken = {r[0] for r in marked.filter("is_broken").select("event_date").distinct().collect()}
+        per_survey = marked.filter("not is_broken").drop("is_broken")
+    if items:
         for item in [i for i in items if i[0] in broken]:
             note(item, FAILED, "unreadable raw file")
         items = [i for i in items if i[0] not in broken]
 
-    if items:
-        per_survey = per_survey.filter("not is_broken").drop("is_broken")
     own: dict[str, _Layers] = {}
     while items:
         try:

@@ -62,7 +62,7 @@ def read_layer(
     contract: Contract = LAYER,
 ) -> DataFrame:
     """Contract columns of a Parquet layer; other files in the folder are ignored."""
-    paths = _wanted(spark, folder, dates)
+    paths = wanted_folders(spark, folder, dates)
     if not paths:
         return spark.createDataFrame([], contract.schema)
     df = _load_or_empty(
@@ -83,7 +83,7 @@ def read_quarantine(
         return read_layer(spark, folder, dates, QUARANTINE)
     if fmt != "csv":
         raise ValueError("fmt is 'csv' or 'parquet'")
-    paths = _wanted(spark, folder, dates)
+    paths = wanted_folders(spark, folder, dates)
     if not paths:
         return spark.createDataFrame([], QUARANTINE.schema)
     df = _load_or_empty(
@@ -127,7 +127,7 @@ def _by_survey(
 
 
 def _all_wanted(spark: SparkSession, folders: dict[str, str], dates: dict[str, list[str]]) -> list[str]:
-    return sorted({path for survey, folder in folders.items() for path in _wanted(spark, folder, dates[survey])})
+    return sorted({path for survey, folder in folders.items() for path in wanted_folders(spark, folder, dates[survey])})
 
 
 def read_layers(
@@ -221,16 +221,17 @@ def _headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
 
 
 def read_raw_surveys(
-    spark: SparkSession, folder: str, dates: Iterable[str] | None = None
+    spark: SparkSession, folder: str, dates: Iterable[str] | None = None, files: list[str] | None = None
 ) -> DataFrame:
     """(raw_survey_name, contact_record_id, invitation_date, event_date, is_broken).
 
-    One read over all files of all dates with a given schema. ``is_broken``
-    marks one row per file (or record) that is not readable as JSON.
+    One read over all files of all dates (or the given files below the folder)
+    with a given schema. ``is_broken`` marks one row per file (or record) that
+    is not readable as JSON.
     """
     fields = ", ".join(f"`{name}` string" for name in RAW_FIELDS)
     schema = f"{fields}, _broken string, {PARTITION} string"
-    paths = _wanted(spark, folder, dates)
+    paths = files if files is not None else wanted_folders(spark, folder, dates)
     df = spark.createDataFrame([], schema) if not paths else _load_or_empty(
         spark,
         lambda: spark.read.schema(schema)
@@ -254,7 +255,7 @@ def read_raw_surveys(
 def ledger_entries(spark: SparkSession, path: str, dates: Iterable[str] | None = None) -> DataFrame:
     """Every entry of the ledger with the time of its commit; of the folders of the given dates only."""
     schema = T.StructType([*LEDGER.schema.fields, T.StructField(COMMITTED, T.StringType())])
-    paths = _wanted(spark, path, dates)
+    paths = wanted_folders(spark, path, dates)
     if not paths:
         return spark.createDataFrame([], schema)
     return _load_or_empty(
@@ -309,7 +310,7 @@ def list_event_dates(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(dates, f"{PARTITION} string").coalesce(1).orderBy(PARTITION)
 
 
-def _wanted(spark: SparkSession, folder: str, dates: Iterable[str] | None) -> list[str]:
+def wanted_folders(spark: SparkSession, folder: str, dates: Iterable[str] | None) -> list[str]:
     """Paths to read: the folder itself, or its folders of the given dates that are there."""
     if dates is None:
         return [folder]

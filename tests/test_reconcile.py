@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeledger.functions import run_stamp
+from lakeledger.plans import deliveries
 from lakeledger.plans import reconcile as reconcile_module
 from lakeledger.plans.reconcile import (
     Options,
@@ -547,3 +548,43 @@ def test_ledger_reads_the_wanted_dates_only(spark, folder):
     rows = spark.createDataFrame(old.collect(), old.schema)
     rows.write.partitionBy("event_date").mode("append").parquet(path)
     assert ledger_of(spark, path, ["2026-01-05"]) == {("2026-01-05", "A"): 1}
+
+
+@pytest.mark.parametrize("dedup", [True, False])
+def test_deliveries_are_parsed_once(spark, paths, folder, monkeypatch, dedup):
+    """Two deliveries in two runs count like one run over both, and the second run reads the new file only."""
+    read = []
+    reader = deliveries.read_raw_surveys
+    monkeypatch.setattr(deliveries, "read_raw_surveys", lambda *a, files: read.append([Path(f).name for f in files]) or reader(*a, files=files))
+    state, options = f"{folder}/state", Options(dedup=dedup, raw_state=f"{folder}/state", skip_done_on_override=False)
+    run_reconciliation(spark, paths, CONFIGS, NOW, dates=[DAY], options=options)
+    assert report_rows(paths.report)[(DAY, "PHONE")]["raw_count"] == (3 if dedup else 4)
+    more = [raw_record("phone survey", "r3", DAY), raw_record("phone survey", "r4", DAY), raw_record("mail survey", "r1", DAY), raw_record("phone survey", None, DAY)]
+    put(f"{paths.raw}/event_date={DAY}/later/three.json", json.dumps(more))
+    put(f"{paths.raw}/event_date=2026-05-12/cut.json", '[{"Survey Name":"phone')
+    with pytest.raises(ReconciliationError) as caught:
+        run_reconciliation(spark, paths, CONFIGS, NOW, dates=[DAY, "2026-05-12"], options=options)
+    assert {(r["event_date"], r["status"]) for r in caught.value.run_log} == {(DAY, "reconciled"), ("2026-05-12", "failed")}
+    run_reconciliation(spark, paths, CONFIGS, NOW, dates=[DAY], options=options)
+    assert [sorted(names) for names in read] == [["one.json", "two.json"], ["cut.json", "three.json"]]
+    whole = {r["raw_survey_name"]: r["raw_count"] for r in raw_counts(read_raw_surveys(spark, paths.raw, [DAY]), dedup).collect()}
+    assert {r["raw_survey_name"]: r["raw_count"] for r in deliveries.delivery_counts(spark, state, [DAY], dedup).collect()} == whole
+    assert report_rows(paths.report)[(DAY, "PHONE")]["raw_count"] == whole["phone survey"]
+    # A run that stops before its list of files has taken in nothing.
+    put(f"{paths.raw}/event_date={DAY}/four.json", json.dumps([raw_record("phone survey", "r7", DAY)]))
+    move = deliveries.move_file
+
+    def stop(spark, source, target):
+        if "/files/" in target:
+            raise OSError("stopped")
+        move(spark, source, target)
+
+    monkeypatch.setattr(deliveries, "move_file", stop)
+    with pytest.raises(OSError, match="stopped"):
+        deliveries.take_in(spark, paths.raw, state, [DAY])
+    assert {r["raw_survey_name"]: r["raw_count"] for r in deliveries.delivery_counts(spark, state, [DAY], dedup).collect()} == whole
+    monkeypatch.setattr(deliveries, "move_file", move)
+    assert deliveries.take_in(spark, paths.raw, state, [DAY]) == (1, set())
+    counts = {r["raw_survey_name"]: r["raw_count"] for r in deliveries.delivery_counts(spark, state, [DAY], dedup).collect()}
+    assert counts == {**whole, "phone survey": whole["phone survey"] + 1}
+    assert deliveries.take_in(spark, f"{folder}/nowhere", state, [DAY]) == (0, set())

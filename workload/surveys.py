@@ -36,6 +36,7 @@ from lakeledger.plans.reconcile import (
     select_surveys,
     skip_done,
 )
+from lakeledger.plans.deliveries import delivery_counts, take_in
 from lakeledger.plans.survey_counts import write_daily_counts
 from lakeledger.session import scratch_path
 from lakeledger.sinks.reports import write_anomalies, write_ledger, write_report
@@ -183,6 +184,29 @@ def raw_count_dedup(spark, sf_dir):
     return raw_counts(deliveries(spark, sf_dir))
 
 
+@query(
+    "raw_count_of_two_runs",
+    f"""WITH {_RAW}
+SELECT event_date, lower(survey_name) || ' survey' AS raw_survey_name, raw_count, TRUE AS deduplicated FROM deduped
+UNION ALL SELECT event_date, lower(survey_name) || ' survey', raw_count, FALSE FROM naive""",
+)
+def raw_count_of_two_runs(spark, sf_dir):
+    """Half of the records are delivered after the first run; the second takes in their files and no others."""
+    root = scratch_path(spark, "two-runs")
+    raw = deliveries(spark, sf_dir)
+    days = [r[0] for r in raw.select("event_date").distinct().collect()]
+    late = F.pmod(F.xxhash64("event_id"), F.lit(2)) == 1
+    numbers = []
+    for at, part in enumerate((raw.filter(~late), raw.filter(late), raw.filter("false"))):
+        _write_deliveries(part, f"{root}/raw", f"window {at}")
+        numbers.append(take_in(spark, f"{root}/raw", f"{root}/state", days)[0])
+    assert numbers[0] > 0 and numbers[1] > 0 and numbers[2] == 0
+    counts = [
+        delivery_counts(spark, f"{root}/state", days, dedup).withColumn("deduplicated", F.lit(dedup)) for dedup in (True, False)
+    ]
+    return counts[0].unionByName(counts[1])
+
+
 @query(
     "missing_ids",
     f"WITH {_LAYERS} SELECT * FROM missing",
@@ -373,9 +397,14 @@ def _write_layers(spark, sf_dir, paths: Paths, nested: bool = False) -> None:
         row_per_key=True,
         **({} if nested else {"header": "true"}),
     )
-    # Raw deliveries are JSON arrays: a file per date and hash group. Even a date
-    # with all records has at most about 30,000 records per group.
-    raw = deliveries(spark, sf_dir)
+    _write_deliveries(deliveries(spark, sf_dir), paths.raw)
+
+
+def _write_deliveries(raw: DataFrame, path: str, window: str | None = None) -> None:
+    """Deliveries as JSON arrays: a file per date and hash group, below a folder of their window if there is one.
+
+    Even a date with all records has at most about 30,000 records per group.
+    """
     groups = int(raw.count() / 30_000) + 1
     record = F.struct(
         F.col("raw_survey_name").alias("Survey Name"),
@@ -387,10 +416,13 @@ def _write_layers(spark, sf_dir, paths: Paths, nested: bool = False) -> None:
         .groupBy("event_date", "part")
         .agg(F.to_json(F.collect_list(record)).alias("value"))
     )
+    keys = ("event_date", "part")
+    if window is not None:
+        files, keys = files.withColumn("window", F.lit(window)), ("event_date", "window", "part")
     # The CSV writer is the text writer that lets the file extension be chosen.
-    files.write.partitionBy("event_date", "part").options(
+    files.write.mode("append").partitionBy(*keys).options(
         header="false", sep="\u0001", quote="\u0002", extension="json"
-    ).csv(paths.raw)
+    ).csv(path)
 
 
 def _job_paths(spark, name: str) -> Paths:
