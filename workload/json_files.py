@@ -118,13 +118,17 @@ def flatten_no_input(spark, sf_dir):
     counted.select("part", value.alias("value")).write.partitionBy("part").options(
         header="false", sep="\u0001", quote="\u0002", extension="json"
     ).csv(broken)
+    orders_of = {"no json here": F.lit(0).cast("bigint"), "broken files": F.coalesce(F.sum("n"), F.lit(0))}
     rows = []
     for name, path in (("no json here", text), ("broken files", broken)):
         found = flatten_json_to_csv(spark, path, scratch_path(spark, "none"), RUN)
-        rows.append((name, found.status, found.files, found.skipped))
-    said = spark.createDataFrame(rows, "input string, status string, files int, skipped bigint")
-    lengths = counted.agg(F.sum("n").alias("orders")).withColumn("input", F.lit("broken files"))
-    return said.join(lengths, "input", "left").withColumn("orders", F.coalesce("orders", F.lit(0)))
+        rows.append(
+            counted.agg(orders_of[name].alias("orders")).select(
+                F.lit(name).alias("input"), F.lit(found.status).alias("status"), F.lit(found.files).alias("files"),
+                F.lit(found.skipped).cast("bigint").alias("skipped"), "orders",
+            )
+        )
+    return rows[0].unionByName(rows[1])
 
 
 def _broken_lines(spark, sf_dir) -> str:
