@@ -15,8 +15,15 @@ from lakeledger.contracts import (
     with_load_ts,
 )
 from lakeledger.functions import run_time
-from lakeledger.operators.quality import date_coverage, key_duplicates, key_orphans, populated_share
-from lakeledger.operators.versions import of_batch, unseen_rows
+from lakeledger.operators.quality import (
+    date_coverage,
+    key_duplicates,
+    key_duplicates_after,
+    key_orphans,
+    key_orphans_after,
+    populated_share,
+)
+from lakeledger.operators.versions import maybe_in, of_batch, unseen_rows
 from lakeledger.operators.survey_counts import daily_counts, survey_summary
 from lakeledger.plans.program_report import (
     PROGRAM_REPORT,
@@ -304,3 +311,45 @@ def test_only_the_partitions_of_a_run_are_registered(spark, folder, monkeypatch)
         register_partitions(spark, table, [])
     finally:
         spark.sql(f"DROP TABLE {table}")
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def test_checks_of_loads_equal_the_full_checks(spark):
+    """Three loads, with null key parts, keys that turn duplicate, gain rows or meet their parent late."""
+    child = "a int, b string"
+    loads = [
+        [(1, "x"), (1, "x"), (2, "x"), (None, "x"), (3, None), (4, "y")],
+        [(2, "x"), (1, "x"), (None, "x"), (5, "z"), (5, "z"), (6, "q")],
+        [],
+        [(3, None), (4, "y"), (6, "q"), (7, "x"), (None, None), (8, "x")],
+    ]
+    parents = [[(1, "x"), (4, "y")], [(6, "q"), (None, "x")], [(2, "x")], [(5, "z"), (7, "x"), (7, "x")]]
+    keys, parent_keys = ["a", "b"], ["p", "q"]
+    stored = spark.createDataFrame([], child)
+    known = spark.createDataFrame([], "p int, q string")
+    repeated, orphans = key_duplicates(stored, keys), key_orphans(stored, known, keys, parent_keys)
+    for load, more in zip(loads, parents, strict=True):
+        appended = spark.createDataFrame(load, child)
+        known = known.union(spark.createDataFrame(more, "p int, q string"))
+        repeated = spark.createDataFrame(
+            key_duplicates_after(repeated, appended, stored, keys).collect(), child + ", row_count long"
+        )
+        orphans = spark.createDataFrame(
+            key_orphans_after(orphans, appended, known, keys, parent_keys).collect(), child + ", row_count long"
+        )
+        stored = stored.union(appended)
+        assert rows_of(repeated) == rows_of(key_duplicates(stored, keys))
+        assert rows_of(orphans) == rows_of(key_orphans(stored, known, keys, parent_keys))
+    assert rows_of(repeated) and rows_of(orphans)
+
+
+def test_a_check_of_a_load_shuffles_few_stored_rows(spark, folder):
+    spark.range(200_000).withColumnRenamed("id", "k").write.parquet(f"{folder}/stored")
+    stored = spark.read.parquet(f"{folder}/stored")
+    appended = spark.range(100, 120).withColumnRenamed("id", "k")
+    df = key_duplicates_after(key_duplicates(stored, ["k"]).limit(0), appended, stored, ["k"])
+    assert {tuple(r) for r in df.collect()} == {(k, 2) for k in range(100, 120)}
+    assert maybe_in(stored, appended, ["k"]).count() < 100

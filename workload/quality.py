@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from lakeledger.operators.quality import (
     date_coverage,
     key_duplicates,
+    key_duplicates_after,
     key_orphans,
+    key_orphans_after,
     populated_share,
 )
 from workload.base import query, table
@@ -66,3 +68,37 @@ def fk_orphans(spark, sf_dir):
     return key_orphans(lines, orders, ["l_orderkey"], ["o_orderkey"]).select(
         "l_orderkey", F.col("row_count")
     )
+
+
+@query(
+    "pk_duplicates_of_loads",
+    """
+SELECT l_orderkey, l_linenumber, count(*) AS row_count
+FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1""",
+)
+def pk_duplicates_of_loads(spark, sf_dir):
+    """The full report from that of the first years and the lines shipped since."""
+    keys = ["l_orderkey", "l_linenumber"]
+    lines = table(spark, sf_dir, "lineitem")
+    stored, appended = lines.filter("l_shipdate < '2000-01-01'"), lines.filter("l_shipdate >= '2000-01-01'")
+    return key_duplicates_after(key_duplicates(stored, keys), appended, stored, keys)
+
+
+@query(
+    "fk_orphans_of_loads",
+    """
+SELECT l_orderkey, count(*) AS row_count FROM lineitem
+WHERE NOT EXISTS (SELECT 1 FROM orders
+                  WHERE o_orderkey = l_orderkey AND o_orderstatus <> 'P')
+GROUP BY 1""",
+)
+def fk_orphans_of_loads(spark, sf_dir):
+    """The full report from that of the first years, the lines shipped since and all orders.
+
+    The first report was made without the open orders, which the load brings too.
+    """
+    lines = table(spark, sf_dir, "lineitem")
+    orders = table(spark, sf_dir, "orders").filter("o_orderstatus <> 'P'")
+    stored, appended = lines.filter("l_shipdate < '2000-01-01'"), lines.filter("l_shipdate >= '2000-01-01'")
+    before = key_orphans(stored, orders.filter("o_orderstatus <> 'O'"), ["l_orderkey"], ["o_orderkey"])
+    return key_orphans_after(before, appended, orders, ["l_orderkey"], ["o_orderkey"])
