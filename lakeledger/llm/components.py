@@ -6,14 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeledger.llm.common import durable
+from lakeledger.operators.joins import splittable_join
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b); root is the smallest node of the component.
 
     Loops and repeated edges are allowed. Every step is an aggregate and an
-    equi-join on bare shuffles, so a node with very many edges is reduced
-    before the shuffle and split in the join. Each round is a checkpoint; the
+    equi-join that adaptive execution can split (``splittable_join``): the
+    edges of a node with very many are spread over tasks. Each round is a checkpoint; the
     driver sees two numbers per round. Empty input gives an empty result.
     """
     edges = durable(
@@ -22,16 +23,16 @@ def components(edges: DataFrame) -> DataFrame:
     before = _mark(edges)
     while before[0]:
         both = edges.union(edges.select("b", "a"))
-        least = both.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"))
+        least = both.groupBy("a").agg(F.min("b").alias("m"))
         large = (
-            both.join(least, F.col("a") == F.col("u"))
+            splittable_join(both, least, ["a"], "inner")
             .where("b > a")
-            .select(F.col("b").alias("a"), F.least("m", "u").alias("b"))
+            .select(F.col("b").alias("a"), F.least("m", "a").alias("b"))
             .distinct()
         )
         large = durable(large)
-        least = large.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"))
-        small = large.join(least, F.col("a") == F.col("u")).select(
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = splittable_join(large, least, ["a"], "inner").select(
             F.explode(
                 F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))
             ).alias("e")

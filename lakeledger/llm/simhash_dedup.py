@@ -7,6 +7,11 @@ fingerprints at most r apart differ by at most r in d, so a pair that the node
 separates has its outer end at t < d <= t + r: those fingerprints visit the
 inner leaves too, and each pair within r meets in a leaf at least once. Leaves
 are searched exactly.
+
+No vantage point divides a cluster of near copies. Two bits apart means one bit
+from a common value: there every fingerprint goes to its 64 neighbours and to
+itself, and those that meet are links. At most 65 can meet, however large the
+cluster, so such leaves are spread over tasks by neighbour.
 """
 
 from __future__ import annotations
@@ -29,8 +34,12 @@ PER_LEAF = 24
 TREE_SAMPLE = 200_000
 # Below so many fingerprints all pairs of a block are compared.
 BLOCK = 384
+# From so many on an undivided block of a leaf is searched by neighbours.
+NEIGHBOURS_FROM = 4096
 SEED = 42
 
+_FLIPS = np.concatenate([np.zeros(1, np.uint64), np.uint64(1) << np.arange(64, dtype=np.uint64)])
+
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 
 
@@ -72,20 +81,27 @@ def fingerprint(text: str, width: int = 3) -> Column:
 # --- the tree -------------------------------------------------------------
 
 
-def grow(sample: np.ndarray, leaves: int, radius: int, seed: int = SEED) -> list[tuple[int, int, int, int]]:
-    """Nodes (vantage point, threshold, inner child, outer child); leaf k is child -k - 1."""
+def grow(sample: np.ndarray, leaves: int, radius: int, seed: int = SEED) -> tuple[list[tuple[int, int, int, int]], set[int]]:
+    """Nodes (vantage point, threshold, inner child, outer child) and the leaves that no vantage point divides.
+
+    Leaf k is child -k - 1.
+    """
     rng = np.random.default_rng(seed)
     nodes: list = []
     per_leaf = max(2, len(sample) // max(1, leaves))
     free = [0]
+    whole: set[int] = set()
 
     def leaf() -> int:
         free[0] += 1
         return -free[0]
 
     def split(points: np.ndarray) -> int:
-        cut = choose(points, radius, rng) if len(points) >= 2 * per_leaf else None
+        large = len(points) >= 2 * per_leaf
+        cut = choose(points, radius, rng) if large else None
         if cut is None:
+            if large:
+                whole.add(free[0])
             return leaf()
         vantage, threshold, distance = cut
         at = len(nodes)
@@ -96,7 +112,7 @@ def grow(sample: np.ndarray, leaves: int, radius: int, seed: int = SEED) -> list
         return at
 
     split(sample)
-    return nodes
+    return nodes, whole
 
 
 def choose(points: np.ndarray, radius: int, rng: np.random.Generator, tries: int = 12):
@@ -137,12 +153,27 @@ def close_pairs(points: np.ndarray, radius: int, rng: np.random.Generator) -> It
             _, threshold, distance = cut
             stack += [rows[distance <= threshold + radius], rows[distance > threshold]]
             continue
+        if radius == 2 and len(rows) >= NEIGHBOURS_FROM:
+            yield from ((rows[a], rows[b]) for a, b in neighbour_pairs(points[rows]))
+            continue
         for at in range(0, len(rows), BLOCK):
             part = rows[at : at + BLOCK]
             left, right = np.nonzero(np.bitwise_count(points[part][:, None] ^ points[rows[at:]]) <= radius)
             yield part[left], rows[at:][right]
 
 
+def neighbour_pairs(points: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Blocks of position pairs at most two bits apart among distinct points: those with a common neighbour."""
+    values = (points[:, None] ^ _FLIPS).ravel()
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], order // len(_FLIPS)
+    for step in range(1, len(_FLIPS)):
+        at = np.flatnonzero(values[step:] == values[:-step])
+        if not len(at):
+            return
+        yield owner[at], owner[at + step]
+
+
 def forest(size: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     """For each position the smallest position it is connected with."""
     root = np.arange(size)
@@ -162,22 +193,45 @@ def forest(size: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndar
 # --- Spark ----------------------------------------------------------------
 
 
-def fit_tree(prints: DataFrame, radius: int) -> list[tuple[int, int, int, int]]:
-    """A tree for distinct fingerprints ``fp``, fitted on at most TREE_SAMPLE of them (lowest hashes)."""
+def fit_tree(prints: DataFrame, radius: int) -> tuple[list[tuple[int, int, int, int]], set[int]]:
+    """A tree (see ``grow``) for distinct fingerprints ``fp``, fitted on at most TREE_SAMPLE of them (lowest hashes)."""
     leaves = min(TREE_SAMPLE // PER_LEAF, max(1, prints.count() // (LEAF_ROWS // 2)))
     sample = prints.orderBy(F.xxhash64("fp"), "fp").limit(leaves * PER_LEAF).select("fp").toArrow()
     points = sample.column("fp").to_numpy().view(np.uint64)
     return grow(points, leaves, radius)
 
 
+def neighbour_links(prints: DataFrame, all_pairs: bool) -> DataFrame:
+    """Pairs (a, b) of fingerprints ``fp`` at most two bits apart, through the values one bit from both.
+
+    By default those that meet at a value are linked with the least of them.
+    """
+    flips = F.array(F.lit(0).cast("long"), *(F.call_function("shiftleft", F.lit(1).cast("long"), F.lit(i)) for i in range(64)))
+    met = (
+        prints.select("fp", F.explode(flips).alias("flip"))
+        .groupBy(F.col("fp").bitwiseXOR(F.col("flip")).alias("value"))
+        .agg(F.array_sort(F.collect_set("fp")).alias("fps"))  # 65 at most
+        .where(F.size("fps") > 1)
+    )
+    if not all_pairs:
+        return met.select(F.get("fps", F.lit(0)).alias("a"), F.explode(F.slice("fps", F.lit(2), F.size("fps"))).alias("b")).distinct()
+    pairs = F.flatten(
+        F.transform("fps", lambda x, i: F.transform(F.slice("fps", i + 2, F.size("fps")), lambda y: F.struct(x.alias("a"), y.alias("b"))))
+    )
+    return met.select(F.inline(pairs)).distinct()
+
+
 def links(prints: DataFrame, radius: int, all_pairs: bool = False) -> DataFrame:
     """Pairs (a, b) of distinct fingerprints ``fp`` at most ``radius`` bits apart.
 
     By default each leaf gives the edges that connect what it has found
     connected, which is all that classes need and never more than its rows;
-    ``all_pairs`` gives every pair within the radius once.
+    ``all_pairs`` gives every pair within the radius once. At a radius of two
+    bits, leaves that no vantage point divides are searched by neighbours
+    (``neighbour_links``), with the same links; at others by all pairs of the
+    leaf in one task.
     """
-    nodes = fit_tree(prints, radius)
+    nodes, whole = fit_tree(prints, radius)
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,7 +256,13 @@ def links(prints: DataFrame, radius: int, all_pairs: bool = False) -> DataFrame:
         return pa.table({"a": fp[a], "b": fp[b]})
 
     visits = prints.select("fp").mapInArrow(visit, "leaf long, fp long")
-    edges = visits.groupBy("leaf").applyInArrow(search, "a long, b long")
+    if whole and radius == 2:
+        visits = durable(visits)
+        hot = F.col("leaf").isin(sorted(whole))
+        edges = visits.where(~hot).groupBy("leaf").applyInArrow(search, "a long, b long")
+        edges = edges.union(neighbour_links(visits.where(hot).select("fp").distinct(), all_pairs))
+    else:
+        edges = visits.groupBy("leaf").applyInArrow(search, "a long, b long")
     return edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -236,4 +296,5 @@ def keep_first(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", radi
     """
     found = near_duplicates(docs, text, doc_id, radius)
     gone = found.where(F.col(doc_id) != F.col("component_id")).select(F.col(doc_id).alias("gone_id")).distinct()
-    return docs.join(gone, docs[doc_id] == F.col("gone_id"), "left_anti")
+    kept = docs.select(F.struct("*").alias("kept"), F.col(doc_id).alias("kept_id"))
+    return kept.join(gone, F.col("kept_id") == F.col("gone_id"), "left_anti").select("kept.*")
