@@ -223,4 +223,5 @@ def leaks(
 def without_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The documents, all columns, that hold no benchmark item."""
     held = leaks(docs, benchmark, text, doc_id).select(F.col(doc_id).alias("leak_doc")).distinct()
-    return docs.join(held, docs[doc_id].eqNullSafe(F.col("leak_doc")), "left_anti")
+    kept = docs.select(F.struct("*").alias("kept"), F.col(doc_id).alias("kept_id"))
+    return kept.join(held, F.col("kept_id").eqNullSafe(F.col("leak_doc")), "left_anti").select("kept.*")

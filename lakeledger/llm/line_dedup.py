@@ -82,11 +82,11 @@ def dedup_lines(
         .agg(F.collect_list("line_key").alias("loss_keys"))
     )
     names = [c for c in docs.columns if c not in ("kept_text", "n_lines", "n_dropped")]
-    joined = docs.join(losses, docs[doc_id].eqNullSafe(F.col("loss_doc")), "left")
-    return joined.select(
-        *(docs[c] for c in names), without(docs[text], F.col("loss_keys"), least).alias("loss")
-    ).select(
-        *names,
+    # One struct, so that columns of any name can't clash with those of the join.
+    whole = docs.select(F.struct(*names).alias("kept"), F.col(doc_id).alias("kept_doc"), F.col(text).alias("whole_text"))
+    joined = whole.join(losses, F.col("kept_doc").eqNullSafe(F.col("loss_doc")), "left")
+    return joined.select("kept", without(F.col("whole_text"), F.col("loss_keys"), least).alias("loss")).select(
+        *(F.col("kept").getField(c).alias(c) for c in names),
         F.col("loss.kept").alias("kept_text"),
         F.col("loss.n_lines").alias("n_lines"),
         F.col("loss.n_dropped").alias("n_dropped"),

@@ -41,7 +41,7 @@ def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
 def op1_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document and what they decode to, as digests."""
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     # Encoded once: without the barrier each use of the ids would encode again.
     encoded = barrier(docs, "ids", bpe.encode(F.col("text"), ranks, public_tokenizers.PATTERN))
     return encoded.select(

@@ -179,7 +179,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id
         .orderBy(F.xxhash64("label_id"), "label_id")
         .limit(rows)
     )
-    return docs.join(F.broadcast(ids), docs[doc_id] == F.col("label_id")).select(docs[text].alias("text"), "label")
+    texts = docs.select(F.col(text).alias("text"), F.col(doc_id).alias("doc_id"))
+    return texts.join(F.broadcast(ids), F.col("doc_id") == F.col("label_id")).select("text", "label")
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> Column:

@@ -29,6 +29,8 @@ def documents(sf=SF):
 def odd_frame(spark, rows=None):
     """Odd rows with extra columns whose names the operators use themselves."""
     clash = ["key", "fp", "shard", "slot", "kept_text", "n_lines", "n_dropped", "words", "t", "item_id", "doc", "start"]
+    clash += ["loss", "loss_keys", "loss_doc", "kept", "kept_doc", "kept_id", "whole_text", "gone_id", "leak_doc", "label", "label_id"]
+    clash += ["component_id", "class_fp", "root", "least_id", "spots", "spot_doc", "hashes", "n", "width", "line_key", "common_key"]
     data = [(i, t, *["x"] * len(clash)) for i, t in (ODD if rows is None else rows)]
     return spark.createDataFrame(data, "doc_id long, text string, " + ", ".join(f"{c} string" for c in clash))
 

@@ -108,6 +108,39 @@ def test_tree_finds_every_pair(spark, monkeypatch):
     assert [sets.find(x) for x in prints] == [other.find(x) for x in prints]
 
 
+def test_cluster_that_no_vantage_point_divides(spark, monkeypatch):
+    """Near copies of one text, far more than a leaf holds: the same links by neighbours, spread over tasks."""
+    rng = random.Random(13)
+    base = rng.getrandbits(64)
+    prints = {base}
+    while len(prints) < 3000:
+        x = base
+        for _ in range(rng.randrange(1, 5)):
+            x ^= 1 << rng.randrange(64)
+        prints.add(x)
+    prints |= {rng.getrandbits(64) for _ in range(1000)}
+    points = np.array(sorted(prints), np.uint64)
+    want = set()
+    for k in range(len(points)):
+        near = np.flatnonzero(np.bitwise_count(points[k + 1 :] ^ points[k]) <= 2) + k + 1
+        want.update(frozenset((int(points[k]), int(points[j]))) for j in near)
+    blocks = simhash_dedup.neighbour_pairs(points)
+    assert {frozenset((int(points[i]), int(points[j]))) for a, b in blocks for i, j in zip(a, b, strict=True)} == want
+    df = spark.createDataFrame([(x,) for x in points.view(np.int64).tolist()], "fp long")
+    unsigned = lambda rows: {frozenset((a % (1 << 64), b % (1 << 64))) for a, b in rows}
+    assert unsigned(simhash_dedup.neighbour_links(df, True).collect()) == want
+    monkeypatch.setattr(simhash_dedup, "LEAF_ROWS", 200)
+    monkeypatch.setattr(simhash_dedup, "NEIGHBOURS_FROM", 500)
+    assert simhash_dedup.fit_tree(df, 2)[1]
+    assert unsigned(simhash_dedup.links(df, 2, all_pairs=True).collect()) == want
+    few = unsigned(simhash_dedup.links(df, 2).collect())
+    sets, other = h.Sets(), h.Sets()
+    for pairs, into in ((want, sets), (few, other)):
+        for pair in pairs:
+            into.join(*pair)
+    assert [sets.find(x) for x in prints] == [other.find(x) for x in prints]
+
+
 def test_components(spark):
     rng = random.Random(5)
     edges = [(k, k + 1) for k in range(100, 160)] + [(500, k) for k in range(501, 560)] + [(7, 7), (1, 2), (2, 1)]

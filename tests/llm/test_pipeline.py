@@ -1,8 +1,11 @@
 """The pipeline: each stage against a plain version on what the stage before kept."""
 
+from collections import Counter
+
 import numpy as np
 import public_tokenizers
 import tiktoken
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lakeledger.llm import bpe
@@ -35,6 +38,24 @@ def test_stages(spark, folder):
     assert ids == {i: own.encode_ordinary(t or "") for i, t in clean.items()}
 
 
+def test_stages_on_odd_documents(spark, folder):
+    """Nulls, empty and very long texts, repeated rows and ids, null ids, columns named like those of the stages."""
+    rows = [(i, t, None if k % 3 else "en", None if k % 2 else "web", None if t is None else len(t)) for k, (i, t) in enumerate(h.ODD)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    names = ["kept", "kept_id", "kept_doc", "gone_id", "leak_doc", "loss_keys", "loss_doc", "whole_text", "label", "label_id", "ids", "component_id", "fp"]
+    for name, stage in corpus_pipeline.STAGES:
+        crowded = docs.select("*", *(F.lit("x").alias(c) for c in names))
+        stage(spark, crowded, h.SF).write.parquet(f"{folder}/{name}")
+        before, docs = docs, spark.read.parquet(f"{folder}/{name}")
+        if name != "byte_level_bpe":
+            assert docs.columns == before.columns
+        if name == "line_dedup":
+            had = [(r["doc_id"], r["text"]) for r in before.collect()]
+            want = Counter((i, t if old is not None else None) for (i, _, _, t), (_, old) in zip(h.without_lines(had), had, strict=True))
+            assert Counter((r["doc_id"], r["text"]) for r in docs.collect()) == want
+    assert docs.count() > 0
+
+
 def test_run_and_empty(spark, folder):
     assert corpus_pipeline.run(spark, h.SF).count() > 0
     for table in ("documents", "labels", "benchmark"):
