@@ -128,8 +128,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = fold("doc_id", 5) == 0
     model = language_id.fit(docs.where(~held_out))
-    found = docs.select("doc_id", language_id.identify(docs, model).alias("found"))
-    return found.select(
+    return language_id.identify(docs, model).select(
         "doc_id",
         F.coalesce(held_out, F.lit(False)).alias("held_out"),
         F.col("found.lang").alias("lang_pred"),

@@ -410,15 +410,77 @@ def test_language_query(spark):
     lang = dict(h.rows_of("documents", "doc_id, lang", sf))
     rows = [r for r in QUERIES["op9_language_id"](spark, sf).collect() if r["held_out"]]
     assert sum(r["lang_pred"] == lang[r["doc_id"]] for r in rows) >= 0.95 * len(rows) > 0
+    # Limits are set for a hundredth of held-out texts; 200 rows here.
+    assert sum(r["rejected"] for r in rows) <= 0.06 * len(rows)
 
 
-def test_language_model_is_a_distribution():
-    rng = np.random.default_rng(0)
-    keys, counts = np.unique(np.concatenate(list(language_id.keys_of("".join(rng.choice(list("abc de"), 3000))))), return_counts=True)
-    letters = np.append(np.unique(keys & language_id.MASK), 7)
-    model = language_id.KneserNey(keys, counts, len(letters))
-    for context in (keys[0] >> 15, keys[50] >> 15, 12345):
-        assert math.isclose(model.probability((int(context) << 15) | letters).sum(), 1)
+def kneser_ney(texts, alphabet):
+    """probability(gram) of a plain interpolated Kneser-Ney model over (padded) texts."""
+    orders = [Counter(t[k : k + 4] for t in texts for k in range(len(t) - 3))]
+    for _ in range(3):
+        orders.append(Counter(g[1:] for g in orders[-1]))
+    cuts = []
+    for grams in orders:
+        ones, twos = sum(n == 1 for n in grams.values()), sum(n == 2 for n in grams.values())
+        cuts.append(min(max(ones / (ones + 2 * twos), 0.1), 0.9) if ones + twos else 0.5)
+
+    def probability(gram):
+        if not gram:
+            return 1 / alphabet
+        grams, cut = orders[4 - len(gram)], cuts[4 - len(gram)]
+        total = sum(n for g, n in grams.items() if g[:-1] == gram[:-1])
+        kinds = sum(g[:-1] == gram[:-1] for g in grams)
+        lower = probability(gram[1:])
+        return max(grams[gram] - cut, 0) / total + cut * kinds / total * lower if total else lower
+
+    return probability
+
+
+def padded(text):
+    return "   " + " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split()) + " "
+
+
+def test_language_models_equal_plain_ones(spark, monkeypatch):
+    texts = [
+        ("en", "the cat and the other cat sat on that mat"), ("en", "then they had tea"), ("fr", "le chat et le chien dans la rue"),
+        ("fr", "la rue est là"), ("ko", "안녕하세요 세계 안녕 여러분"), ("zh", "你好世界 今天天气很好 𠀀𠀁 世界"),
+    ]
+    train = spark.createDataFrame(texts, "lang string, text string")
+    model = language_id.fit(train)
+    assert model.languages == ["en", "fr", "ko", "zh"]
+    alphabet = len({c for _, t in texts for c in padded(t)}) + 1
+    plain = {own: kneser_ney([padded(t) for x, t in texts if x == own], alphabet) for own in model.languages}
+    letters = sorted({c for _, t in texts for c in padded(t)}) + ["*"]
+    assert math.isclose(sum(plain["en"]("the"[-3:] + c) for c in letters), 1)
+    # Letters beyond 15 bits, of one folded code before: 世 and 丗 differ by nothing but themselves.
+    some = [t for _, t in texts] + ["that chat", "セ界 丗界", "안녕 zzz", "", "12", None]
+    docs = h.odd_frame(spark, list(enumerate(some)))
+    want = {}
+    for i, t in enumerate(some):
+        own = padded(t or "")
+        n = len(own) - 3
+        want[i] = [-sum(math.log(p(own[k : k + 4])) for k in range(n)) / n for p in plain.values()] if own.strip() else [0] * 4
+    ways = [model.arrays, None]
+    for arrays in ways:
+        found = {r["row"]["doc_id"]: r["h"] for r in language_id.entropies(docs, model.tables, arrays).collect()}
+        assert all(found[i] == pytest.approx(want[i], rel=1e-5) for i in want)
+    same = language_id.identify(docs, model).select("doc_id", "found.lang", "found.rejected").collect()
+    monkeypatch.setattr(language_id, "BROADCAST_BYTES", 0)
+    joined = language_id.fit(train)
+    assert joined.arrays is None
+    assert sorted(same) == sorted(language_id.identify(docs, joined).select("doc_id", "found.lang", "found.rejected").collect())
+
+
+def test_language_rejection(spark):
+    """Texts of no trained language are rejected, texts of their own are not."""
+    rng = random.Random(3)
+    word = lambda letters: "".join(rng.choices(letters, k=rng.randrange(2, 7)))
+    text = lambda letters, n=40: " ".join(word(letters) for _ in range(n))
+    train = spark.createDataFrame([("a", text("abcde")) for _ in range(200)] + [("b", text("vwxyz")) for _ in range(200)], "lang string, text string")
+    model = language_id.fit(train)
+    docs = [(k, text("abcde")) for k in range(100)] + [(100 + k, text("ghijk")) for k in range(100)]
+    found = {r[0]: r[1] for r in language_id.identify(h.odd_frame(spark, docs), model).select("doc_id", "found.rejected").collect()}
+    assert sum(found[k] for k in range(100)) <= 10 and all(found[100 + k] for k in range(100))
 
 
 def test_language_odd(spark):
@@ -428,7 +490,10 @@ def test_language_odd(spark):
     model = language_id.fit(train)
     assert model.languages == ["de", "en"]
     docs = h.odd_frame(spark, [(1, "the house of the dog"), (2, None), (3, ""), (4, "12 ."), (5, "die katze"), (6, "日本"), (7, h.LONG), (7, "die katze")])
-    found = {r[0]: r[1] for r in docs.select("doc_id", language_id.identify(docs, model)["lang"]).collect()}
+    rows = language_id.identify(docs.withColumn("row", F.lit("x")), model).select("doc_id", "found.lang").collect()
+    found = dict(map(tuple, rows))
+    assert len(rows) == 8
     assert [found[k] for k in (1, 2, 3, 4, 5)] == ["en", "und", "und", "und", "de"] and found[6] in model.languages
     none = language_id.fit(train.where("false"))
-    assert {r[0] for r in docs.select(language_id.identify(docs, none)["lang"]).collect()} == {"und"}
+    assert {r[0] for r in language_id.identify(docs, none).select("found.lang").collect()} == {"und"}
+    assert language_id.identify(docs.where("false"), model).count() == 0
