@@ -283,6 +283,19 @@ def flatten_records(
     return cells.select(F.from_json(F.to_json("cells"), flat).alias("row")).select("row.*")
 
 
+def sparse_records(
+    records: DataFrame, leaves: list[Leaf], sep: str = "_", on_collision: str = "raise"
+) -> DataFrame:
+    """The rows of ``flatten_records`` with their filled columns in one map, ``cells``: column name to text.
+
+    For tables whose columns grow with the records: laid out, their empty
+    cells would be the product of the two. Here the work follows the filled ones.
+    """
+    _, rank = column_names(leaves, sep, on_collision)
+    cells = _named_cells(records, leaves, sep, rank)
+    return cells.select(F.map_filter("cells", lambda _, text: text.isNotNull()).alias("cells"))
+
+
 # A cell is quoted where it holds one of these (fixed values of the format).
 _QUOTED = r'[,"\r\n]'
 

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeledger.operators.flatten_json import Leaf, column_names, csv_lines, find_leaves, flatten_records
+from lakeledger.operators.flatten_json import Leaf, column_names, csv_lines, find_leaves, flatten_records, sparse_records
 from lakeledger.sinks.tables import write_csv, write_single_csv
 from lakeledger.sources.json import count_files, read_json_records
 
@@ -40,11 +40,17 @@ def record_shape(records: DataFrame, order: str = "first_seen") -> RecordShape:
 
 
 def flatten_json(
-    records: DataFrame, sep: str = "_", order: str = "first_seen", on_collision: str = "raise"
+    records: DataFrame, sep: str = "_", order: str = "first_seen", on_collision: str = "raise", sparse: bool = False
 ) -> DataFrame:
-    """Flat text table of the usable records (see ``read_json_records``)."""
+    """Flat text table of the usable records (see ``read_json_records``).
+
+    ``sparse`` keeps the filled columns of a row in a map instead (``sparse_records``).
+    """
     shape = record_shape(records, order)
-    return flatten_records(records.filter(~F.col("is_broken")), shape.leaves, sep, on_collision)
+    usable = records.filter(~F.col("is_broken"))
+    if sparse:
+        return sparse_records(usable, shape.leaves, sep, on_collision)
+    return flatten_records(usable, shape.leaves, sep, on_collision)
 
 
 def flatten_json_to_csv(

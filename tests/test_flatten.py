@@ -204,3 +204,27 @@ def test_single_csv_of_one_blank_column(spark, tmp_path):
     got = flatten_json_to_csv(spark, source, str(tmp_path / "out"), RUN, single_file=True)
     with open(got.path, newline="") as handle:
         assert [r["a"] for r in csv.DictReader(handle)] == ["", "x", ""]
+
+
+def test_sparse_rows_hold_the_filled_cells(spark, tmp_path):
+    source = put(
+        tmp_path / "in",
+        {"a.json": '{"k":1,"a":{"b":"x"},"n":null,"e":""}\n{"k":2,"own":{"m":[1]}}\n{"k":3,"a_b":"y"}\n{broken\n'},
+    )
+    records = read_json_records(spark, source, lines=True)
+    found = flatten_json(records, on_collision="last", sparse=True)
+    rows = sorted((r["cells"] for r in found.collect()), key=lambda c: c["k"])
+    assert rows == [{"k": "1", "a_b": "x", "e": ""}, {"k": "2", "own_m": "[1]"}, {"k": "3", "a_b": "y"}]
+    with pytest.raises(ValueError, match="collide"):
+        flatten_json(records, sparse=True)
+
+
+def test_columns_that_grow_with_the_records(spark, tmp_path):
+    """Laid out, these cells would be 6,000 x 12,001."""
+    path = str(tmp_path / "in")
+    text = "concat('{\"key\":', id, ',\"k', id, '\":{\"name\":\"n\",\"place\":{\"nation\":', id % 25, '}}}')"
+    spark.range(6000).selectExpr(f"{text} AS value").write.text(path)
+    found = flatten_json(read_json_records(spark, path, lines=True), sparse=True)
+    assert found.columns == ["cells"]
+    cells = found.select(F.explode("cells").alias("name", "cell"))
+    assert cells.count() == 18_000 and cells.select("name").distinct().count() == 12_001
