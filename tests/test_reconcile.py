@@ -22,6 +22,7 @@ from lakeledger.operators.raw_counts import raw_counts
 from lakeledger.contracts import LEDGER
 from lakeledger.sinks import reports
 from lakeledger.sinks.reports import compact_ledger, write_anomalies, write_ledger
+from lakeledger.sources import layers
 from lakeledger.sources.json import read_control_dates
 from lakeledger.sources.layers import (
     list_event_dates,
@@ -32,6 +33,7 @@ from lakeledger.sources.layers import (
     read_raw_surveys,
     survey_config,
 )
+from workload import surveys
 
 DAY = "2026-05-11"
 NOW = datetime(2026, 5, 12, 8, 0, 0)
@@ -588,3 +590,32 @@ def test_deliveries_are_parsed_once(spark, paths, folder, monkeypatch, dedup):
     counts = {r["raw_survey_name"]: r["raw_count"] for r in deliveries.delivery_counts(spark, state, [DAY], dedup).collect()}
     assert counts == {**whole, "phone survey": whole["phone survey"] + 1}
     assert deliveries.take_in(spark, f"{folder}/nowhere", state, [DAY]) == (0, set())
+
+
+def test_delivery_files_follow_records(spark, folder):
+    """Many dates and many records: a date has the files that its own records need."""
+    rows = spark.range(70_000).selectExpr(
+        "'View Survey' AS raw_survey_name", "cast(id AS string) AS contact_record_id", "'2026-01-01' AS invitation_date",
+        "id AS event_id",
+        "CASE WHEN id < 1000 THEN NULL WHEN id < 20000 THEN concat('2026-01-', 10 + id % 19) ELSE '2026-02-01' END AS event_date",
+    )
+    surveys._write_deliveries(rows, folder)
+    files = list(Path(folder).rglob("*.json"))
+    assert len(files) <= 19 + 1 + 2
+    per_date = {}
+    for file in files:
+        date = file.parent.parent.name
+        per_date[date] = per_date.get(date, 0) + len(json.loads(file.read_text()))
+    assert per_date.pop("event_date=2026-02-01") == 50_000
+    assert per_date.pop("event_date=__HIVE_DEFAULT_PARTITION__") == 1_000
+    assert set(per_date.values()) == {1_000} and len(per_date) == 19
+
+
+def test_survey_and_date_come_from_any_form_of_path(spark):
+    """No pattern runs over the path of each row."""
+    places = ["file:///a_b/x", "file:/a_b/x", "hdfs://host:8020/a_b/x", "/a_b/x", "s3a://bucket/a_b/x"]
+    rows = [(f"{place}/event_date=2026-01-0{n}/deep/event_date=9/f:/{n}.parquet", n) for n, place in enumerate(places, 1)]
+    files = spark.createDataFrame(rows + [("file:/other/event_date=1/f", 9)], "file string, id int")
+    found = layers._by_survey(spark, files, {"/a_b/x": "VIEW"}, ["id"])
+    assert sorted(map(tuple, found.collect())) == [("VIEW", f"2026-01-0{n}", n) for n in range(1, 6)]
+    assert "regexp" not in found._jdf.queryExecution().optimizedPlan().toString()

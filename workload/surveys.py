@@ -403,16 +403,21 @@ def _write_layers(spark, sf_dir, paths: Paths, nested: bool = False) -> None:
 def _write_deliveries(raw: DataFrame, path: str, window: str | None = None) -> None:
     """Deliveries as JSON arrays: a file per date and hash group, below a folder of their window if there is one.
 
-    Even a date with all records has at most about 30,000 records per group.
+    A date has as many groups as its own records need, about 30,000 to a
+    group. So files follow the records, not dates times records.
     """
-    groups = int(raw.count() / 30_000) + 1
+    groups = raw.groupBy("event_date").agg((F.count(F.lit(1)) / 30_000).cast("bigint").alias("more"))
     record = F.struct(
         F.col("raw_survey_name").alias("Survey Name"),
         F.col("contact_record_id").alias("Contact Record ID"),
         F.col("invitation_date").alias("Invitation Date"),
     )
+    # One row per date; a record may lack its date.
+    dated = raw.join(
+        F.broadcast(groups.withColumnRenamed("event_date", "_date")), F.col("event_date").eqNullSafe(F.col("_date"))
+    )
     files = (
-        raw.withColumn("part", F.pmod(F.xxhash64("event_id"), F.lit(groups)))
+        dated.withColumn("part", F.pmod(F.xxhash64("event_id"), F.col("more") + 1))
         .groupBy("event_date", "part")
         .agg(F.to_json(F.collect_list(record)).alias("value"))
     )
