@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from lakeledger.functions import flatten_columns
 from lakeledger.operators.flatten_json import csv_lines, find_leaves, flatten_records
 from lakeledger.plans.json_to_csv import flatten_json, flatten_json_to_csv
+from lakeledger.sources.csv import read_csv_records
 from lakeledger.sources.json import read_json_records, read_json_typed
 
 RUN = datetime(2026, 5, 11, 1, 2, 3)
@@ -228,3 +229,25 @@ def test_columns_that_grow_with_the_records(spark, tmp_path):
     assert found.columns == ["cells"]
     cells = found.select(F.explode("cells").alias("name", "cell"))
     assert cells.count() == 18_000 and cells.select("name").distinct().count() == 12_001
+
+
+def test_single_csv_is_read_in_splits(spark, tmp_path):
+    """Records over several splits, line ends of all kinds, quotes and blank cells, as Spark's own reader gives them."""
+    rows = [
+        {"k": n, "a": ["", 'say "x", \nok', "a\r\nb\n\n", "l1\n" * 900, '"', "\n", None, " p "][n % 8], "b,c": "é" * (n % 5) or None}
+        for n in range(400)
+    ]
+    source = put(tmp_path / "in", {"a.json": "\n".join(json.dumps(r) for r in rows)})
+    result = flatten_json_to_csv(spark, source, str(tmp_path / "out"), RUN, lines=True, single_file=True)
+    plain = spark.read.options(header="true", escape='"', multiLine="true").csv(result.path)
+    name = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(name)
+    spark.conf.set(name, "1500")
+    try:
+        assert spark.read.text(result.path).rdd.getNumPartitions() > 50
+        found = read_csv_records(spark, result.path, result.columns)
+        got = sorted(map(tuple, found.collect()), key=str)
+    finally:
+        spark.conf.set(name, old)
+    assert found.columns == plain.columns == ["k", "a", "b,c"]
+    assert got == sorted(map(tuple, plain.collect()), key=str) and len(got) == 400

@@ -616,6 +616,6 @@ def test_survey_and_date_come_from_any_form_of_path(spark):
     places = ["file:///a_b/x", "file:/a_b/x", "hdfs://host:8020/a_b/x", "/a_b/x", "s3a://bucket/a_b/x"]
     rows = [(f"{place}/event_date=2026-01-0{n}/deep/event_date=9/f:/{n}.parquet", n) for n, place in enumerate(places, 1)]
     files = spark.createDataFrame(rows + [("file:/other/event_date=1/f", 9)], "file string, id int")
-    found = layers._by_survey(spark, files, {"/a_b/x": "VIEW"}, ["id"])
+    found = layers._by_survey(spark, files, {"VIEW": "/a_b/x"}, ["id"])
     assert sorted(map(tuple, found.collect())) == [("VIEW", f"2026-01-0{n}", n) for n in range(1, 6)]
     assert "regexp" not in found._jdf.queryExecution().optimizedPlan().toString()

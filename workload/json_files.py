@@ -11,6 +11,7 @@ from lakeledger.functions import flatten_columns
 from lakeledger.plans.json_to_csv import flatten_json, flatten_json_to_csv
 from lakeledger.session import scratch_path
 from lakeledger.sinks.tables import write_csv
+from lakeledger.sources.csv import read_csv_records
 from lakeledger.sources.json import read_json_records, read_json_typed
 from workload.base import query, table, write_array_files
 
@@ -88,15 +89,17 @@ def flatten_single_csv(spark, sf_dir):
     """The whole job into one CSV file with one header; quotes, commas and line ends inside cells."""
     path, out = scratch_path(spark, "order-lines"), scratch_path(spark, "single-csv")
     note = F.concat(F.lit('say "'), "o_orderstatus", F.lit('", \nok'))
-    table(spark, sf_dir, "orders").select(
+    orders = table(spark, sf_dir, "orders")
+    # Eight files, and more of them for more orders.
+    files = 8 + orders.count() // 500_000
+    orders.select(
         F.col("o_orderkey").alias("key"),
         F.struct(F.col("o_orderpriority").alias("priority"), note.alias("note")).alias("info"),
         F.when(F.col("o_orderstatus") == "F", F.col("o_custkey")).alias("customer"),
-    ).repartition(8, "key").write.json(path)
+    ).repartition(files, "key").write.json(path)
     result = flatten_json_to_csv(spark, path, out, RUN, lines=True, single_file=True)
-    read = spark.read.option("header", "true").option("escape", '"').option("multiLine", "true").csv(result.path)
-    files = len(read.inputFiles())
-    return read.withColumn("files", F.lit(files))
+    read = read_csv_records(spark, result.path, result.columns)
+    return read.withColumn("files", F.lit(len(spark.read.text(result.path).inputFiles())))
 
 
 @query(
