@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from lakeledger.llm.common import durable
 from lakeledger.llm.components import components
+from lakeledger.operators.joins import splittable_join
 
 MIN_WORDS = 50
 WINDOW = 25
@@ -40,16 +41,27 @@ _RNG = np.random.default_rng(7)
 _POWERS = _RNG.integers(1, 2**63, max(WINDOW, WIDTH), dtype=np.uint64) | np.uint64(1)
 _SALTS = _RNG.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64)
 _FACTOR = np.uint64(0xBF58476D1CE4E5B9)
-_STEP = 50_000
+# Words of a batch of texts that are worked on at a time; a longer text is worked on alone.
+_STEP = 20_000
+
+
+def _fold(x: np.ndarray) -> np.ndarray:
+    return x ^ (x >> np.uint64(30))
+
+
+def _spread(x: np.ndarray) -> np.ndarray:
+    """Second half of a mix; overwrites ``x``."""
+    x *= _FACTOR
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _FACTOR
-    return x ^ (x >> np.uint64(31))
+    return _spread(_fold(x))
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    return np.frombuffer(b"".join(map(xxhash.xxh64_digest, words)), ">u8").astype(np.uint64)
 
 
 def rolling(hashes: np.ndarray, width: int) -> np.ndarray:
@@ -61,82 +73,110 @@ def rolling(hashes: np.ndarray, width: int) -> np.ndarray:
     return _mix(total)
 
 
-def anchored(hashes: np.ndarray) -> np.ndarray:
-    """First words of the anchored windows of a text."""
-    pairs = rolling(hashes, 2)
-    span = ANCHORS
-    if len(pairs) < span:
+def _least_places(x: np.ndarray, span: int) -> np.ndarray:
+    """Place of the first least number of every ``span`` neighbouring ones."""
+    least, places, width = x, np.arange(len(x)), 1
+    while width < span:
+        # Two overlapping runs make a longer one.
+        step = min(width, span - width)
+        left, right = least[:-step], least[step:]
+        places = np.where(right < left, places[step:], places[:-step])
+        least = np.minimum(left, right)
+        width += step
+    return places
+
+
+def anchored(hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """First words of the anchored windows of texts that follow one another and end at ``ends``."""
+    if len(hashes) <= ANCHORS:
         return np.empty(0, np.int64)
-    found = [
-        np.unique(np.lib.stride_tricks.sliding_window_view(pairs[a : a + _STEP + span - 1], span).argmin(axis=1)
-                  + np.arange(a, min(a + _STEP, len(pairs) - span + 1)))
-        for a in range(0, len(pairs) - span + 1, _STEP)
-    ]
-    starts = np.unique(np.concatenate(found))
-    return starts[starts + WINDOW <= len(hashes)]
-
-
-def windows_of(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """(start word, hash) of the anchored windows."""
-    hashes = word_hashes(text.encode().lower().split())
-    starts = anchored(hashes)
-    return starts, _mix((hashes[starts[:, None] + np.arange(WINDOW)] * _POWERS[:WINDOW]).sum(axis=1, dtype=np.uint64))
-
-
-def lines_of(text: str) -> Iterator[tuple[int, np.ndarray]]:
-    """(start word, word hashes) of the lines of at least MIN_WORDS words."""
-    at = 0
-    for line in text.encode().lower().split(b"\n"):
-        words = line.split()
-        if len(words) >= MIN_WORDS:
-            yield at, word_hashes(words)
-        at += len(words)
-
-
-def bands(hashes: np.ndarray) -> np.ndarray:
-    """One number per band of a line's MinHash signature."""
-    shingles = rolling(hashes, WIDTH)
-    least = np.full(len(_SALTS), np.uint64(2**64 - 1))
-    for at in range(0, len(shingles), _STEP):
-        # All hash functions in one matrix: lines are short, and calls cost more than numbers.
-        least = np.minimum(least, _mix(shingles[at : at + _STEP, None] ^ _SALTS).min(axis=0))
-    least = least.reshape(BANDS, ROWS)
-    return _mix(least[:, 0] * _POWERS[0] + least[:, 1] * _POWERS[1] + np.arange(BANDS, dtype=np.uint64))
-
-
-def line_key(hashes: np.ndarray) -> np.uint64:
+    places = _least_places(rolling(hashes, 2), ANCHORS)
+    left = np.repeat(ends, np.diff(ends, prepend=0)) - np.arange(len(hashes))
+    # The places of neighbouring runs ascend, so equal ones follow one another.
+    places = places[left[: len(places)] > ANCHORS]
+    starts = places[np.diff(places, prepend=-1) > 0]
+    return starts[left[starts] >= WINDOW]
+
+
+def window_hashes(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    return _mix((hashes[starts[:, None] + np.arange(WINDOW)] * _POWERS[:WINDOW]).sum(axis=1, dtype=np.uint64))
+
+
+def bands(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """One number per line and band of the MinHash signatures of lines, which are ascending parts of ``hashes``."""
+    shingles = _fold(rolling(hashes, WIDTH))
+    # Shingles from a line's start to its last one; what lies between the lines is left out.
+    edges = np.stack([starts, ends - WIDTH + 1], axis=1).ravel()
+    edges = edges[: -1 if edges[-1] == len(shingles) else None]
+    # Folding is linear: that of a salted shingle comes from those of the salt and the shingle.
+    least = np.stack([np.minimum.reduceat(_spread(shingles ^ salt), edges)[::2] for salt in _fold(_SALTS)], axis=1)
+    least = least.reshape(-1, BANDS, ROWS)
+    return _mix(least[:, :, 0] * _POWERS[0] + least[:, :, 1] * _POWERS[1] + np.arange(BANDS, dtype=np.uint64))
+
+
+def line_key(hashes: np.ndarray) -> int:
     """Identity of a line's words."""
     octets = hashes.astype("<u8").tobytes()
-    return np.uint64(xxhash.xxh64_intdigest(octets))
+    return xxhash.xxh64_intdigest(octets)
+
+
+def words_of_lines(text: str) -> list[list[bytes]]:
+    return [line.split() for line in text.encode().lower().split(b"\n")]
 
 
 def _signed(x) -> np.ndarray:
     return np.asarray(x, np.uint64).view(np.int64)
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids, keys, places = [], [], []
-        for own, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            starts, found = windows_of(text.as_py() or "")
-            ids.append(np.full(len(starts), own, np.int64))
-            keys.append(_signed(found))
-            places.append(starts.astype(np.int32))
-        if ids:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(x)) for x in (keys, ids, places)], ["key", "doc", "start"]
-            )
-
-
-def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("bands", pa.list_(pa.int64()))])
+PARAGRAPHS = (
+    "doc long, window_keys array<long>, window_starts array<int>, "
+    "line_keys array<long>, line_starts array<int>, line_sizes array<int>, line_bands array<long>"
+)
+
+
+def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Anchored windows and long lines of every text, in one pass; ``line_bands`` has BANDS numbers per line."""
     for batch in batches:
-        rows = []
-        for own, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            for start, hashes in lines_of(text.as_py() or ""):
-                rows.append((int(_signed(line_key(hashes))), own, start, len(hashes), _signed(bands(hashes)).tolist()))
-        columns = list(zip(*rows, strict=True)) if rows else [()] * 5
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+        ids, texts = batch.column(0), batch.column(1)
+        first, words, ends, spots = 0, [], [0], []
+        for i, text in enumerate(texts):
+            for line in words_of_lines(text.as_py() or ""):
+                if len(line) >= MIN_WORDS:
+                    spots.append((len(words), len(words) + len(line)))
+                words += line
+            ends.append(len(words))
+            if len(words) >= _STEP or i == len(texts) - 1:
+                yield _paragraphs_of(ids[first : i + 1], words, ends, spots)
+                first, words, ends, spots = i + 1, [], [0], []
+
+
+def _paragraphs_of(ids: pa.Array, words: list[bytes], ends: list[int], spots: list[tuple[int, int]]) -> pa.RecordBatch:
+    """Row per text of texts that follow one another, with the long lines at ``spots``."""
+    hashes, ends = word_hashes(words), np.array(ends)
+    starts = anchored(hashes, ends[1:])
+    lines = np.array(spots, np.int64).reshape(-1, 2)
+    keys = [line_key(hashes[a:b]) for a, b in spots]
+    found = bands(hashes, lines[:, 0], lines[:, 1]) if spots else np.empty((0, BANDS), np.uint64)
+    window_ends, line_ends = np.searchsorted(starts, ends), np.searchsorted(lines[:, 0], ends)
+
+    def listed(edges: np.ndarray, values: np.ndarray) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(values))
+
+    def within(edges: np.ndarray, places: np.ndarray) -> np.ndarray:
+        return (places - np.repeat(ends[:-1], np.diff(edges))).astype(np.int32)
+
+    return pa.RecordBatch.from_arrays(
+        [
+            ids,
+            listed(window_ends, _signed(window_hashes(hashes, starts))),
+            listed(window_ends, within(window_ends, starts)),
+            listed(line_ends, _signed(keys)),
+            listed(line_ends, within(line_ends, lines[:, 0])),
+            listed(line_ends, np.diff(lines, axis=1).ravel().astype(np.int32)),
+            listed(line_ends * BANDS, _signed(found).ravel()),
+        ],
+        ["doc", "window_keys", "window_starts", "line_keys", "line_starts", "line_sizes", "line_bands"],
+    )
 
 
 def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,34 +184,62 @@ def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keys, sets = [], []
         for text, wanted in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-            wanted = set(wanted)
-            for start, hashes in lines_of(text.as_py() or ""):
-                if start in wanted:
-                    keys.append(int(_signed(line_key(hashes))))
+            wanted, at = set(wanted), 0
+            for words in words_of_lines(text.as_py() or ""):
+                if at in wanted and len(words) >= MIN_WORDS:
+                    hashes = word_hashes(words)
+                    keys.append(line_key(hashes))
                     sets.append(np.unique(_signed(rolling(hashes, WIDTH))))
+                at += len(words)
         ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(keys, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*sets, np.empty(0, np.int64)])))],
+            [pa.array(_signed(keys)), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*sets, np.empty(0, np.int64)])))],
             ["key", "shingles"],
         )
 
 
-def _linked(block: pa.Table) -> pa.Table:
+def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Edges that connect the lines of a block which links of exact similarity connect.
 
+    Rows come sorted by block; one that a batch cuts waits for its other rows.
+    """
+    rest = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([batch])
+        rows = pa.concat_tables([rest, rows]) if rest is not None else rows
+        blocks = np.stack([rows.column(c).to_numpy() for c in ("band", "low", "high")])
+        starts = np.flatnonzero((blocks[:, 1:] != blocks[:, :-1]).any(axis=0)) + 1
+        starts = [0, *starts.tolist()]
+        rest = rows.slice(starts[-1])
+        if len(starts) > 1:
+            yield _linked_blocks(rows.slice(0, starts[-1]), starts)
+    if rest is not None:
+        yield _linked_blocks(rest, [0, rest.num_rows])
+
+
+def _linked_blocks(rows: pa.Table, edges: list[int]) -> pa.RecordBatch:
+    rows = rows.select(["key", "shingles"]).combine_chunks()
+    keys, lists = rows.column("key").to_numpy(), rows.column("shingles").combine_chunks()
+    offsets = lists.offsets.to_numpy()
+    values, places = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+    sets = np.split(places, offsets[1:-1] - offsets[0])
+    sizes, mark = np.diff(offsets), np.zeros(len(values), bool)
+    found = [_links(range(a, b), keys, sets, sizes, mark) for a, b in zip(edges, edges[1:], strict=False)]
+    ends = np.array([x for links in found for x in links], np.int64).reshape(-1, 2)
+    return pa.RecordBatch.from_arrays([pa.array(keys[ends[:, 0]]), pa.array(keys[ends[:, 1]])], ["a", "b"])
+
+
+def _links(block: range, keys: np.ndarray, sets: list[np.ndarray], sizes: np.ndarray, mark: np.ndarray) -> list[tuple[int, int]]:
+    """Linked lines of a block.
+
     Breadth first: a line is compared with the lines not reached yet, so a
     group of near copies costs little more than one comparison per line.
     """
-    table = block.select(["key", "shingles"]).combine_chunks()
-    lists = table.column("shingles").combine_chunks()
-    keys, first = np.unique(table.column("key").to_numpy(), return_index=True)
-    offsets = lists.offsets.to_numpy()
-    values, places = np.unique(lists.values.to_numpy(), return_inverse=True)
-    sets = [places[offsets[i] : offsets[i + 1]] for i in first]
-    sizes = np.array([len(s) for s in sets])
-    mark = np.zeros(len(values), bool)
-    waiting = np.argsort(sizes, kind="stable")
-    a, b = [], []
+    waiting = np.array(block)[np.unique(keys[block.start : block.stop], return_index=True)[1]]
+    waiting = waiting[np.argsort(sizes[waiting], kind="stable")]
+    found = []
     while len(waiting):
         queue, waiting = [waiting[0]], waiting[1:]
         while queue and len(waiting):
@@ -185,11 +253,10 @@ def _linked(block: pa.Table) -> pa.Table:
             shared = np.add.reduceat(mark[np.concatenate([sets[i] for i in rivals])].astype(np.int64), starts)
             mark[sets[own]] = False
             hits = rivals[shared >= SIMILARITY * (sizes[rivals] + sizes[own] - shared) - 1e-9]
-            a += [own] * len(hits)
-            b += hits.tolist()
+            found += [(own, x) for x in hits.tolist()]
             queue += hits.tolist()
             waiting = waiting[~np.isin(waiting, hits)]
-    return pa.table({"a": keys[np.array(a, np.int64)], "b": keys[np.array(b, np.int64)]})
+    return found
 
 
 def line_links(docs: DataFrame, lines: DataFrame) -> DataFrame:
@@ -201,7 +268,15 @@ def line_links(docs: DataFrame, lines: DataFrame) -> DataFrame:
             F.col("band").alias("shared_band"), F.ceil(F.col("n") / BLOCK_LINES).cast("int").alias("parts")
         )
     )
-    members = durable(entries.join(shared, F.col("band") == F.col("shared_band")).select("band", "key", "parts"))
+    members = entries.join(shared, F.col("band") == F.col("shared_band")).select("band", "key", "parts")
+    # Alike lines share most of their bands: small bands of the same lines are verified once.
+    same = (
+        members.where("parts = 1").groupBy("band").agg(F.sort_array(F.collect_set("key")).alias("keys"))
+        .where(F.size("keys") > 1).groupBy("keys").agg(F.min("band").alias("band"))
+    )
+    members = durable(
+        same.select("band", F.explode("keys").alias("key"), F.lit(1).alias("parts")).union(members.where("parts > 1"))
+    )
     # Shingles only of lines that collide with another one.
     spots = (
         members.select("key").distinct().join(different, "key")
@@ -218,8 +293,9 @@ def line_links(docs: DataFrame, lines: DataFrame) -> DataFrame:
     dealt = members.withColumn("part", part).select(
         "band", "key", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
     ).select("band", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "key")
-    blocks = dealt.join(sets, "key")
-    return blocks.groupBy("band", "low", "high").applyInArrow(_linked, "a long, b long")
+    blocks = dealt.join(sets, "key").select("band", "low", "high", "key", "shingles")
+    block = ["band", "low", "high"]
+    return blocks.repartition(*block).sortWithinPartitions(*block).mapInArrow(_linked, "a long, b long")
 
 
 def resolve(doc: int, spans: list[tuple[int, int, int, bool]]) -> list[tuple[int, int, int]]:
@@ -244,11 +320,17 @@ def _resolved(doc: Column, spans: Column) -> Column:
 
     @F.arrow_udf("array<struct<start:int,end:int,first_doc:bigint>>")
     def of_documents(docs: pa.Array, lists: pa.Array) -> pa.Array:
-        found = []
-        for own, rows in zip(docs.to_pylist(), lists, strict=True):
-            parts = resolve(own, [(x["start"], x["end"], x["first_doc"], x["is_window"]) for x in rows.as_py()])
-            found.append([{"start": a, "end": b, "first_doc": c} for a, b, c in parts])
-        return pa.array(found, kind)
+        rows = list(zip(*(x.to_pylist() for x in lists.flatten().flatten()), strict=True))
+        at, found, ends = 0, [], [0]
+        for own, n in zip(docs.to_pylist(), lists.value_lengths().to_pylist(), strict=True):
+            found += resolve(own, rows[at : at + n])
+            at += n
+            ends.append(len(found))
+        columns = zip(*found, strict=True) if found else [()] * 3
+        parts = pa.StructArray.from_arrays(
+            [pa.array(c, f.type) for c, f in zip(columns, kind.value_type, strict=True)], fields=list(kind.value_type)
+        )
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), parts)
 
     return of_documents(doc, spans)
 
@@ -271,7 +353,11 @@ def repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
     not read. An empty table gives an empty result.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text")).where("doc is not null")
-    lines = durable(rows.mapInArrow(_lines, "key long, doc long, start int, n int, bands array<long>"))
+    paragraphs = durable(rows.mapInArrow(_paragraphs, PARAGRAPHS))
+    lines = paragraphs.select("doc", "line_starts", "line_sizes", "line_bands", F.posexplode("line_keys").alias("nth", "key")).select(
+        "key", "doc", F.col("line_starts")[F.col("nth")].alias("start"), F.col("line_sizes")[F.col("nth")].alias("n"),
+        F.slice("line_bands", F.col("nth") * BANDS + 1, BANDS).alias("bands"),
+    )
     roots = components(line_links(rows, lines))
     holders = lines.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
     rooted = holders.join(roots, F.col("key") == F.col("node"), "left").select(
@@ -285,7 +371,9 @@ def repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
         lines.join(alike, F.col("key") == F.col("alike_key"))
         .select("doc", "start", (F.col("start") + F.col("n")).alias("end"), "first_doc", F.lit(False).alias("is_window"))
     )
-    windows = rows.mapInArrow(_windows, "key long, doc long, start int")
+    windows = paragraphs.select("doc", "window_starts", F.posexplode("window_keys").alias("nth", "key")).select(
+        "key", "doc", F.col("window_starts")[F.col("nth")].alias("start")
+    )
     several = durable(
         windows.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
         .where("low <> high").select(F.col("key").alias("several_key"))
@@ -301,8 +389,8 @@ def repeated_passages(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
         .where(~F.coalesce(within, F.lit(False)))
         .select("key", "doc", "start")
     )
-    firsts = repeated.groupBy(F.col("key").alias("first_key")).agg(F.min("doc").alias("first_doc"))
-    equal = repeated.join(firsts, F.col("key") == F.col("first_key")).select(
+    firsts = repeated.groupBy("key").agg(F.min("doc").alias("first_doc"))
+    equal = splittable_join(repeated, firsts, ["key"], "inner").select(
         "doc", "start", (F.col("start") + WINDOW).alias("end"), "first_doc", F.lit(True).alias("is_window")
     )
     spans = equal.union(near).groupBy("doc").agg(F.collect_set(F.struct("start", "end", "first_doc", "is_window")).alias("spans"))

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -379,6 +380,98 @@ def test_similar_lines_in_parts(spark, monkeypatch):
     assert {(r["doc_id"], r["class_id"]) for r in rows} == {(k, 0) for k in range(60)}
 
 
+def test_passages_read_texts_once_and_colliding_lines_once_more(spark, monkeypatch):
+    rng = random.Random(12)
+    fill = lambda n: [f"r{rng.randrange(10**6)}" for _ in range(n)]
+    near = [fill(100) for _ in range(20)]
+    docs = [(k, " ".join(x)) for k, x in enumerate(near)] + [(100 + k, " ".join(x[:-1])) for k, x in enumerate(near)]
+    docs += [(200 + k, " ".join(fill(70))) for k in range(20)]
+    reads, verified = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+
+    def read(text):
+        reads.add(1)
+        return text
+
+    linked = passage_dedup._linked
+
+    def counted(batches):
+        def rows():
+            for batch in batches:
+                verified.add(batch.num_rows)
+                yield batch
+
+        yield from linked(rows())
+
+    monkeypatch.setattr(passage_dedup, "_linked", counted)
+    texts = h.odd_frame(spark, docs).withColumn("text", F.udf(read, "string").asNondeterministic()("text"))
+    rows = passage_dedup.repeated_passages(texts).collect()
+    assert {(r["doc_id"], r["class_id"], r["removed"]) for r in rows} == {
+        x for k in range(20) for x in ((k, k, False), (100 + k, k, True))
+    }
+    assert reads.value <= 2 * len(docs)
+    # A pair of lines shares up to BANDS bands and is compared once.
+    assert verified.value == 2 * len(near)
+
+
+def test_paragraphs_of_neighbouring_texts(monkeypatch):
+    rng = random.Random(13)
+    sizes = [0, 1, 25, 26, 27, 49, 50, 51, 75, 400]
+    texts = [" ".join(rng.choices("abcdefgh", k=n)) for n in sizes for _ in range(3)] + [None, "", " \n", "É " * 60, "x\n" * 90]
+    texts += [rng.choice(" \n").join(rng.sample([t or "" for t in texts], 3)) for _ in range(30)]
+    rng.shuffle(texts)
+    want = []
+    for text in texts:
+        lines = [line.encode().lower().split() for line in (text or "").split("\n")]
+        hashes = passage_dedup.word_hashes([w for line in lines for w in line])
+        pairs = passage_dedup.rolling(hashes, 2).tolist()
+        span = passage_dedup.ANCHORS
+        starts = {min(range(a, a + span), key=pairs.__getitem__) for a in range(len(pairs) - span + 1)}
+        starts = sorted(a for a in starts if a + passage_dedup.WINDOW <= len(hashes))
+        windows = passage_dedup.window_hashes(hashes, np.array(starts, np.int64)).view(np.int64).tolist()
+        spots, at = [], 0
+        for line in lines:
+            if len(line) >= passage_dedup.MIN_WORDS:
+                spots.append((at, len(line), passage_dedup.word_hashes(line)))
+            at += len(line)
+        found = [passage_dedup.bands(x, np.array([0]), np.array([len(x)])).view(np.int64).ravel().tolist() for *_, x in spots]
+        want.append((windows, starts, [a for a, *_ in spots], [n for _, n, _ in spots], sum(found, [])))
+    columns = ("window_keys", "window_starts", "line_starts", "line_sizes", "line_bands")
+    for step in (1, 300, 10**6):
+        monkeypatch.setattr(passage_dedup, "_STEP", step)
+        batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.string())], ["doc", "text"])
+        rows = [r for b in passage_dedup._paragraphs(iter([batch.slice(0, 0), batch])) for r in b.to_pylist()]
+        assert [r["doc"] for r in rows] == list(range(len(texts)))
+        assert [tuple(r[c] for c in columns) for r in rows] == want
+
+
+def test_blocks_cut_by_batches():
+    rng = random.Random(14)
+    rows = []
+    for band in range(12):
+        bases = [rng.sample(range(200), 30) for _ in range(3)]
+        for key in range(rng.choice([1, 2, 3, 9])):
+            own = set(rng.choice(bases)) - set(rng.sample(range(200), 15)) | {rng.randrange(200)}
+            rows.append({"band": band // 2, "low": band % 2, "high": 1, "key": 100 * band + key, "shingles": sorted(own)})
+    alike = lambda x, y: len(x & y) >= 0.8 * len(x | y)
+    sets = {r["key"]: set(r["shingles"]) for r in rows}
+    want = {k: k for k in sets}
+    for _ in sets:
+        for a in sets:
+            for b in sets:
+                if a // 100 == b // 100 and alike(sets[a], sets[b]):
+                    want[a] = want[b] = min(want[a], want[b])
+    assert 12 < len(set(want.values())) < len(sets)
+    table = pa.Table.from_pylist(rows)
+    for size in (1, 2, 5, 1000):
+        got = {k: k for k in sets}
+        edges = [e for b in passage_dedup._linked(iter(table.to_batches(max_chunksize=size))) for e in b.to_pylist()]
+        assert all(alike(sets[e["a"]], sets[e["b"]]) for e in edges)
+        for _ in edges:
+            for e in edges:
+                got[e["a"]] = got[e["b"]] = min(got[e["a"]], got[e["b"]])
+        assert got == want
+
+
 # --- toxicity and languages
 
 
